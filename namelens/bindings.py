@@ -103,7 +103,7 @@ from customer
     "request_batch": """
 select c_custkey as id, cast(c_custkey % 50 as bigint) as client_id, 'b-' || cast(c_custkey as {S}) as app_batch_id,
  'uploads/client_org-' || cast(c_custkey % 50 as {S}) || '/batch_b-' || cast(c_custkey as {S}) || '/u_x.csv' as storage_file_name,
- case when c_acctbal < 500 then cast(null as bigint) else cast(c_acctbal as bigint) end as record_count,
+ case when c_acctbal < 500 then cast(null as bigint) else cast(floor(c_acctbal) as bigint) end as record_count,
  cast(null as bigint) as processed_record_count, cast(null as {T}) as delivery_complete_ts
 from customer
 """,

@@ -427,7 +427,7 @@ ORACLES: dict[str, str] = {
  case when hit then {RUN_TS} else updated_ts end as updated_ts)
  from (select *, enrichment_type_code='GNDRPR' and batch_id in (select batch_id from enrichment_status where enrichment_status='PENDING') hit from wide_status)""",
     "completion_candidates": "select * from candidates",
-    "complete_batches": f"""select id, client_id, app_batch_id, storage_file_name, record_count,
+    "complete_batches": f"""select b.id, b.client_id, b.app_batch_id, b.storage_file_name, b.record_count,
  case when k.batch_id is not null then coalesce(r.n,0) end processed_record_count, case when k.batch_id is not null then {RUN_TS} end delivery_complete_ts
  from request_batch b left join candidates k on k.client_id=b.client_id and k.batch_id=b.id
  left join (select client_id, batch_id, count(*) n from request_people group by 1, 2) r on r.client_id=b.client_id and r.batch_id=b.id""",

@@ -21,6 +21,7 @@ def local_session(cpus: int = 8, memory: str = "8g", **extra: str) -> SparkSessi
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
     )
     for key, value in {**SETTINGS, **extra}.items():
         builder = builder.config(key, value)
