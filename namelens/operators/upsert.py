@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from namelens.operators.joins import any_null, row_hash
+from namelens.operators.joins import any_null
 
 Literals = Mapping[str, Column]
 
@@ -61,23 +61,18 @@ def upsert(
     if update_cols is None:
         update_cols = [c for c in source.columns if c in columns and c not in keys]
 
-    closed = None
+    # Rows that cannot match go around the join: a null key is no join key, and a
+    # shuffle on it would put all such rows into one task.
+    aside = None if null_safe else any_null(keys)
     if target_pred is not None:
-        fits = F.coalesce(target_pred, F.lit(False))
-        closed, target = target.where(~fits), target.where(fits)
-
-    loose = None
-    t = target.withColumn("_kept", F.lit(True))
-    if null_safe:
-        s = one_row_per_key(source, keys)
-        match = _key_match(keys, True)
-    else:
-        loose = source.where(any_null(keys)) if insert else None
-        s = one_row_per_key(source.where(~any_null(keys)), keys).withColumn("_spread", F.lit(0))
-        # Target rows with a null key match nothing; spread them over the tasks.
-        spread = F.when(any_null(keys), row_hash(target)).otherwise(F.lit(0))
-        t = t.withColumn("_spread", spread.cast("bigint"))
-        match = _key_match(keys, False) & (F.col("t._spread") == F.col("s._spread"))
+        shut = ~F.coalesce(target_pred, F.lit(False))
+        aside = shut if aside is None else aside | shut
+    kept_aside = None if aside is None else target.where(aside)
+    loose = source.where(any_null(keys)) if insert and not null_safe else None
+    t = target if aside is None else target.where(~aside)
+    t = t.withColumn("_kept", F.lit(True))
+    s = one_row_per_key(source if null_safe else source.where(~any_null(keys)), keys)
+    match = _key_match(keys, null_safe)
     joined = t.alias("t").join(s.alias("s"), match, "full_outer" if insert else "left")
 
     kept, found = F.col("t._kept"), F.col("s._found")
@@ -100,8 +95,8 @@ def upsert(
     result = joined.select(*out)
     if loose is not None:
         result = result.unionByName(_as_rows(loose, target, insert_literals))
-    if closed is not None:
-        result = result.unionByName(closed)
+    if kept_aside is not None:
+        result = result.unionByName(kept_aside)
     return result
 
 

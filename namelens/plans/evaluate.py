@@ -1,11 +1,15 @@
 """How well the lookups agree with what voters state about themselves.
 
-Voters are added up per name before the join, so a common name is a handful of
-rows there, whatever its share of the roll.
+Voters are added up per name before the join, so a common name is one row there,
+whatever its share of the roll. Lookups are made per name too: both sides are
+already partitioned by name and the join needs no further shuffle.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,13 +17,20 @@ from namelens.functions import decile, share
 from namelens.plans.lookups import REFERENCE_YEAR, AgeScheme
 
 
-def _weighted(condition: Column) -> Column:
-    return F.sum(F.when(condition, F.col("n")).otherwise(0))
+def _votes_for(label: str, counts: dict[str, Column]) -> Column:
+    """The number of voters who state what the column ``label`` predicts."""
+    cases = [F.when(F.col(label) == value, n) for value, n in counts.items()]
+    return F.coalesce(*cases, F.lit(0))
 
 
 def gender_accuracy(lookup: DataFrame, voters: DataFrame, by_bucket: bool = False) -> DataFrame:
     """Hit rates of the predicted and the reportable gender per confidence level."""
-    counts = voters.groupBy("first_name", "gender").agg(F.count(F.lit(1)).alias("n"))
+    counts = voters.groupBy("first_name").agg(
+        F.count_if(F.col("gender") == "M").alias("men"),
+        F.count_if(F.col("gender") == "F").alias("women"),
+        F.count(F.lit(1)).alias("n"),
+    )
+    stated = {"M": F.col("men"), "F": F.col("women")}
     scored = lookup.select(
         "first_name",
         "confidence_level",
@@ -32,8 +43,8 @@ def gender_accuracy(lookup: DataFrame, voters: DataFrame, by_bucket: bool = Fals
         counts.join(scored, "first_name")
         .groupBy(*groups)
         .agg(
-            _weighted(F.col("predicted_gender") == F.col("gender")).alias("predicted_hits"),
-            _weighted(F.col("reportable_gender") == F.col("gender")).alias("reported_hits"),
+            F.sum(_votes_for("predicted_gender", stated)).alias("predicted_hits"),
+            F.sum(_votes_for("reportable_gender", stated)).alias("reported_hits"),
             F.sum("n").alias("record_count"),
         )
     )
@@ -57,12 +68,13 @@ def age_accuracy(
     Per confidence level, voters with an unknown name form the group with a null
     level and count as wrong. Per decile they are left out.
     """
-    age = F.lit(reference_year) - F.col("birth_year")
+    tests = scheme.holds(F.lit(reference_year) - F.col("birth_year"))
+    stated = {label: F.col(stem) for label, stem in zip(scheme.labels, scheme.stems)}
     counts = (
-        voters.select("first_name", scheme.bucket(age).alias("actual"))
-        .where(F.col("actual").isNotNull())
-        .groupBy("first_name", "actual")
-        .agg(F.count(F.lit(1)).alias("n"))
+        voters.groupBy("first_name")
+        .agg(*[F.count_if(test).alias(stem) for test, stem in zip(tests, scheme.stems)])
+        .withColumn("n", reduce(add, stated.values()))
+        .where(F.col("n") > 0)
     )
     scored = lookup.select(
         "first_name",
@@ -76,7 +88,7 @@ def age_accuracy(
         .groupBy(group)
         .agg(
             F.sum("n").alias("total_records"),
-            _weighted(F.col("actual") == F.col("predicted_age_bucket")).alias("correct_records"),
+            F.sum(_votes_for("predicted_age_bucket", stated)).alias("correct_records"),
         )
     )
     out = totals.select(
