@@ -2,6 +2,7 @@
 
 A replaced table gets a new version folder and is read from the newest complete
 one, so a job never overwrites what it reads and a failed write is never seen.
+There may be one writer per root at a time.
 """
 
 from __future__ import annotations
@@ -54,6 +55,7 @@ CHANGES = {
 }
 
 BATCH_PARTITIONS = ["client_id", "batch_id"]
+KEPT_VERSIONS = 10
 
 
 class Tables:
@@ -89,6 +91,8 @@ class Tables:
         path = f"{self.root}/keyed/{name}"
         versions = self._versions(path)
         if not versions:
+            if KEYED[name] is None:
+                raise LookupError(f"table {name} has not been loaded")
             return self.spark.createDataFrame([], schemas.struct(KEYED[name]))
         reader = self.spark.read
         if KEYED[name]:
@@ -104,8 +108,16 @@ class Tables:
                 *[F.col(f.name).cast(f.dataType) for f in schemas.struct(KEYED[name]).fields]
             )
         df.write.mode("overwrite").parquet(f"{path}/version={version}")
+        self._drop_old(path, version)
         return self.read(name)
 
+    def _drop_old(self, path: str, version: int) -> None:
+        """Remove the versions that no running job can still be reading."""
+        for old in self._versions(path):
+            if old <= version - KEPT_VERSIONS:
+                fs, target, _ = self._files(f"{path}/version={old}")
+                fs.delete(target, True)
+
     def read_people(self, name: str) -> DataFrame:
         """A per-batch table; filters on client and batch skip the other folders."""
         schema = schemas.struct(PER_BATCH[name])
@@ -141,23 +153,51 @@ class Tables:
     def change_path(self, name: str) -> str:
         return f"{self.root}/changes/{name}"
 
-    def emit(self, name: str, df: DataFrame, run: str) -> None:
-        """Add inserted rows for the streams; the same run replaces its own rows."""
-        schema = schemas.struct(CHANGES[name])
+    def _complete(self, path: str) -> bool:
+        return self._exists(f"{path}/_SUCCESS")
+
+    def _write_once(self, path: str, df: DataFrame, ddl: str) -> None:
+        if self._complete(path):
+            return
         have = set(df.columns)
         out = df.select(
             *[
                 (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
-                for f in schema.fields
+                for f in schemas.struct(ddl).fields
             ]
         )
-        out.write.mode("overwrite").parquet(f"{self.change_path(name)}/run={run}")
+        out.write.mode("overwrite").parquet(path)
+
+    def stage(self, run: str, name: str, df: DataFrame, ddl: str) -> DataFrame:
+        """The new rows of a run, written once: repeating the run gives the same rows."""
+        path = f"{self.root}/staged/{run}/{name}"
+        self._write_once(path, df, ddl)
+        return self.spark.read.schema(schemas.struct(ddl)).parquet(path)
+
+    def emit(self, name: str, df: DataFrame, run: str) -> None:
+        """Add inserted rows for the streams; repeating the run adds nothing."""
+        self._write_once(f"{self.change_path(name)}/{run}", df, CHANGES[name])
 
     def changes(self, name: str) -> DataFrame:
-        """All rows ever inserted, as a batch."""
+        """All rows inserted so far and not dropped."""
         schema = schemas.struct(CHANGES[name])
-        if not self._exists(self.change_path(name)):
+        path = self.change_path(name)
+        if not self._exists(path):
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(self.change_path(name)).select(
-            *schema.fieldNames()
+        return self.spark.read.schema(schema).option("recursiveFileLookup", True).parquet(path)
+
+    def change_stream(self, name: str) -> DataFrame:
+        """The inserted rows as a stream. Updates of the keyed table never appear here."""
+        fs, target, _ = self._files(self.change_path(name))
+        fs.mkdirs(target)
+        return (
+            self.spark.readStream.schema(schemas.struct(CHANGES[name]))
+            .option("recursiveFileLookup", True)
+            .parquet(self.change_path(name))
         )
+
+    def drop_change_runs(self, name: str, runs: Sequence[str]) -> None:
+        """Remove the rows that whole runs inserted."""
+        for run in runs:
+            fs, target, _ = self._files(f"{self.change_path(name)}/{run}")
+            fs.delete(target, True)
