@@ -9,21 +9,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-NAME = "p.p_name || ' ' || translate(cast(p.p_partkey as {S}),'0123456789','abcdefghij')"
+# Names are made once per part, before the joins.
+NAMED = (
+    "(select p_partkey, p_name || ' ' || translate(cast(p_partkey as {S}),'0123456789','abcdefghij') as name"
+    " from part) p"
+)
 
 TEXTS = {
     "ssa_raw": f"""
-select {NAME} as first_name,
+select p.name as first_name,
  case when l.l_returnflag='N' and l.l_linenumber=1 then 'x'
       when (l.l_orderkey*7) % 100 < (p.p_partkey*37) % 101 then ' male' else 'F' end as gender,
  cast(case when p.p_partkey % 7 = 0 then 1 + l.l_linenumber % 3
            when p.p_partkey % 7 = 1 then 1 + l.l_linenumber
-           else l.l_quantity end as decimal(32,0)) as quantity,
+           else l.l_quantity end as bigint) as quantity,
  cast(1930 + (p.p_partkey*13 + l.l_orderkey % 11) % 97 as int) as year
-from lineitem l join part p on l.l_partkey = p.p_partkey
+from lineitem l join {NAMED} on l.l_partkey = p.p_partkey
 """,
     "voter_raw": f"""
-select o.o_orderkey as state_voter_id, cast(null as {{S}}) as name_suffix, {NAME} as first_name,
+select o.o_orderkey as state_voter_id, cast(null as {{S}}) as name_suffix, p.name as first_name,
  o.o_orderpriority as middle_name, o.o_orderstatus || '-Fam' as last_name,
  case when o.o_custkey % 9 = 0 then 'U'
       when (o.o_custkey*7) % 100 < (p.p_partkey*37) % 101 then 'm ' else 'Female' end as gender,
@@ -36,7 +40,7 @@ select o.o_orderkey as state_voter_id, cast(null as {{S}}) as name_suffix, {NAME
       else lpad(cast((o.o_custkey*53) % 100000 as {{S}}),5,'0') end as mailing_zip_code,
  'WA' as mailing_state, cast('2026-03-01 00:00:00' as {{T}}) as loaded_ts
 from (select *, o_orderkey % (select count(*) from part) as pk from orders) o
-join part p on p.p_partkey = o.pk
+join {NAMED} on p.p_partkey = o.pk
 """,
     "person_input": f"""
 select cast(c.c_nationkey + 1 as bigint) as client_id,
@@ -45,13 +49,13 @@ select cast(c.c_nationkey + 1 as bigint) as client_id,
       else cast(c.c_custkey as {{S}}) end as record_id,
  case when c.c_custkey % 29 = 0 then cast(null as {{S}})
       when c.c_custkey % 31 = 0 then ' 12 '
-      when c.c_custkey % 17 = 0 then 'Zz' || {NAME}
-      else '  ' || upper({NAME}) || ' ' end as first_name,
+      when c.c_custkey % 17 = 0 then 'Zz' || p.name
+      else '  ' || upper(p.name) || ' ' end as first_name,
  c.c_mktsegment || '-' as last_name,
  case when c.c_custkey % 13 = 0 then 'AB-12'
       else lpad(cast((c.c_custkey*37) % 100000 as {{S}}),5,'0') || '-0001' end as zip,
  cast('2026-04-10 12:00:00' as {{T}}) as load_ts
-from customer c join part p on p.p_partkey = c.c_custkey
+from customer c join {NAMED} on p.p_partkey = c.c_custkey
 """,
     "landing": """
 select cast(c.c_custkey as {S}) as record_id, p.p_name as first_name,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from namelens.operators.joins import any_null
@@ -20,17 +20,16 @@ def _key_match(keys: Sequence[str], null_safe: bool) -> Column:
 
 
 def one_row_per_key(source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``source`` with a ``_found`` mark that fails the job on a repeated key."""
-    rest = [c for c in source.columns if c not in keys]
-    grouped = source.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"), *[F.any_value(c).alias(c) for c in rest]
-    )
-    message = F.concat(
-        F.lit("upsert source has several rows for key "),
-        F.to_json(F.struct(*keys)),
-    )
-    found = F.when(F.col("_n") > 1, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
-    return grouped.withColumn("_found", found).drop("_n")
+    """``source`` with a ``_found`` mark that fails the job on a repeated key.
+
+    The numbering needs the rows partitioned and sorted by key, as the join that
+    follows does, so it adds neither a shuffle nor a sort. It stops at the second
+    row of a key and never holds a group in memory.
+    """
+    message = F.concat(F.lit("upsert source has several rows for key "), F.to_json(F.struct(*keys)))
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(keys[0]))
+    found = F.when(nth > 1, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
+    return source.withColumn("_found", found)
 
 
 def upsert(

@@ -456,7 +456,7 @@ ORACLES: dict[str, str] = {
  case when j.id is null then t.last_error else j.message end last_error, {ts('t.created_ts')} created_ts,
  case when j.ok then {RUN_TS} else {ts('t.processed_ts')} end processed_ts from outbox t left join judged j on j.id = t.id""",
     "delivery_totals": "select count(*) processed, count_if(ok) succeeded, count_if(not ok) failed from judged",
-    "rarest_name_per_year": """select first_name, gender, cast(year as bigint) as year, cast(quantity as double) quantity from (
+    "rarest_name_per_year": """select first_name, gender, cast(year as bigint) as year, cast(quantity as bigint) quantity from (
  select *, row_number() over (partition by gender, year order by quantity, first_name) rn from ssa_raw) where rn = 1""",
     "record_order": f"select client_id, batch_id, record_id, row_number() over (partition by client_id, batch_id order by {NUMERIC_FIRST}) place from person_input",
     "name_history": "select first_name, gender, year, quantity from stage where first_name ilike 'small%'",

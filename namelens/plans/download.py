@@ -118,12 +118,17 @@ def resolve_batch(clients: DataFrame, batches: DataFrame, organization: str, bat
     return (row["client_id"], row["batch_id"]) if row else None
 
 
+def pending_keys(queue: DataFrame, clients: DataFrame, batches: DataFrame) -> DataFrame:
+    """The batches with a pending download, under both their keys."""
+    wanted = pending(queue).select(*APPROVAL_KEYS).distinct()
+    return wanted.join(batch_keys(clients, batches), APPROVAL_KEYS)
+
+
 def pending_downloads(
     queue: DataFrame, clients: DataFrame, batches: DataFrame, raw: DataFrame, results: DataFrame
 ) -> DataFrame:
     """The export rows of all batches with a pending download, in one job."""
-    wanted = pending(queue).select(*APPROVAL_KEYS).distinct()
-    keys = wanted.join(batch_keys(clients, batches), APPROVAL_KEYS)
+    keys = pending_keys(queue, clients, batches)
     people = keyed_join(raw, keys, ["client_id", "batch_id"], "inner")
     return download_rows(people, results)
 

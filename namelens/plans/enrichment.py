@@ -82,27 +82,37 @@ def fail_running(
     )
 
 
-def open_batches(
-    people: DataFrame,
+def workable_batches(
     batches: DataFrame,
     statuses: DataFrame | None = None,
     code: str = GENDER_CODE,
     all_open: bool = False,
 ) -> DataFrame:
-    """Batches with people and no delivery yet, whose enrichment runs.
+    """Batches without a delivery yet whose enrichment runs.
 
     ``all_open=True`` takes every undelivered batch, approved or not.
     """
     undelivered = batches.where(F.col("delivery_complete_ts").isNull()).select(
         "client_id", F.col("id").alias("batch_id")
     )
-    found = people.select(*BATCH_KEYS).distinct().join(undelivered, BATCH_KEYS)
     if all_open or statuses is None:
-        return found.distinct()
+        return undelivered.distinct()
     running = statuses.where(
         (F.col("enrichment_type_code") == code) & (F.col("enrichment_status") == "RUNNING")
     ).select(*BATCH_KEYS)
-    return found.join(running, BATCH_KEYS, "left_semi").distinct()
+    return undelivered.join(running, BATCH_KEYS, "left_semi").distinct()
+
+
+def open_batches(
+    people: DataFrame,
+    batches: DataFrame,
+    statuses: DataFrame | None = None,
+    code: str = GENDER_CODE,
+    all_open: bool = False,
+) -> DataFrame:
+    """The workable batches that have people. People are reduced to keys before the join."""
+    workable = workable_batches(batches, statuses, code, all_open)
+    return workable.join(people.select(*BATCH_KEYS).distinct(), BATCH_KEYS, "left_semi")
 
 
 def of_batches(people: DataFrame, keys: DataFrame) -> DataFrame:
@@ -110,11 +120,6 @@ def of_batches(people: DataFrame, keys: DataFrame) -> DataFrame:
     return keyed_join(people, keys, BATCH_KEYS, "left_semi")
 
 
-def without_batches(people: DataFrame, keys: DataFrame) -> DataFrame:
-    """The people of all other batches."""
-    return keyed_join(people, keys, BATCH_KEYS, "left_anti")
-
-
 def to_results(baseline: DataFrame, model_version: str = MODEL_VERSION) -> DataFrame:
     """Baseline people as gender result rows."""
     return baseline.select(

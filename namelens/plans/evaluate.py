@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from namelens.functions import decile, share
-from namelens.plans.lookups import REFERENCE_YEAR, AgeScheme
+from namelens.plans.lookups import REFERENCE_YEAR, AgeScheme, voter_counts
 
 
 def _votes_for(label: str, counts: dict[str, Column]) -> Column:
@@ -23,12 +23,16 @@ def _votes_for(label: str, counts: dict[str, Column]) -> Column:
     return F.coalesce(*cases, F.lit(0))
 
 
-def gender_accuracy(lookup: DataFrame, voters: DataFrame, by_bucket: bool = False) -> DataFrame:
-    """Hit rates of the predicted and the reportable gender per confidence level."""
-    counts = voters.groupBy("first_name").agg(
-        F.count_if(F.col("gender") == "M").alias("men"),
-        F.count_if(F.col("gender") == "F").alias("women"),
-        F.count(F.lit(1)).alias("n"),
+def gender_accuracy(
+    lookup: DataFrame, voters: DataFrame, by_bucket: bool = False, cleaned: bool = True
+) -> DataFrame:
+    """Hit rates of the predicted and the reportable gender per confidence level.
+
+    ``cleaned=False`` takes the raw voter roll.
+    """
+    gender = F.col("gender")
+    counts = voter_counts(
+        voters, {"men": gender == "M", "women": gender == "F", "n": F.lit(True)}, cleaned
     )
     stated = {"M": F.col("men"), "F": F.col("women")}
     scored = lookup.select(
@@ -62,17 +66,18 @@ def age_accuracy(
     scheme: AgeScheme,
     reference_year: int = REFERENCE_YEAR,
     by_bucket: bool = False,
+    cleaned: bool = True,
 ) -> DataFrame:
     """Hit rate of the predicted age bucket, per confidence level or probability decile.
 
     Per confidence level, voters with an unknown name form the group with a null
-    level and count as wrong. Per decile they are left out.
+    level and count as wrong. Per decile they are left out. ``cleaned=False`` takes
+    the raw voter roll.
     """
     tests = scheme.holds(F.lit(reference_year) - F.col("birth_year"))
     stated = {label: F.col(stem) for label, stem in zip(scheme.labels, scheme.stems)}
     counts = (
-        voters.groupBy("first_name")
-        .agg(*[F.count_if(test).alias(stem) for test, stem in zip(tests, scheme.stems)])
+        voter_counts(voters, dict(zip(scheme.stems, tests)), cleaned)
         .withColumn("n", reduce(add, stated.values()))
         .where(F.col("n") > 0)
     )

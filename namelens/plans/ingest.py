@@ -19,25 +19,22 @@ def parse_landing(landing: DataFrame) -> DataFrame:
     )
 
 
-def landed_files(parsed: DataFrame) -> DataFrame:
-    """One row per landed file with its number of records."""
-    return parsed.groupBy(
-        "app_organization_id", "app_batch_id", "original_source_file_name", "storage_file_name"
-    ).agg(F.count(F.lit(1)).alias("record_count"))
+def landed_files(landing: DataFrame) -> DataFrame:
+    """One row per landed file: its number of records and what its path states.
 
+    Paths are taken apart once per file instead of once per record.
+    """
+    files = landing.groupBy("storage_file_name").agg(F.count(F.lit(1)).alias("record_count"))
+    return parse_landing(files)
 
-def register_batches(parsed: DataFrame, clients: DataFrame, batches: DataFrame) -> DataFrame:
-    """New batch rows, without an id yet: one per file of a known client and unknown batch.
 
-    The rows are counted per file first, so both joins see one row per file.
-    """
+def register_batches(files: DataFrame, clients: DataFrame, batches: DataFrame) -> DataFrame:
+    """New batch rows, without an id yet: one per file of a known client and unknown batch."""
     owners = clients.select("app_organization_id", F.col("id").alias("client_id"))
+    known = batches.select("client_id", "app_batch_id")
     return (
-        landed_files(parsed)
-        .join(owners, "app_organization_id")
-        .join(
-            batches.select("client_id", "app_batch_id"), ["client_id", "app_batch_id"], "left_anti"
-        )
+        files.join(owners, "app_organization_id")
+        .join(known, ["client_id", "app_batch_id"], "left_anti")
         .select(
             "client_id",
             F.col("original_source_file_name").alias("file_name"),
@@ -57,23 +54,24 @@ def batch_keys(clients: DataFrame, batches: DataFrame) -> DataFrame:
 
 
 def raw_rows(
-    parsed: DataFrame, clients: DataFrame, batches: DataFrame, raw: DataFrame
+    landing: DataFrame, files: DataFrame, clients: DataFrame, batches: DataFrame, raw: DataFrame
 ) -> DataFrame:
     """The landed people that are not in ``raw`` yet, with client and batch id.
 
-    A batch belongs to a client, so the match is on both app-side keys.
+    A batch belongs to a client, so files find it under both app-side keys.
     """
-    rows = parsed.where(F.col("app_batch_id").isNotNull())
-    keyed = keyed_join(rows, batch_keys(clients, batches), APPROVAL_KEYS, "inner")
-    found = keyed.select(
+    owned = files.join(batch_keys(clients, batches), APPROVAL_KEYS).select(
+        "storage_file_name", "client_id", "batch_id"
+    )
+    found = keyed_join(landing, owned, ["storage_file_name"], "inner").select(
         "client_id", "batch_id", "record_id", "first_name", "last_name", "zip", "load_ts"
     )
     return insert_absent(raw, found, ["client_id", "batch_id", "record_id"])
 
 
-def approval_entries(parsed: DataFrame, clients: DataFrame, batches: DataFrame) -> DataFrame:
+def approval_entries(files: DataFrame, clients: DataFrame, batches: DataFrame) -> DataFrame:
     """One pending approval per landed batch."""
-    landed = parsed.select(*APPROVAL_KEYS).distinct()
+    landed = files.select(*APPROVAL_KEYS).distinct()
     return landed.join(batch_keys(clients, batches), APPROVAL_KEYS).select(
         *APPROVAL_KEYS, "batch_id", F.lit("PENDING").alias("status")
     )

@@ -59,11 +59,11 @@ def confidence(probability: Column, thresholds: Mapping[str, str]) -> Column:
     return F.coalesce(*levels, F.lit("AMBIGUOUS"))
 
 
-def name_count_stage(raw: DataFrame) -> DataFrame:
-    """Cleaned name counts.
+def valid_name_counts(raw: DataFrame) -> DataFrame:
+    """Name counts with a gender, a quantity and a year; names still as they came.
 
-    The not-null test is on the raw name, so a name without letters stays, with
-    a null name; it can never match a person.
+    The not-null test is on the raw name, so a name without letters stays; it is
+    cleaned to a null name, which can never match a person.
     """
     return raw.select(
         "first_name",
@@ -75,7 +75,28 @@ def name_count_stage(raw: DataFrame) -> DataFrame:
         & F.col("gender").isNotNull()
         & F.col("quantity").isNotNull()
         & F.col("year").isNotNull()
-    ).withColumn("first_name", normalize_name("first_name"))
+    )
+
+
+def name_count_stage(raw: DataFrame) -> DataFrame:
+    """Cleaned name counts."""
+    return valid_name_counts(raw).withColumn("first_name", normalize_name("first_name"))
+
+
+def _per_name(rows: DataFrame, sums: Mapping[str, Column], cleaned: bool) -> DataFrame:
+    """Sums per clean name.
+
+    Names that are not cleaned yet are added up by their raw spelling first, so
+    that each spelling is cleaned once and not on every row.
+    """
+    totals = rows.groupBy("first_name").agg(*[F.sum(c).alias(n) for n, c in sums.items()])
+    if cleaned:
+        return totals
+    return (
+        totals.withColumn("first_name", normalize_name("first_name"))
+        .groupBy("first_name")
+        .agg(*[F.sum(n).alias(n) for n in sums])
+    )
 
 
 VOTER_STAGE_COLUMNS = {
@@ -102,6 +123,21 @@ def voter_stage(raw: DataFrame) -> DataFrame:
     return cleaned.where(F.col("first_name").isNotNull() & F.col("gender").isNotNull())
 
 
+def voter_counts(
+    voters: DataFrame, counts: Mapping[str, Column], cleaned: bool = True
+) -> DataFrame:
+    """Voters per name that satisfy each of the given tests.
+
+    ``cleaned=False`` takes the raw roll and applies the rules of ``voter_stage``.
+    """
+    if not cleaned:
+        voters = voters.withColumn("gender", normalize_gender("gender")).where(
+            F.col("gender").isNotNull() & F.col("first_name").isNotNull()
+        )
+    ones = {name: F.when(test, 1).otherwise(0) for name, test in counts.items()}
+    return _per_name(voters, ones, cleaned).where(F.col("first_name").isNotNull())
+
+
 def score_gender(counts: DataFrame) -> DataFrame:
     """Probabilities, prediction and confidence from male and female totals per name."""
     total = F.col("male_qty") + F.col("female_qty")
@@ -129,26 +165,25 @@ def score_gender(counts: DataFrame) -> DataFrame:
     )
 
 
-def gender_lookup(stage: DataFrame) -> DataFrame:
-    """Name to gender, from birth counts."""
+def gender_lookup(stage: DataFrame, cleaned: bool = True) -> DataFrame:
+    """Name to gender, from birth counts.
+
+    ``cleaned=False`` takes ``valid_name_counts`` instead of the cleaned stage;
+    the result is the same.
+    """
     quantity, gender = F.col("quantity"), F.col("gender")
-    return score_gender(
-        stage.groupBy("first_name").agg(
-            F.sum(F.when(gender == "M", quantity).otherwise(0)).alias("male_qty"),
-            F.sum(F.when(gender == "F", quantity).otherwise(0)).alias("female_qty"),
-        )
-    )
+    sums = {
+        "male_qty": F.when(gender == "M", quantity).otherwise(0),
+        "female_qty": F.when(gender == "F", quantity).otherwise(0),
+    }
+    return score_gender(_per_name(stage, sums, cleaned))
 
 
-def voter_gender_lookup(voters: DataFrame) -> DataFrame:
+def voter_gender_lookup(voters: DataFrame, cleaned: bool = True) -> DataFrame:
     """Name to gender, from the number of voters."""
     gender = F.col("gender")
-    return score_gender(
-        voters.groupBy("first_name").agg(
-            F.count_if(gender == "M").alias("male_qty"),
-            F.count_if(gender == "F").alias("female_qty"),
-        )
-    )
+    tests = {"male_qty": gender == "M", "female_qty": gender == "F"}
+    return score_gender(voter_counts(voters, tests, cleaned))
 
 
 def age_lookup(
@@ -157,22 +192,21 @@ def age_lookup(
     reference_year: int = REFERENCE_YEAR,
     min_total: int = MIN_AGE_TOTAL,
     rare_below: int = RARE_BELOW,
+    cleaned: bool = True,
 ) -> DataFrame:
-    """Name to age bucket; on equal counts the youngest bucket wins."""
+    """Name to age bucket; on equal counts the youngest bucket wins.
+
+    ``cleaned`` as in ``gender_lookup``.
+    """
     age = F.lit(reference_year) - F.col("year")
-    sums = [
-        F.sum(F.when(test, F.col("quantity")).otherwise(0)).alias(f"{stem}_qty")
+    sums = {
+        f"{stem}_qty": F.when(test, F.col("quantity")).otherwise(0)
         for test, stem in zip(scheme.holds(age), scheme.stems)
-    ]
-    counts = (
-        stage.where(
-            F.col("first_name").isNotNull()
-            & F.col("year").isNotNull()
-            & F.col("quantity").isNotNull()
-        )
-        .groupBy("first_name")
-        .agg(*sums)
+    }
+    known = stage.where(
+        F.col("first_name").isNotNull() & F.col("year").isNotNull() & F.col("quantity").isNotNull()
     )
+    counts = _per_name(known, sums, cleaned).where(F.col("first_name").isNotNull())
     quantities: Sequence[Column] = [F.col(f"{stem}_qty") for stem in scheme.stems]
     total, best = F.col("total_qty"), F.col("max_probability")
     largest = F.greatest(*quantities)

@@ -87,10 +87,10 @@ class Pipeline:
     def process_files(self, landed: DataFrame, run: str) -> None:
         """Register the landed batches, store their people, ask for approval."""
         t = self.tables
-        parsed = ingest.parse_landing(landed)
+        files = snapshot(ingest.landed_files(landed), "files")
         clients, batches = t.read("client"), t.read("client_batch")
         top = batches.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
-        new = ingest.register_batches(parsed, clients, batches)
+        new = ingest.register_batches(files, clients, batches)
         staged = t.stage(
             run,
             "client_batch",
@@ -103,18 +103,18 @@ class Pipeline:
 
         keys = ingest.batch_keys(clients, batches)
         touched = snapshot(
-            parsed.select(*ingest.APPROVAL_KEYS)
+            files.select(*ingest.APPROVAL_KEYS)
             .distinct()
             .join(keys, ingest.APPROVAL_KEYS)
             .select(*BATCH_KEYS),
             "touched",
         )
-        stored = enrichment.of_batches(t.read_people("person_input"), touched)
-        fresh = ingest.raw_rows(parsed, clients, batches, stored)
+        stored = t.read_people("person_input", touched)
+        fresh = ingest.raw_rows(landed, files, clients, batches, stored)
         t.replace_people("person_input", stored.unionByName(fresh))
 
         queue = t.read("approval_queue")
-        entries = ingest.approval_entries(parsed, clients, batches)
+        entries = ingest.approval_entries(files, clients, batches)
         entries = entries.join(queue.select(*ingest.APPROVAL_KEYS), ingest.APPROVAL_KEYS, "left_anti")
         staged = t.stage(run, "approval_queue", entries, schemas.APPROVAL_QUEUE)
         queue = t.replace(
@@ -191,19 +191,7 @@ class Pipeline:
             if code in codes
         }
         try:
-            keys = {
-                code: snapshot(
-                    enrichment.open_batches(
-                        t.read_people("person_input"),
-                        t.read("client_batch"),
-                        statuses,
-                        code,
-                        self.all_open,
-                    ),
-                    "open-batches",
-                )
-                for code in jobs
-            }
+            keys = {code: self._open_batches(statuses, code) for code in jobs}
             # The jobs write different tables; the shared status table is written after them.
             with ThreadPoolExecutor(max_workers=len(AGE_TABLES) + 1) as pool:
                 running = {c: pool.submit(job, c, keys[c]) for c, job in jobs.items()}
@@ -233,14 +221,23 @@ class Pipeline:
             run,
         )
 
+    def _open_batches(self, statuses: DataFrame, code: str) -> DataFrame:
+        t = self.tables
+        workable = snapshot(
+            enrichment.workable_batches(t.read("client_batch"), statuses, code, self.all_open),
+            "workable",
+        )
+        people = t.read_people("person_input", workable)
+        return snapshot(people.select(*BATCH_KEYS).distinct(), "open-batches")
+
     def _write_results(self, name: str, rows: DataFrame, keys: DataFrame) -> None:
         """Write result rows over the stored ones of their batches; other batches are not read."""
-        stored = enrichment.of_batches(self.tables.read_people(name), keys)
+        stored = self.tables.read_people(name, keys)
         self.tables.replace_people(name, upsert(stored, rows, RECORD_KEYS))
 
     def _enrich_gender(self, code: str, keys: DataFrame) -> DataFrame:
         t = self.tables
-        people = enrichment.of_batches(t.read_people("person_input"), keys)
+        people = t.read_people("person_input", keys)
         rows = snapshot(
             gender_baseline(person_clean(people), t.read("gender_lookup"), stored=True), "baseline"
         )
@@ -255,13 +252,14 @@ class Pipeline:
                 t.read("gender_metrics"), metrics.batch_metrics(rows, self.model_version)
             ),
         )
-        return metrics.metrics_payload(summary, self.model_version)
+        mine = summary.join(keys, BATCH_KEYS, "left_semi")
+        return metrics.metrics_payload(mine, self.model_version)
 
     def _enrich_age(self, code: str, keys: DataFrame) -> DataFrame:
         """Age results. Their metrics are not defined, so the payload stays empty."""
         t = self.tables
         lookup, results = AGE_TABLES[code]
-        people = enrichment.of_batches(t.read_people("person_input"), keys)
+        people = t.read_people("person_input", keys)
         rows = age_baseline(person_clean(people), t.read(lookup), stored=True)
         self._write_results(results, enrichment.to_age_results(rows, self.model_version), keys)
         return keys.select(
@@ -278,7 +276,7 @@ class Pipeline:
             completion.start_completion(t.read("completion_queue"), keys, self.now()),
         )
         try:
-            people = enrichment.of_batches(t.read_people("person_input"), keys)
+            people = t.read_people("person_input", keys)
             batches = t.replace(
                 "client_batch",
                 completion.complete_batches(t.read("client_batch"), keys, people, self.now()),
@@ -355,12 +353,14 @@ class Pipeline:
     def prepare_downloads(self, queued: DataFrame, run: str, out: str) -> None:
         """Export every pending batch in one job, in all columns."""
         t = self.tables
+        clients, batches = t.read("client"), t.read("client_batch")
+        keys = snapshot(download.pending_keys(queued, clients, batches), "downloads")
         rows = download.pending_downloads(
             queued,
-            t.read("client"),
-            t.read("client_batch"),
-            t.read_people("person_input"),
-            t.read_people("gender_results"),
+            clients,
+            batches,
+            t.read_people("person_input", keys),
+            t.read_people("gender_results", keys),
         )
         export_batches(rows, f"{out.rstrip('/')}/downloads/{run}")
         self._announce(enrichment.pending(queued).select(*ingest.APPROVAL_KEYS).distinct(), run)

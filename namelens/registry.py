@@ -88,12 +88,16 @@ class Inputs:
     def clean(self) -> DataFrame:
         return baseline.person_clean(self.person_input)
 
+    @property
+    def counts(self) -> DataFrame:
+        return lookups.valid_name_counts(self.ssa_raw)
+
     @property
     def genders(self) -> DataFrame:
-        return lookups.gender_lookup(self.stage)
+        return lookups.gender_lookup(self.counts, cleaned=False)
 
     def ages(self, scheme: lookups.AgeScheme) -> DataFrame:
-        return lookups.age_lookup(self.stage, scheme)
+        return lookups.age_lookup(self.counts, scheme, cleaned=False)
 
     @property
     def people(self) -> DataFrame:
@@ -104,8 +108,8 @@ class Inputs:
         return enrichment.to_improvement(self.people, self.client)
 
     @property
-    def parsed(self) -> DataFrame:
-        return ingest.parse_landing(self.landing)
+    def files(self) -> DataFrame:
+        return ingest.landed_files(self.landing)
 
     @property
     def known_batches(self) -> DataFrame:
@@ -257,7 +261,9 @@ for _name in ("normalize_name", "normalize_zip5", "normalize_gender"):
 
 @query
 def parse_upload_path_(i: Inputs) -> DataFrame:
-    return i.parsed.select("record_id", *parse_upload_path("storage_file_name"))
+    return ingest.parse_landing(i.landing).select(
+        "record_id", *parse_upload_path("storage_file_name")
+    )
 
 
 QUERIES["parse_upload_path"] = QUERIES.pop("parse_upload_path_")
@@ -293,7 +299,7 @@ def gender_lookup(i: Inputs) -> DataFrame:
 
 @query
 def voter_gender_lookup(i: Inputs) -> DataFrame:
-    return lookups.voter_gender_lookup(i.voters)
+    return lookups.voter_gender_lookup(i.voter_raw, cleaned=False)
 
 
 @query
@@ -385,16 +391,18 @@ def config_select_list(i: Inputs) -> DataFrame:
 
 @query
 def gender_accuracy(i: Inputs) -> DataFrame:
-    return evaluate.gender_accuracy(i.genders, i.voters)
+    return evaluate.gender_accuracy(i.genders, i.voter_raw, cleaned=False)
 
 
 @query
 def gender_accuracy_by_bucket(i: Inputs) -> DataFrame:
-    return evaluate.gender_accuracy(i.genders, i.voters, by_bucket=True)
+    return evaluate.gender_accuracy(i.genders, i.voter_raw, by_bucket=True, cleaned=False)
 
 
 def _age_accuracy(i: Inputs, scheme: lookups.AgeScheme, by_bucket: bool = False) -> DataFrame:
-    return evaluate.age_accuracy(i.ages(scheme), i.voters, scheme, by_bucket=by_bucket)
+    return evaluate.age_accuracy(
+        i.ages(scheme), i.voter_raw, scheme, by_bucket=by_bucket, cleaned=False
+    )
 
 
 @query
@@ -456,13 +464,13 @@ def pending_queue_rows(i: Inputs) -> DataFrame:
 def register_batches(i: Inputs) -> DataFrame:
     known = i.known_batches
     start = known.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
-    new = ingest.register_batches(i.parsed, i.client, known)
+    new = ingest.register_batches(i.files, i.client, known)
     return with_new_ids(new, [F.col("storage_file_name")], start)
 
 
 @query
 def raw_insert_absent(i: Inputs) -> DataFrame:
-    return ingest.raw_rows(i.parsed, i.client, i.client_batch, i.old_records)
+    return ingest.raw_rows(i.landing, i.files, i.client, i.client_batch, i.old_records)
 
 
 @query
@@ -474,7 +482,7 @@ def enqueue_approval(i: Inputs) -> DataFrame:
         F.lit("2026-04-01 00:00:00").cast("timestamp_ntz").alias("created_ts"),
         F.lit("2026-04-01 00:00:00").cast("timestamp_ntz").alias("updated_ts"),
     )
-    entries = ingest.approval_entries(i.parsed, i.client, i.client_batch)
+    entries = ingest.approval_entries(i.files, i.client, i.client_batch)
     return ingest.enqueue_approval(queued, entries, run_ts())
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from namelens import schemas
+from namelens.operators import keyed_join
 
 # Small keyed tables, replaced as a whole.
 KEYED = {
@@ -56,6 +57,7 @@ CHANGES = {
 
 BATCH_PARTITIONS = ["client_id", "batch_id"]
 KEPT_VERSIONS = 10
+LISTED_BATCHES = 10_000
 
 
 class Tables:
@@ -118,14 +120,24 @@ class Tables:
                 fs, target, _ = self._files(f"{path}/version={old}")
                 fs.delete(target, True)
 
-    def read_people(self, name: str) -> DataFrame:
-        """A per-batch table; filters on client and batch skip the other folders."""
+    def read_people(self, name: str, keys: DataFrame | None = None) -> DataFrame:
+        """A per-batch table, or only the rows of the batches in ``keys``.
+
+        A list of batches that is not too long becomes a filter on the folders,
+        so the data of all other batches is not even listed. A longer one is
+        joined only.
+        """
         schema = schemas.struct(PER_BATCH[name])
         path = f"{self.root}/people/{name}"
         if not self._exists(path):
             return self.spark.createDataFrame([], schema)
-        rows = self.spark.read.schema(schema).parquet(path)
-        return rows.select(*schema.fieldNames())
+        rows = self.spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
+        if keys is None:
+            return rows
+        found = keys.select("batch_id").distinct().limit(LISTED_BATCHES + 1).collect()
+        if len(found) <= LISTED_BATCHES:
+            rows = rows.where(F.col("batch_id").isin([r["batch_id"] for r in found]))
+        return keyed_join(rows, keys, BATCH_PARTITIONS, "left_semi")
 
     def replace_people(self, name: str, df: DataFrame) -> None:
         """Replace the batches that are in ``df``; all other batches stay untouched.
