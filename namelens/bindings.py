@@ -57,14 +57,14 @@ select cast(c.c_nationkey + 1 as bigint) as client_id,
  cast('2026-04-10 12:00:00' as {{T}}) as load_ts
 from customer c join {NAMED} on p.p_partkey = c.c_custkey
 """,
-    "landing": """
-select cast(c.c_custkey as {S}) as record_id, p.p_name as first_name,
- c.c_mktsegment as last_name, cast((c.c_custkey*37) % 100000 as {S}) as zip,
- 'uploads/' || case when c.c_custkey % 97 = 0 then 'misc' else 'client_org-' || cast(c.c_nationkey as {S}) end
- || '/batch_b-' || cast(c.c_nationkey*10 + c.c_custkey % 3 as {S})
- || '/u' || cast(c.c_nationkey as {S}) || '-x_my_file.csv' as storage_file_name,
- cast('2026-04-10 12:00:00' as {T}) as load_ts
-from customer c join part p on p.p_partkey = c.c_custkey
+    "landing": f"""
+select cast(c.c_custkey as {{S}}) as record_id, p.name as first_name,
+ c.c_mktsegment as last_name, cast((c.c_custkey*37) % 100000 as {{S}}) as zip,
+ 'uploads/' || case when c.c_custkey % 97 = 0 then 'misc' else 'client_org-' || cast(c.c_nationkey as {{S}}) end
+ || '/batch_b-' || cast(c.c_nationkey*10 + c.c_custkey % 3 as {{S}})
+ || '/u' || cast(c.c_nationkey as {{S}}) || '-x_my_file.csv' as storage_file_name,
+ cast('2026-04-10 12:00:00' as {{T}}) as load_ts
+from customer c join {NAMED} on p.p_partkey = c.c_custkey
 """,
     "client": """
 select cast(n_nationkey + 1 as bigint) as id, 'org-' || cast(n_nationkey as {S}) as app_organization_id,

@@ -306,6 +306,13 @@ ORACLES: dict[str, str] = {
     "landing_rows": """select app_organization_id, app_batch_id, cast(count(*) as bigint) records, true numbered,
  cast(sum(cast(zip as bigint)) as bigint) zips, cast(sum(length(first_name)+length(last_name)) as bigint) letters
  from (select * replace (coalesce(app_organization_id,'none') as app_organization_id) from parsed) group by app_organization_id, app_batch_id""",
+    "append_stream": f"""select client_id, batch_id, enrichment_type_code, enrichment_status, {ts('updated_ts')} updated_ts, count(*) times_seen
+ from enrichment_status group by all""",
+    "upload_to_results": f"""select c.id client_id, p.record_id, l.predicted_gender, l.reportable_gender, l.confidence_level, l.max_probability,
+ l.probability_gap, '{VERSION}' model_version, {ts('p.load_ts')} processed_ts, cast({name('p.first_name')} is null as bigint) first_name_missing_flag,
+ l.is_rare_name is_rare_name_flag, l.male_probability, l.female_probability, cast(l.first_name is not null as bigint) name_match_found_flag,
+ p.app_batch_id, count(*) over (partition by c.id, p.app_batch_id) processed_record_count, {RUN_TS} delivery_complete_ts, 'READY' message_status
+ from parsed p join client c on c.app_organization_id = p.app_organization_id left join genders l on l.first_name = {name('p.first_name')}""",
     "safe_cast_load": """select cast(try_cast(state_voter_id as bigint) as double) state_voter_id, first_name,
  try_cast(trim(birth_year) as bigint) birth_year, cast(coalesce(cast(try_strptime(registration_date,'%Y-%m-%d') as date),
  cast(try_strptime(registration_date,'%m/%d/%Y') as date)) as varchar) registration_date from voter_text""",

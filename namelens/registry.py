@@ -31,12 +31,10 @@ from namelens.plans import (
     outbox,
 )
 from namelens.sources.export import export_batches, read_export
-from namelens.sources.files import (
-    read_client_csv,
-    safe_cast,
-    sample_client_file,
-    to_landing,
-)
+from namelens.plans.pipeline import Pipeline
+from namelens.sources.files import safe_cast, sample_client_file
+from namelens.sources.tables import Tables
+from namelens.streaming import start_ingest, start_queue
 
 VERSION = enrichment.MODEL_VERSION
 RUN_TIME = "2026-04-10 15:37:39"
@@ -165,7 +163,7 @@ def query(make: Callable[[Inputs], DataFrame]) -> Callable[[Inputs], DataFrame]:
 
 @query
 def landing_rows(i: Inputs) -> DataFrame:
-    """Uploads written as CSV, landed by position and counted per batch."""
+    """Uploads written as CSV, landed by a stream and counted per batch."""
     parts = parse_upload_path("storage_file_name")
     uploads = i.landing.select(
         "record_id",
@@ -175,11 +173,15 @@ def landing_rows(i: Inputs) -> DataFrame:
         F.concat(F.lit("client_"), F.coalesce(parts["app_organization_id"], F.lit("none"))).alias("org"),
         F.concat(F.lit("batch_"), parts["app_batch_id"]).alias("batch"),
     )
-    path = scratch_path(i.spark, "uploads")
+    root = scratch_path(i.spark, "landing")
     uploads.hint("rebalance", "org", "batch").write.partitionBy("org", "batch").option(
         "header", True
-    ).csv(path)
-    landed = to_landing(read_client_csv(i.spark, path), run_ts())
+    ).csv(f"{root}/uploads")
+    tables = Tables(i.spark, f"{root}/tables")
+    start_ingest(
+        i.spark, tables, f"{root}/uploads", f"{root}/checkpoint", now=run_ts
+    ).awaitTermination()
+    landed = tables.changes("landing")
     files = (
         ingest.parse_landing(landed)
         .groupBy("app_organization_id", "app_batch_id", "storage_file_name")
@@ -228,6 +230,86 @@ def sample_client_file_(i: Inputs) -> DataFrame:
 QUERIES["sample_client_file"] = QUERIES.pop("sample_client_file_")
 
 
+@query
+def append_stream(i: Inputs) -> DataFrame:
+    """Queue rows inserted in two drops and followed by a stream that is stopped in between.
+
+    Every row comes once, though the table itself is rewritten after each drop.
+    """
+    root = scratch_path(i.spark, "stream")
+    tables = Tables(i.spark, f"{root}/tables")
+    seen = f"{root}/seen"
+
+    def follow() -> None:
+        handler = lambda rows, run: rows.write.parquet(f"{seen}/{run}")
+        start_queue(tables, "enrichment_status", handler, f"{root}/checkpoint").awaitTermination()
+
+    rows = i.enrichment_status
+    for number, drop in enumerate((F.col("started_ts").isNull(), F.col("started_ts").isNotNull())):
+        tables.emit("enrichment_status", rows.where(drop), f"drop-{number}")
+        tables.replace("enrichment_status", rows.withColumn("updated_ts", run_ts()))
+        follow()
+    follow()
+    return (
+        i.spark.read.schema(rows.schema)
+        .option("recursiveFileLookup", True)
+        .parquet(seen)
+        .groupBy("client_id", "batch_id", "enrichment_type_code", "enrichment_status", "updated_ts")
+        .agg(F.count(F.lit(1)).alias("times_seen"))
+    )
+
+
+@query
+def upload_to_results(i: Inputs) -> DataFrame:
+    """All landed files taken through registration, approval, enrichment and completion."""
+    tables = Tables(i.spark, scratch_path(i.spark, "tables"))
+    jobs = Pipeline(tables, VERSION, run_ts)
+    jobs.load_lookups(i.ssa_raw)
+    tables.replace("client", _as(i.client, schemas.CLIENT))
+    tables.replace("enrichment_attribute", _as(i.attribute, schemas.ATTRIBUTE))
+    tables.emit("landing", i.landing, "uploads")
+    jobs.process_files(tables.changes("landing"), "uploads")
+    asked = tables.changes("approval_queue").select(*ingest.APPROVAL_KEYS)
+    ordered = '{"attributes":[{"code":"GNDRPR","label":"Gender"}]}'
+    tables.replace(
+        "output_configuration",
+        _as(asked.withColumn("config_json", F.lit(ordered)), schemas.OUTPUT_CONFIGURATION),
+    )
+    tables.emit(
+        "approval_results",
+        asked.select("*", F.lit("APPROVED").alias("status"), run_ts().alias("decision_ts")),
+        "decisions",
+    )
+    jobs.approve(tables.changes("approval_results"), "decisions")
+    jobs.start_enrichment(tables.changes("enrichment_status"), "decisions")
+    jobs.complete(tables.changes("completion_queue"), "done")
+    batches = tables.read("client_batch").select(
+        "client_id",
+        F.col("id").alias("batch_id"),
+        "app_batch_id",
+        "processed_record_count",
+        "delivery_complete_ts",
+    )
+    messages = tables.read("outbox").select(*baseline.BATCH_KEYS, F.col("status").alias("message_status"))
+    return (
+        tables.read_people("gender_results")
+        .join(batches, baseline.BATCH_KEYS)
+        .join(messages, baseline.BATCH_KEYS)
+        .drop("batch_id")
+    )
+
+
+def _as(df: DataFrame, ddl: str) -> DataFrame:
+    """``df`` in the columns of a table; columns it lacks are null."""
+    have = set(df.columns)
+    return df.select(
+        *[
+            (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in schemas.struct(ddl).fields
+        ]
+    )
+
+
 # Functions
 
 

@@ -57,7 +57,7 @@ CHANGES = {
 
 BATCH_PARTITIONS = ["client_id", "batch_id"]
 KEPT_VERSIONS = 10
-LISTED_BATCHES = 10_000
+LISTED_BATCHES = 1_000
 
 
 class Tables:
@@ -123,21 +123,26 @@ class Tables:
     def read_people(self, name: str, keys: DataFrame | None = None) -> DataFrame:
         """A per-batch table, or only the rows of the batches in ``keys``.
 
-        A list of batches that is not too long becomes a filter on the folders,
-        so the data of all other batches is not even listed. A longer one is
-        joined only.
+        A short list of batches is read from its folders alone, so the rest of
+        the table is not even listed. A longer one is joined.
         """
         schema = schemas.struct(PER_BATCH[name])
         path = f"{self.root}/people/{name}"
         if not self._exists(path):
             return self.spark.createDataFrame([], schema)
-        rows = self.spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
+        reader = self.spark.read.schema(schema)
         if keys is None:
-            return rows
-        found = keys.select("batch_id").distinct().limit(LISTED_BATCHES + 1).collect()
-        if len(found) <= LISTED_BATCHES:
-            rows = rows.where(F.col("batch_id").isin([r["batch_id"] for r in found]))
-        return keyed_join(rows, keys, BATCH_PARTITIONS, "left_semi")
+            return reader.parquet(path).select(*schema.fieldNames())
+        listed = keys.select(*BATCH_PARTITIONS).distinct().limit(LISTED_BATCHES + 1).collect()
+        if len(listed) > LISTED_BATCHES:
+            rows = reader.parquet(path).select(*schema.fieldNames())
+            return keyed_join(rows, keys, BATCH_PARTITIONS, "left_semi")
+        folders = [f"{path}/client_id={client}/batch_id={batch}" for client, batch in listed]
+        folders = [folder for folder in folders if self._exists(folder)]
+        if not folders:
+            return self.spark.createDataFrame([], schema)
+        rows = reader.option("basePath", path).parquet(*folders)
+        return rows.select(*schema.fieldNames())
 
     def replace_people(self, name: str, df: DataFrame) -> None:
         """Replace the batches that are in ``df``; all other batches stay untouched.
