@@ -1,6 +1,12 @@
 from namelens.operators.joins import keyed_join, salted_join
 from namelens.operators.ranking import ranked, with_new_ids
-from namelens.operators.snapshot import measured_bytes, scratch_dir, scratch_path, snapshot
+from namelens.operators.snapshot import (
+    measured_bytes,
+    scratch_dir,
+    scratch_path,
+    snapshot,
+    temporary_snapshots,
+)
 from namelens.operators.upsert import add_absent, insert_absent, update_matching, upsert
 
 __all__ = [
@@ -13,6 +19,7 @@ __all__ = [
     "scratch_dir",
     "scratch_path",
     "snapshot",
+    "temporary_snapshots",
     "update_matching",
     "upsert",
     "with_new_ids",

@@ -8,12 +8,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _local_dirs: dict[str, str] = {}
+_written: ContextVar[list[str] | None] = ContextVar("snapshots", default=None)
 
 
 def scratch_dir(spark: SparkSession) -> str:
@@ -42,10 +46,32 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_dir(spark)}/namelens/{label}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def temporary_snapshots(spark: SparkSession) -> Iterator[None]:
+    """Remove the snapshots made inside the block when it ends.
+
+    For jobs that write their results: nothing lazy may leave the block.
+    """
+    paths: list[str] = []
+    token = _written.set(paths)
+    try:
+        yield
+    finally:
+        _written.reset(token)
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in paths:
+            target = hadoop.Path(path)
+            target.getFileSystem(conf).delete(target, True)
+
+
 def snapshot(df: DataFrame, label: str = "step") -> DataFrame:
     """Write ``df`` once and return the stored rows."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
+    written = _written.get()
+    if written is not None:
+        written.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

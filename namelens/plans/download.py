@@ -56,15 +56,26 @@ def config_select_list(configs: DataFrame, alias: str = "SRC") -> DataFrame:
     return listed.where(F.col("select_list").isNotNull())
 
 
+def export_lists(keys: DataFrame, configs: DataFrame) -> DataFrame:
+    """The batches in ``keys`` with their export columns; all columns when none are configured."""
+    every = F.array(*[F.lit(c) for c in EXPORT_COLUMNS])
+    known = F.filter("fields", lambda c: F.array_contains(every, c))
+    wanted = F.when(F.size(known) > 0, known)
+    fields = config_fields(configs).select(*APPROVAL_KEYS, wanted.alias("columns"))
+    return keys.join(fields, APPROVAL_KEYS, "left").withColumn(
+        "columns", F.coalesce("columns", every)
+    )
+
+
 def ordered_columns(configs: DataFrame, organization: str, batch: str) -> list[str]:
     """The export columns of one batch; all of them when nothing is configured.
 
     Only known column names pass.
     """
-    mine = (F.col("app_organization_id") == organization) & (F.col("app_batch_id") == batch)
-    row = config_fields(configs.where(mine)).first()
-    wanted = (row["fields"] if row else None) or []
-    return [c for c in wanted if c in EXPORT_COLUMNS] or list(EXPORT_COLUMNS)
+    key = configs.sparkSession.createDataFrame(
+        [(organization, batch)], "app_organization_id string, app_batch_id string"
+    )
+    return export_lists(key, configs).first()["columns"]
 
 
 def download_rows(raw: DataFrame, results: DataFrame) -> DataFrame:
@@ -133,30 +144,28 @@ def pending_downloads(
     return download_rows(people, results)
 
 
+def folder_key(folder: str, organization: Column, batch: Column) -> Column:
+    """Where the result folder of a batch lies that was exported together with others."""
+    return F.concat(
+        F.lit(f"{folder}/app_organization_id="), organization, F.lit("/app_batch_id="), batch
+    )
+
+
 def set_object_keys(batches: DataFrame, clients: DataFrame, ready: DataFrame) -> DataFrame:
     """Batches with the place of their result file."""
-    done = (
-        ready.select(*APPROVAL_KEYS)
-        .distinct()
-        .join(batch_keys(clients, batches), APPROVAL_KEYS)
-        .select(
-            "client_id",
-            F.col("batch_id").alias("id"),
-            object_key(F.col("app_organization_id"), F.col("app_batch_id")).alias(
-                "download_object_key"
-            ),
-        )
+    done = ready.join(batch_keys(clients, batches), APPROVAL_KEYS).select(
+        "client_id", F.col("batch_id").alias("id"), "download_object_key"
     )
     return upsert(batches, done, ["client_id", "id"], insert=False)
 
 
-def ready_entries(keys: DataFrame) -> DataFrame:
-    """Ready-queue rows for prepared batches."""
+def ready_entries(keys: DataFrame, place: Column | None = None) -> DataFrame:
+    """Ready-queue rows for prepared batches, by default at their own object key."""
+    if place is None:
+        place = object_key(F.col("app_organization_id"), F.col("app_batch_id"))
     return keys.select(
         *APPROVAL_KEYS,
-        object_key(F.col("app_organization_id"), F.col("app_batch_id")).alias(
-            "download_object_key"
-        ),
+        place.alias("download_object_key"),
         F.lit("READY").alias("download_status"),
     )
 

@@ -7,6 +7,7 @@ keyed.
 
 from __future__ import annotations
 
+import contextvars
 import functools
 import threading
 import uuid
@@ -17,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from namelens import schemas
-from namelens.operators import add_absent, snapshot, upsert, with_new_ids
+from namelens.operators import add_absent, keyed_join, snapshot, temporary_snapshots, upsert, with_new_ids
 from namelens.plans import (
     approval,
     completion,
@@ -42,11 +43,14 @@ AGE_TABLES = {
 
 
 def one_at_a_time(job):
-    """Jobs of one pipeline share tables, so only one of them runs at any time."""
+    """Jobs of one pipeline share tables, so only one of them runs at any time.
+
+    Their intermediate snapshots are removed at the end.
+    """
 
     @functools.wraps(job)
     def locked(self, *args, **kwargs):
-        with self._lock:
+        with self._lock, temporary_snapshots(self.tables.spark):
             return job(self, *args, **kwargs)
 
     return locked
@@ -194,7 +198,10 @@ class Pipeline:
             keys = {code: self._open_batches(statuses, code) for code in jobs}
             # The jobs write different tables; the shared status table is written after them.
             with ThreadPoolExecutor(max_workers=len(AGE_TABLES) + 1) as pool:
-                running = {c: pool.submit(job, c, keys[c]) for c, job in jobs.items()}
+                running = {
+                    c: pool.submit(contextvars.copy_context().run, job, c, keys[c])
+                    for c, job in jobs.items()
+                }
                 payloads = {c: future.result() for c, future in running.items()}
         except Exception as error:
             t.replace(
@@ -318,16 +325,16 @@ class Pipeline:
         t.emit("outbox", posted, run)
 
     @one_at_a_time
-    def deliver(self, posted: DataFrame, run: str, send: Sender) -> DataFrame:
+    def deliver(self, posted: DataFrame, run: str, send: Sender) -> dict[str, int]:
         """Send messages and note the outcomes; returns the totals."""
         outcomes = snapshot(send(posted.select("id", "payload")), "outcomes")
         box = outbox.apply_delivery_outcomes(self.tables.read("outbox"), outcomes, self.now())
         self.tables.replace("outbox", box)
-        return outbox.delivery_totals(outcomes)
+        return outbox.delivery_totals(outcomes).first().asDict()
 
     @one_at_a_time
     def prepare_download(
-        self, organization: str, batch: str, out: str, single_file: bool = True
+        self, organization: str, batch: str, out: str, single_file: bool | None = None
     ) -> str:
         """Export one batch in its configured columns; returns its object key."""
         t = self.tables
@@ -341,51 +348,55 @@ class Pipeline:
         columns = download.ordered_columns(t.read("output_configuration"), organization, batch)
         key = f"downloads/{organization}/{batch}/results_{batch}.csv.gz"
         export_batch(rows, f"{out.rstrip('/')}/{key}", columns, single_file)
-        self._announce(
-            self.tables.spark.createDataFrame(
-                [(organization, batch)], "app_organization_id string, app_batch_id string"
-            ),
-            f"download-{organization}-{batch}-{uuid.uuid4().hex}",
+        entry = t.spark.createDataFrame(
+            [(organization, batch)], "app_organization_id string, app_batch_id string"
         )
+        run = f"download-{organization}-{batch}-{uuid.uuid4().hex}"
+        self._announce(download.ready_entries(entry), run)
         return key
 
     @one_at_a_time
     def prepare_downloads(self, queued: DataFrame, run: str, out: str) -> None:
-        """Export every pending batch in one job, in all columns."""
+        """Export every pending batch, all batches with the same columns in one job."""
         t = self.tables
         clients, batches = t.read("client"), t.read("client_batch")
-        keys = snapshot(download.pending_keys(queued, clients, batches), "downloads")
-        rows = download.pending_downloads(
-            queued,
-            clients,
-            batches,
-            t.read_people("person_input", keys),
-            t.read_people("gender_results", keys),
+        keys = download.export_lists(
+            download.pending_keys(queued, clients, batches), t.read("output_configuration")
         )
-        export_batches(rows, f"{out.rstrip('/')}/downloads/{run}")
-        self._announce(enrichment.pending(queued).select(*ingest.APPROVAL_KEYS).distinct(), run)
+        keys = snapshot(keys, "downloads")
+        # One row per ordered set of columns in use, not per batch.
+        lists = [r["columns"] for r in keys.select("columns").distinct().collect()]
+        for number, columns in enumerate(lists):
+            mine = keys.where(F.col("columns") == F.array(*[F.lit(c) for c in columns]))
+            mine = mine.drop("columns")
+            people = keyed_join(t.read_people("person_input", mine), mine, BATCH_KEYS, "inner")
+            rows = download.download_rows(people, t.read_people("gender_results", mine))
+            folder = f"downloads/{run}/{number}"
+            export_batches(rows, f"{out.rstrip('/')}/{folder}", columns)
+            place = download.folder_key(
+                folder, F.col("app_organization_id"), F.col("app_batch_id")
+            )
+            self._announce(download.ready_entries(mine, place), f"{run}-{number}")
 
-    def _announce(self, keys: DataFrame, run: str) -> None:
+    def _announce(self, entries: DataFrame, run: str) -> None:
         """Note where results lie and queue the announcements; a repeated one is sent again."""
         t = self.tables
         t.replace(
             "client_batch",
-            download.set_object_keys(t.read("client_batch"), t.read("client"), keys),
+            download.set_object_keys(t.read("client_batch"), t.read("client"), entries),
         )
         queue = t.replace(
             "download_ready_queue",
-            download.download_ready_upsert(
-                t.read("download_ready_queue"), download.ready_entries(keys), self.now()
-            ),
+            download.download_ready_upsert(t.read("download_ready_queue"), entries, self.now()),
         )
         t.emit(
             "download_ready_queue",
-            queue.join(keys, ingest.APPROVAL_KEYS, "left_semi"),
+            queue.join(entries.select(*ingest.APPROVAL_KEYS), ingest.APPROVAL_KEYS, "left_semi"),
             run,
         )
 
     @one_at_a_time
-    def announce_downloads(self, ready: DataFrame, run: str, send: Sender) -> DataFrame:
+    def announce_downloads(self, ready: DataFrame, run: str, send: Sender) -> dict[str, int]:
         """Send the announcements and note the outcomes; returns the totals."""
         messages = outbox.download_messages(enrichment.pending(ready))
         outcomes = snapshot(send(messages), "outcomes")
@@ -393,7 +404,7 @@ class Pipeline:
             self.tables.read("download_ready_queue"), outcomes, self.now()
         )
         self.tables.replace("download_ready_queue", queue)
-        return outbox.delivery_totals(outcomes)
+        return outbox.delivery_totals(outcomes).first().asDict()
 
     @one_at_a_time
     def requeue(self, name: str, rows: DataFrame, run: str) -> None:

@@ -4,12 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
+from namelens.operators import measured_bytes, scratch_path, snapshot
 from namelens.plans.download import EXPORT_COLUMNS, export_projection
 from namelens.plans.ingest import APPROVAL_KEYS
 
 
+# Fixed value: the size limit of a single result file.
+MAX_SINGLE_FILE_BYTES = 4_900_000_000
+
+
 def _csv(df: DataFrame):
     return (
         df.write.mode("overwrite")
@@ -23,15 +28,43 @@ def _csv(df: DataFrame):
 
 
 def export_batch(
-    rows: DataFrame, path: str, columns: Sequence[str], single_file: bool = False
+    rows: DataFrame, path: str, columns: Sequence[str], single_file: bool | None = None
 ) -> None:
     """Write one batch as gzipped CSV with a header.
 
-    Spark writes one file per task; ``single_file`` is for clients that need one
-    file and makes the write serial.
+    One file is written by one task. So a batch becomes the single file ``path``
+    only if it is known to stay below the size limit of such a file; a larger one
+    becomes a folder of files under that name. ``single_file=False`` always gives
+    a folder, ``single_file=True`` fails on a batch that is too large.
     """
     out = export_projection(rows, columns)
-    _csv(out.coalesce(1) if single_file else out).csv(path)
+    if single_file is not False:
+        out = snapshot(out, "export")
+        small = measured_bytes(out) <= MAX_SINGLE_FILE_BYTES
+        if single_file and not small:
+            raise ValueError("the batch is too large for a single file")
+        single_file = small
+    if not single_file:
+        _csv(out).csv(path)
+        return
+    spark = rows.sparkSession
+    parts = scratch_path(spark, "single")
+    _csv(out.coalesce(1)).csv(parts)
+    _move_part(spark, parts, path)
+
+
+def _move_part(spark: SparkSession, folder: str, path: str) -> None:
+    """Put the only part file of a folder in its place."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    source, target = hadoop.Path(folder), hadoop.Path(path)
+    have, want = source.getFileSystem(conf), target.getFileSystem(conf)
+    part = have.globStatus(hadoop.Path(f"{folder}/part-*"))[0].getPath()
+    want.mkdirs(target.getParent())
+    want.delete(target, True)
+    if not hadoop.FileUtil.copy(have, part, want, target, True, conf):
+        raise OSError(f"could not write {path}")
+    have.delete(source, True)
 
 
 def export_batches(

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from namelens.operators import snapshot
+from namelens.operators import snapshot, temporary_snapshots
 from namelens.sources.files import read_client_csv, to_landing
 from namelens.sources.tables import Tables
 
@@ -60,7 +60,8 @@ def start_queue(
     def run(rows: DataFrame, epoch: int) -> None:
         if rows.isEmpty():
             return
-        handler(snapshot(rows, name), f"{name}-{epoch}")
+        with temporary_snapshots(tables.spark):
+            handler(snapshot(rows, name), f"{name}-{epoch}")
 
     return (
         tables.change_stream(name)

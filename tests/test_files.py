@@ -8,11 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from namelens.plans import download
-from namelens.sources import files
+from namelens.sources import export, files
 from namelens.sources.export import export_batch, export_batches, read_export
 
-NOW = F.lit
-
 
 def stamp():
     return F.lit("2026-04-10 12:00:00").cast("timestamp_ntz")
@@ -103,15 +101,23 @@ PEOPLE = [
 
 def test_export_of_one_batch(rows, tmp_path):
     columns = ["RECORD_ID", "FIRST_NAME", "LAST_NAME", "FEMALE_PROBABILITY"]
-    export_batch(rows(PEOPLE[:1], DOWNLOAD), str(tmp_path / "out"), columns, single_file=True)
-    written = list((tmp_path / "out").glob("*.csv.gz"))
-    assert len(written) == 1
-    lines = gzip.decompress(written[0].read_bytes()).decode().splitlines()
+    for _ in range(2):
+        export_batch(rows(PEOPLE[:1], DOWNLOAD), str(tmp_path / "out.csv.gz"), columns)
+    lines = gzip.decompress((tmp_path / "out.csv.gz").read_bytes()).decode().splitlines()
     assert lines == ["RECORD_ID,FIRST_NAME,LAST_NAME,FEMALE_PROBABILITY", '1,"Ann ""A"", x",,0.900000']
     with pytest.raises(ValueError):
         export_batch(rows(PEOPLE, DOWNLOAD), str(tmp_path / "no"), ["RECORD_ID", "1; drop"])
 
 
+def test_a_large_batch_becomes_a_folder(rows, tmp_path, monkeypatch):
+    monkeypatch.setattr(export, "MAX_SINGLE_FILE_BYTES", 10)
+    people = rows(PEOPLE[:1], DOWNLOAD)
+    export_batch(people, str(tmp_path / "out.csv.gz"), ["RECORD_ID"])
+    assert list((tmp_path / "out.csv.gz").glob("part-*.csv.gz"))
+    with pytest.raises(ValueError):
+        export_batch(people, str(tmp_path / "no"), ["RECORD_ID"], single_file=True)
+
+
 def test_export_of_many_batches(spark, rows, tmp_path):
     export_batches(rows(PEOPLE, DOWNLOAD), str(tmp_path / "out"))
     back = {r.RECORD_ID: r for r in read_export(spark, str(tmp_path / "out")).collect()}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import sys
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,6 +14,9 @@ from namelens.plans.refresh import refresh
 from namelens.sources.tables import Tables
 from namelens.streaming import start_ingest, start_queue
 
+# The function of the same name hides the module.
+snapshots = sys.modules["namelens.operators.snapshot"]
+
 CONFIG = json.dumps(
     {
         "attributes": [{"code": "GNDRPR", "label": "Gender"}, {"code": "AGCLPS", "label": "Age"}, {"code": None, "label": "x"}],
@@ -162,13 +166,38 @@ def test_upload_to_delivery(world):
     orders = world.spark.createDataFrame([("o1", "b1", "PENDING"), ("o2", "b2", "PENDING")], "app_organization_id string, app_batch_id string, processing_status string")
     t.emit("download_queue", orders, "q1")
     world.follow("download_queue", lambda rows, run: world.pipeline.prepare_downloads(rows, run, str(world.root / "out")))
-    assert len(t.read("download_ready_queue").collect()) == 2
+    keys = dict(column(t.read("download_ready_queue"), "app_batch_id", "download_object_key"))
+    assert set(keys) == {"b1", "b2"}
+    for batch, count in (("b1", 5), ("b2", 1)):
+        back = world.spark.read.option("header", True).csv(str(world.root / "out" / keys[batch]))
+        assert back.columns == ["RECORD_ID", "PREDICTED_GENDER"] and back.count() == count
 
     world.pipeline.release_batch(2, 2)
     assert t.read_people("person_input").where("batch_id = 2").count() == 0
     assert t.read_people("gender_results").where("batch_id = 2").count() == 1
 
 
+def test_jobs_leave_no_snapshots_behind(world, tmp_path, monkeypatch):
+    monkeypatch.setattr(snapshots, "scratch_dir", lambda spark: str(tmp_path / "scratch"))
+    world.upload("o1", "b1", ["1,Ann,Lee,98101"])
+    world.run()
+    folder = tmp_path / "scratch" / "namelens"
+    assert folder.exists() and not list(folder.iterdir())
+
+
+def test_a_batch_list_reads_only_its_folders(world):
+    t = world.tables
+    rows = world.spark.createDataFrame([(1, b, str(b)) for b in range(1, 6)], "client_id bigint, batch_id bigint, record_id string")
+    t.replace_people("person_input", fill(rows, schemas.PERSON_INPUT))
+    keys = world.spark.createDataFrame([(1, 2), (1, 4), (9, 9)], "client_id bigint, batch_id bigint")
+    some = t.read_people("person_input", keys)
+    assert column(some, "batch_id", "record_id") == [(2, "2"), (4, "4")]
+    assert all("batch_id=2/" in f or "batch_id=4/" in f for f in some.inputFiles())
+    # Writing one batch leaves the others alone.
+    t.replace_people("person_input", some.where("batch_id = 2").withColumn("record_id", F.lit("new")))
+    assert column(t.read_people("person_input"), "batch_id", "record_id") == [(1, "1"), (2, "new"), (3, "3"), (4, "4"), (5, "5")]
+
+
 def test_a_repeated_run_changes_nothing(world):
     t, p = world.tables, world.pipeline
     world.upload("o1", "b1", ["1,Ann,Lee,98101", "2,Bob,Lee,1"])
