@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from namelens.operators.joins import row_hash
 from namelens.operators.snapshot import snapshot
 
 
@@ -26,6 +27,8 @@ def ranked(
     by = list(by)
     if partitions is None:
         partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # The hash comes last: it lets even rows with equal keys go to different ranges.
+    order = [*order, row_hash(df)]
     keys = [f"_o{i}" for i in range(len(order))]
     keyed = df.select("*", *[c.alias(k) for c, k in zip(order, keys)])
     ranged = snapshot(

@@ -186,11 +186,11 @@ def metrics(matched_only: bool) -> str:
     parts = [
         branch("Gender", "COUNT", "INTEGER", "ssa_reportable_gender", "count(*)", "'VALUE'", 1, matched, ", ssa_reportable_gender"),
         branch("Confidence Level", "COUNT", "INTEGER", "ssa_confidence_level", "count(*)", "'CONFIDENCE'", 2, matched, ", ssa_confidence_level"),
-        branch("Uncommon Names", "COUNT", "INTEGER", "'TOTAL_UNCOMMON_NAMES'", "count_if(ssa_is_rare_name=1)", "null", 3, matched),
-        branch("Missing First Name", "COUNT", "INTEGER", "'MISSING_FIRST_NAME'", "count_if(first_name_missing_flag=1)", "null", 4, ""),
+        branch("Uncommon Names", "COUNT", "INTEGER", "'TOTAL_UNCOMMON_NAMES'", "count(case when ssa_is_rare_name=1 then 1 end)", "null", 3, matched),
+        branch("Missing First Name", "COUNT", "INTEGER", "'MISSING_FIRST_NAME'", "count(case when first_name_missing_flag=1 then 1 end)", "null", 4, ""),
     ]
     if matched_only:
-        parts.append(branch("Unmatched Records", "COUNT", "INTEGER", "'UNMATCHED'", "count_if(ssa_lookup_match_flag=0)", "null", 5, ""))
+        parts.append(branch("Unmatched Records", "COUNT", "INTEGER", "'UNMATCHED'", "count(case when ssa_lookup_match_flag=0 then 1 end)", "null", 5, ""))
     n = len(parts)
     for offset, (title, col) in enumerate([("Max Probability", "max_probability"), ("Probability Gap", "probability_gap")], start=1):
         # Millionths as whole numbers, so that the mean is rounded from exact sums.
@@ -207,7 +207,8 @@ STEPS["older_metrics"] = metrics(False)
 
 def payloads(source: str) -> str:
     value = "case when metric_type='COUNT' then cast(cast(metric_value as bigint) as varchar) else rtrim(rtrim(cast(cast(metric_value as decimal(12,6)) as varchar),'0'),'.') end"
-    item = f"""'{{' || coalesce('"label":"' || metric_label || '",','') || '"value":' || {value} || '}}'"""
+    # Null labels and null values are left out.
+    item = f"""'{{' || concat_ws(',', '"label":"' || metric_label || '"', '"value":' || {value}) || '}}'"""
     return f"""select client_id, batch_id, model_version, '{{"analysis_type":"gender_metrics","metrics":[' ||
  string_agg(block, ',' order by metric_sort, metric_name) || ']}}' enrichment_metrics_payload from (
  select client_id, batch_id, model_version, metric_sort, metric_name,
@@ -284,8 +285,8 @@ def accuracy(by_bucket: bool) -> str:
 
 def age_accuracy(kind: str, by_bucket: bool) -> str:
     group = "prob_bucket" if by_bucket else "confidence_level"
-    return f"""select {group}, count(*) total_records, count_if(actual = predicted_age_bucket) correct_records,
- {ratio('count_if(actual = predicted_age_bucket)', 'count(*)')} percent_accuracy from (
+    return f"""select {group}, count(*) total_records, count(case when actual = predicted_age_bucket then 1 end) correct_records,
+ {ratio('count(case when actual = predicted_age_bucket then 1 end)', 'count(*)')} percent_accuracy from (
  select s.confidence_level, {bucket('s.max_probability')} prob_bucket, s.predicted_age_bucket, v.actual
  from (select first_name, {age_actual(kind)} actual from voters) v {'join' if by_bucket else 'left join'} ages_{kind} s on v.first_name = s.first_name
  where v.actual is not null) group by {group}"""
@@ -332,7 +333,7 @@ ORACLES: dict[str, str] = {
     "voter_stage": "select * from voters",
     "gender_lookup": "select * from genders",
     "voter_gender_lookup": score_gender(
-        "select first_name, count_if(gender='M') male_qty, count_if(gender='F') female_qty from voters group by first_name"
+        "select first_name, count(case when gender='M' then 1 end) male_qty, count(case when gender='F' then 1 end) female_qty from voters group by first_name"
     ),
     "age_lookup_generic": "select * from ages_generic",
     "age_lookup_specific": "select * from ages_specific",
@@ -346,15 +347,15 @@ ORACLES: dict[str, str] = {
  matched_low_records, {ratio('matched_low_records','total_records')} percent_low, matched_ambiguous_records,
  {ratio('matched_ambiguous_records','total_records')} percent_amgiguous, matched_low_records + matched_ambiguous_records match_low_ambiguous_records,
  {ratio('(matched_low_records + matched_ambiguous_records)','total_records')} percent_low_amgiguous
- from (select client_id, batch_id, count(*) total_records, count_if(ssa_lookup_match_flag=0) unmatched_records,
- count_if(ssa_confidence_level='LOW') matched_low_records, count_if(ssa_confidence_level='AMBIGUOUS') matched_ambiguous_records
+ from (select client_id, batch_id, count(*) total_records, count(case when ssa_lookup_match_flag=0 then 1 end) unmatched_records,
+ count(case when ssa_confidence_level='LOW' then 1 end) matched_low_records, count(case when ssa_confidence_level='AMBIGUOUS' then 1 end) matched_ambiguous_records
  from improvement group by client_id, batch_id)""",
     "batch_gender_summary": f"""select cast(client_id as varchar) client_id, cast(batch_id as varchar) batch_id, '{VERSION}' model_version,
- count(*) total_records, count_if(first_name_missing_flag=0) usable_first_name_records, count_if(ssa_lookup_match_flag=1) ssa_lookup_match_records,
- {ratio('count_if(ssa_lookup_match_flag=1)','count(*)')} ssa_lookup_match_rate, count_if(ssa_confidence_level='HIGH') high_confidence_records,
- count_if(ssa_confidence_level='MEDIUM') medium_confidence_records, count_if(ssa_confidence_level='LOW') low_confidence_records,
- count_if(ssa_confidence_level='AMBIGUOUS') ambiguous_records, count_if(ssa_reportable_gender='M') reportable_m_records,
- count_if(ssa_reportable_gender='F') reportable_f_records, count_if(ssa_reportable_gender='U') reportable_u_records,
+ count(*) total_records, count(case when first_name_missing_flag=0 then 1 end) usable_first_name_records, count(case when ssa_lookup_match_flag=1 then 1 end) ssa_lookup_match_records,
+ {ratio('count(case when ssa_lookup_match_flag=1 then 1 end)','count(*)')} ssa_lookup_match_rate, count(case when ssa_confidence_level='HIGH' then 1 end) high_confidence_records,
+ count(case when ssa_confidence_level='MEDIUM' then 1 end) medium_confidence_records, count(case when ssa_confidence_level='LOW' then 1 end) low_confidence_records,
+ count(case when ssa_confidence_level='AMBIGUOUS' then 1 end) ambiguous_records, count(case when ssa_reportable_gender='M' then 1 end) reportable_m_records,
+ count(case when ssa_reportable_gender='F' then 1 end) reportable_f_records, count(case when ssa_reportable_gender='U' then 1 end) reportable_u_records,
  max(load_ts) processed_ts from people group by people.client_id, people.batch_id""",
     "batch_metrics": "select * from metrics",
     "batch_metrics_all_rows": "select * from older_metrics",
@@ -462,7 +463,7 @@ ORACLES: dict[str, str] = {
  case when j.id is null then {ts('t.last_attempt_ts')} else {RUN_TS} end last_attempt_ts,
  case when j.id is null then t.last_error else j.message end last_error, {ts('t.created_ts')} created_ts,
  case when j.ok then {RUN_TS} else {ts('t.processed_ts')} end processed_ts from outbox t left join judged j on j.id = t.id""",
-    "delivery_totals": "select count(*) processed, count_if(ok) succeeded, count_if(not ok) failed from judged",
+    "delivery_totals": "select count(*) processed, count(case when ok then 1 end) succeeded, count(case when not ok then 1 end) failed from judged",
     "rarest_name_per_year": """select first_name, gender, cast(year as bigint) as year, cast(quantity as bigint) quantity from (
  select *, row_number() over (partition by gender, year order by quantity, first_name) rn from ssa_raw) where rn = 1""",
     "record_order": f"select client_id, batch_id, record_id, row_number() over (partition by client_id, batch_id order by {NUMERIC_FIRST}) place from person_input",

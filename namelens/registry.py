@@ -17,7 +17,7 @@ from namelens.functions import (
     parse_upload_path,
     record_order,
 )
-from namelens.operators import ranked, scratch_path, with_new_ids
+from namelens.operators import keyed_join, ranked, scratch_path, with_new_ids
 from namelens.plans import (
     approval,
     baseline,
@@ -213,9 +213,8 @@ def safe_cast_load(i: Inputs) -> DataFrame:
 @query
 def export_projection(i: Inputs) -> DataFrame:
     """All batches written as gzipped CSV and read back as text."""
-    rows = _download(i).join(
-        ingest.batch_keys(i.client, i.client_batch), baseline.BATCH_KEYS
-    )
+    keys = ingest.batch_keys(i.client, i.client_batch)
+    rows = keyed_join(_download(i), keys, baseline.BATCH_KEYS, "inner")
     path = scratch_path(i.spark, "export")
     export_batches(rows, path)
     back = read_export(i.spark, path)

@@ -160,3 +160,10 @@ def test_ranked_matches_the_sorted_window(spark, partitions):
 def test_new_ids_follow_on(rows):
     df = with_new_ids(rows([("b",), ("a",), ("c",)], "f string"), [F.col("f")], 100)
     assert as_set(df) == [("a", 101), ("b", 102), ("c", 103)]
+
+
+def test_ranked_splits_a_group_of_copies(spark):
+    """All rows equal: no range gets them all, and the numbers are still 1 to n."""
+    df = spark.range(4000, numPartitions=16).select(F.lit("g").alias("g"), F.lit("1").alias("record_id"))
+    out = ranked(df, record_order("record_id"), by=["g"], name="n", partitions=8)
+    assert [r.n for r in out.orderBy("n").collect()] == list(range(1, 4001))
