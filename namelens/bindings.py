@@ -71,7 +71,7 @@ select cast(n_nationkey + 1 as bigint) as id, 'org-' || cast(n_nationkey as {S})
  n_name as name, n_regionkey % 2 = 0 as model_improvement_program_participant
 from nation
 """,
-    # One batch per client and third of its customers; some are delivered, some unknown yet.
+    # One batch per client and third of its customers; those of rich customers are delivered.
     "client_batch": """
 select cast((c_nationkey + 1)*10 + c_custkey % 3 as bigint) as id,
  cast(c_nationkey + 1 as bigint) as client_id,
@@ -80,7 +80,7 @@ select cast((c_nationkey + 1)*10 + c_custkey % 3 as bigint) as id,
  'uploads/client_org-' || cast(c_nationkey as {S}) || '/batch_b-' || cast(c_nationkey*10 + c_custkey % 3 as {S})
  || '/u' || cast(c_nationkey as {S}) || '-x_my_file.csv' as storage_file_name,
  cast(count(*) as bigint) as record_count, cast(null as bigint) as processed_record_count,
- case when c_nationkey in (3, 8, 20) then cast('2026-04-01 00:00:00' as {T}) else cast(null as {T}) end as delivery_complete_ts,
+ case when sum(cast(floor(c_acctbal) as bigint)) > 5000 * count(*) then cast('2026-04-01 00:00:00' as {T}) else cast(null as {T}) end as delivery_complete_ts,
  cast(null as {S}) as download_object_key
 from customer group by c_nationkey, c_custkey % 3
 """,
@@ -130,13 +130,13 @@ select 'org-' || cast(c_custkey % 50 as {S}) as app_organization_id, 'b-' || cas
  || '],"retain_source_fields":true}' as config_json
 from customer
 """,
-    # One enrichment per order: type by priority, state by order status.
+    # One enrichment per customer and order priority, so at most five per batch.
     "enrichment_status": """
 select cast(o_custkey % 50 as bigint) as client_id, o_custkey as batch_id,
  'b-' || cast(o_custkey as {S}) as app_batch_id,
  o_orderpriority as enrichment_type,
  case substring(o_orderpriority, 1, 1) when '1' then 'GNDRPR' when '2' then 'AGEXPD' when '3' then 'AGCLPS'
-   else 'CODE' || cast(o_orderkey as {S}) end as enrichment_type_code,
+   else 'CODE' || substring(o_orderpriority, 1, 1) end as enrichment_type_code,
  min(case o_orderstatus when 'O' then 'PENDING' when 'F' then 'COMPLETED' else 'RUNNING' end) as enrichment_status,
  min(case when o_orderstatus = 'F' then '{"analysis_type":"a","n":' || cast(o_custkey as {S}) || '}'
       when o_orderstatus = 'P' then '{bad' end) as enrichment_metrics_payload,
@@ -180,11 +180,11 @@ select distinct 'org-' || cast(o_custkey % 50 as {S}) as app_organization_id, 'b
  cast('2026-04-01 08:00:02' as {T}) as updated_ts
 from orders where o_orderstatus = 'P'
 """,
-    # A download order per batch; those of delivered batches are still to be prepared.
+    # A download order per batch; those of rich customers are still to be prepared.
     "download_queue": """
 select 'org-' || cast(c_nationkey as {S}) as app_organization_id,
  'b-' || cast(c_nationkey*10 + c_custkey % 3 as {S}) as app_batch_id,
- case when c_nationkey in (3, 8, 20) then 'PENDING' else 'SUCCEEDED' end as processing_status
+ case when sum(cast(floor(c_acctbal) as bigint)) > 5000 * count(*) then 'PENDING' else 'SUCCEEDED' end as processing_status
 from customer group by c_nationkey, c_custkey % 3
 """,
     "attribute": """

@@ -12,7 +12,9 @@ from namelens.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(8, "8g")
+    # Tiny inputs: compiling each plan would take longer than running it.
+    settings = {"spark.sql.shuffle.partitions": "4", "spark.sql.codegen.wholeStage": "false"}
+    session = local_session(8, "8g", **settings)
     yield session
     session.stop()
 
