@@ -19,7 +19,7 @@ def _key_match(keys: Sequence[str], null_safe: bool) -> Column:
     return reduce(lambda a, b: a & b, tests)
 
 
-def one_row_per_key(source: DataFrame, keys: Sequence[str]) -> DataFrame:
+def one_row_per_key(source: DataFrame, keys: Sequence[str], null_safe: bool) -> DataFrame:
     """``source`` with a ``_found`` mark that fails the job on a repeated key.
 
     The numbering needs the rows partitioned and sorted by key, as the join that
@@ -28,7 +28,8 @@ def one_row_per_key(source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """
     message = F.concat(F.lit("upsert source has several rows for key "), F.to_json(F.struct(*keys)))
     nth = F.row_number().over(Window.partitionBy(*keys).orderBy(keys[0]))
-    found = F.when(nth > 1, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
+    repeated = (nth > 1) if null_safe else (nth > 1) & ~any_null(keys)
+    found = F.when(repeated, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
     return source.withColumn("_found", found)
 
 
@@ -44,6 +45,7 @@ def upsert(
     update: bool = True,
     target_pred: Column | None = None,
     null_safe: bool = False,
+    null_keys: bool = True,
 ) -> DataFrame:
     """Merge ``source`` into ``target`` on ``keys``.
 
@@ -52,6 +54,10 @@ def upsert(
     ``insert_literals``; columns the source lacks are null there. With
     ``target_pred`` only the target rows that satisfy it can match. A repeated
     source key fails the job. A null key matches nothing unless ``null_safe``.
+
+    With ``null_keys`` the rows without a key go around the join, for which both
+    sides are read once more. ``False`` is for keys declared not null; the result
+    is the same.
     """
     keys = list(keys)
     set_literals = dict(set_literals or {})
@@ -62,15 +68,16 @@ def upsert(
 
     # Rows that cannot match go around the join: a null key is no join key, and a
     # shuffle on it would put all such rows into one task.
-    aside = None if null_safe else any_null(keys)
+    split = null_keys and not null_safe
+    aside = any_null(keys) if split else None
     if target_pred is not None:
         shut = ~F.coalesce(target_pred, F.lit(False))
         aside = shut if aside is None else aside | shut
     kept_aside = None if aside is None else target.where(aside)
-    loose = source.where(any_null(keys)) if insert and not null_safe else None
+    loose = source.where(any_null(keys)) if insert and split else None
     t = target if aside is None else target.where(~aside)
     t = t.withColumn("_kept", F.lit(True))
-    s = one_row_per_key(source if null_safe else source.where(~any_null(keys)), keys)
+    s = one_row_per_key(source.where(~any_null(keys)) if split else source, keys, null_safe)
     match = _key_match(keys, null_safe)
     joined = t.alias("t").join(s.alias("s"), match, "full_outer" if insert else "left")
 
@@ -118,9 +125,17 @@ def add_absent(
     source: DataFrame,
     keys: Sequence[str],
     insert_literals: Literals | None = None,
+    null_keys: bool = True,
 ) -> DataFrame:
     """``target`` plus the source rows whose key it lacks; matched rows stay as they are."""
-    return upsert(target, source, keys, update=False, insert_literals=insert_literals)
+    return upsert(
+        target,
+        source,
+        keys,
+        update=False,
+        insert_literals=insert_literals,
+        null_keys=null_keys,
+    )
 
 
 def update_matching(

@@ -76,6 +76,7 @@ def apply_decisions(queue: DataFrame, decisions: DataFrame, run_ts: Column) -> D
         update_cols=DECISION_COLUMNS,
         set_literals={"updated_ts": run_ts},
         insert=False,
+        null_keys=False,
     )
 
 

@@ -83,6 +83,7 @@ def complete_batches(
         ["client_id", "id"],
         set_literals={"delivery_complete_ts": run_ts},
         insert=False,
+        null_keys=False,
     )
 
 
@@ -204,6 +205,7 @@ def outbox_upsert(outbox: DataFrame, messages: DataFrame) -> DataFrame:
         OUTBOX_KEYS,
         update_cols=["app_batch_id", "app_organization_id", "payload", "status"],
         target_pred=F.col("processed_ts").isNull(),
+        null_keys=False,
     )
 
 

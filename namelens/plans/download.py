@@ -156,7 +156,7 @@ def set_object_keys(batches: DataFrame, clients: DataFrame, ready: DataFrame) ->
     done = ready.join(batch_keys(clients, batches), APPROVAL_KEYS).select(
         "client_id", F.col("batch_id").alias("id"), "download_object_key"
     )
-    return upsert(batches, done, ["client_id", "id"], insert=False)
+    return upsert(batches, done, ["client_id", "id"], insert=False, null_keys=False)
 
 
 def ready_entries(keys: DataFrame, place: Column | None = None) -> DataFrame:
@@ -189,4 +189,5 @@ def download_ready_upsert(queue: DataFrame, entries: DataFrame, run_ts: Column)
             "created_ts": run_ts,
             "updated_ts": run_ts,
         },
+        null_keys=False,
     )

@@ -158,7 +158,9 @@ def upsert_results(
     results: DataFrame, baseline: DataFrame, model_version: str = MODEL_VERSION
 ) -> DataFrame:
     """Result rows after writing the baseline over them, one row per record."""
-    return upsert(results, to_results(baseline, model_version), RECORD_KEYS)
+    return upsert(
+        results, to_results(baseline, model_version), RECORD_KEYS, null_keys=False
+    )
 
 
 IMPROVEMENT_COLUMNS = [
@@ -203,6 +205,7 @@ def upsert_improvement(
         to_improvement(baseline, clients, model_version),
         RECORD_KEYS,
         insert_literals={"opted_in_data_loaded_ts": run_ts},
+        null_keys=False,
     )
 
 
@@ -245,6 +248,7 @@ def complete_status(
             "error_message": F.lit(None),
         },
         insert=False,
+        null_keys=False,
     )
 
 
@@ -275,6 +279,7 @@ def enqueue_completion(queue: DataFrame, candidates: DataFrame, run_ts: Column)
             "created_ts": run_ts,
             "updated_ts": run_ts,
         },
+        null_keys=False,
     )
 
 

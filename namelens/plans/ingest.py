@@ -86,5 +86,9 @@ def enqueue_approval(queue: DataFrame, entries: DataFrame, run_ts: Column) -> Da
         F.min("batch_id").alias("batch_id"), F.any_value("status").alias("status")
     )
     return add_absent(
-        queue, entries, APPROVAL_KEYS, insert_literals={"created_ts": run_ts, "updated_ts": run_ts}
+        queue,
+        entries,
+        APPROVAL_KEYS,
+        insert_literals={"created_ts": run_ts, "updated_ts": run_ts},
+        null_keys=False,
     )

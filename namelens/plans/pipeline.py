@@ -103,7 +103,7 @@ class Pipeline:
             ),
             schemas.BATCH,
         )
-        batches = t.replace("client_batch", add_absent(batches, staged, ["client_id", "id"]))
+        batches = t.replace("client_batch", add_absent(batches, staged, ["client_id", "id"], null_keys=False))
 
         keys = ingest.batch_keys(clients, batches)
         touched = snapshot(
@@ -155,7 +155,7 @@ class Pipeline:
             wanted.withColumn("created_ts", self.now()).withColumn("updated_ts", self.now()),
             schemas.ENRICHMENT_STATUS,
         )
-        t.replace("enrichment_status", add_absent(statuses, staged, approval.STATUS_KEYS))
+        t.replace("enrichment_status", add_absent(statuses, staged, approval.STATUS_KEYS, null_keys=False))
         t.emit("enrichment_status", staged, run)
         if self.purge_landing:
             self._purge_landing(decisions, clients, batches)
@@ -240,7 +240,7 @@ class Pipeline:
     def _write_results(self, name: str, rows: DataFrame, keys: DataFrame) -> None:
         """Write result rows over the stored ones of their batches; other batches are not read."""
         stored = self.tables.read_people(name, keys)
-        self.tables.replace_people(name, upsert(stored, rows, RECORD_KEYS))
+        self.tables.replace_people(name, upsert(stored, rows, RECORD_KEYS, null_keys=False))
 
     def _enrich_gender(self, code: str, keys: DataFrame) -> DataFrame:
         t = self.tables

@@ -52,7 +52,8 @@ def test_upsert_null_keys(rows):
     assert as_set(upsert(target, source, ["k"])) == [(None, 1, 1), (None, 2, 2)]
     assert as_set(upsert(target, source, ["k"], null_safe=True)) == [(None, 2, 2)]
     twice = rows([(None, 2, 2), (None, 2, 2)], T)
-    assert upsert(target, twice, ["k"]).count() == 3
+    for null_keys in (True, False):
+        assert upsert(target, twice, ["k"], null_keys=null_keys).count() == 3
 
 
 def test_upsert_rejects_a_repeated_source_key(rows):
