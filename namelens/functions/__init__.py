@@ -1,4 +1,5 @@
 from namelens.functions.paths import parse_upload_path
+from namelens.functions.sql import register_functions
 from namelens.functions.text import flag, normalize_gender, normalize_name, normalize_zip5
 from namelens.functions.values import (
     DATE_FORMATS,
@@ -20,6 +21,7 @@ __all__ = [
     "normalize_zip5",
     "parse_upload_path",
     "record_order",
+    "register_functions",
     "share",
     "try_date",
     "try_number",

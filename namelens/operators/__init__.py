@@ -7,10 +7,11 @@ from namelens.operators.snapshot import (
     snapshot,
     temporary_snapshots,
 )
-from namelens.operators.upsert import add_absent, insert_absent, update_matching, upsert
+from namelens.operators.upsert import add_absent, delete_matching, insert_absent, update_matching, upsert
 
 __all__ = [
     "add_absent",
+    "delete_matching",
     "insert_absent",
     "keyed_join",
     "measured_bytes",

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from namelens.operators.joins import any_null
+from namelens.operators.joins import any_null, keyed_join
 
 Literals = Mapping[str, Column]
 
@@ -138,6 +138,11 @@ def add_absent(
     )
 
 
+def delete_matching(target: DataFrame, keys_df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``target`` without the rows whose key is in ``keys_df``, however many rows a key has."""
+    return keyed_join(target, keys_df, keys, "left_anti")
+
+
 def update_matching(
     target: DataFrame,
     keys_df: DataFrame,

@@ -326,6 +326,8 @@ ORACLES: dict[str, str] = {
  nullif(regexp_replace(lower(trim(first_name)),'\\P{{L}}+','','g'),'') first_name_letters from person_input""",
     "normalize_zip5": f"select state_voter_id, {zip5('registration_zip_code')} registration_zip5, {zip5('mailing_zip_code')} mailing_zip5 from voter_raw",
     "normalize_gender": f"select state_voter_id, {gender('gender')} gender_clean from voter_raw",
+    "sql_functions": f"""select state_voter_id, {name('first_name')} first_name, {zip5('registration_zip_code')} zip5,
+ {gender('gender')} gender from voter_raw""",
     "parse_upload_path": "select record_id, app_organization_id, app_batch_id, file_basename, original_source_file_name from parsed",
     "name_search": "select * from genders where first_name ilike '%RING%'",
     "ssa_stage": "select * from stage",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from namelens.operators import keyed_join, upsert
+from namelens.operators import delete_matching, upsert
 from namelens.plans.ingest import APPROVAL_KEYS, batch_keys
 from namelens.schemas import CONFIG_JSON
 
@@ -140,4 +140,4 @@ def purge_approved_landing(
         )
         .select("storage_file_name")
     )
-    return keyed_join(landing, files, ["storage_file_name"], "left_anti")
+    return delete_matching(landing, files, ["storage_file_name"])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from namelens.operators import keyed_join, update_matching, upsert
+from namelens.operators import delete_matching, update_matching, upsert
 from namelens.plans.baseline import BATCH_KEYS, batch_record_counts
 
 # Names used in the delivery messages.
@@ -211,4 +211,4 @@ def outbox_upsert(outbox: DataFrame, messages: DataFrame) -> DataFrame:
 
 def purge_delivered(raw: DataFrame, keys: DataFrame) -> DataFrame:
     """The raw people that stay once the delivered batches are dropped."""
-    return keyed_join(raw, keys, BATCH_KEYS, "left_anti")
+    return delete_matching(raw, keys, BATCH_KEYS)

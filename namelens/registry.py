@@ -16,6 +16,7 @@ from namelens.functions import (
     normalize_zip5,
     parse_upload_path,
     record_order,
+    register_functions,
 )
 from namelens.operators import keyed_join, ranked, scratch_path, with_new_ids
 from namelens.plans import (
@@ -340,6 +341,18 @@ for _name in ("normalize_name", "normalize_zip5", "normalize_gender"):
     QUERIES[_name] = QUERIES.pop(f"{_name}_")
 
 
+@query
+def sql_functions(i: Inputs) -> DataFrame:
+    """The cleaning functions called from SQL text."""
+    register_functions(i.spark)
+    i.voter_raw.createOrReplaceTempView("namelens_voter_raw")
+    return i.spark.sql(
+        "select state_voter_id, normalize_name(first_name) as first_name,"
+        " normalize_zip5(registration_zip_code) as zip5, normalize_gender(gender) as gender"
+        " from namelens_voter_raw"
+    )
+
+
 @query
 def parse_upload_path_(i: Inputs) -> DataFrame:
     return ingest.parse_landing(i.landing).select(

@@ -88,6 +88,10 @@ class Tables:
                 found.append(int(name.split("=")[1]))
         return sorted(found)
 
+    def has(self, name: str) -> bool:
+        """Whether a keyed table has been written."""
+        return bool(self._versions(f"{self.root}/keyed/{name}"))
+
     def read(self, name: str) -> DataFrame:
         """The newest version of a keyed table, or an empty one."""
         path = f"{self.root}/keyed/{name}"

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from namelens.functions import record_order
 from namelens.operators import (
     add_absent,
+    delete_matching,
     insert_absent,
     keyed_join,
     measured_bytes,
@@ -82,6 +83,12 @@ def test_insert_absent_keeps_repeats_inside_the_source(rows):
     assert as_set(insert_absent(target, source, ["k"])) == [("y", 3, 3), ("y", 3, 3)]
 
 
+def test_delete_matching(rows):
+    target = rows([("x", 1, 1), ("y", 2, 2), ("y", 3, 3), (None, 4, 4)], T)
+    out = delete_matching(target, rows([("y",), (None,)], "k string"), ["k"])
+    assert as_set(out) == sorted([("x", 1, 1), (None, 4, 4)], key=repr)
+
+
 def test_update_matching(rows):
     target = rows([("x", 1, 1), ("y", 2, 2), ("z", 3, 3)], T)
     keys = rows([("x",), ("x",), ("y",)], "k string")

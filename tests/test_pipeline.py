@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from namelens import schemas
 from namelens.plans.pipeline import Pipeline
 from namelens.plans.refresh import refresh
+from namelens.plans.views import register_views
 from namelens.sources.tables import Tables
 from namelens.streaming import start_ingest, start_queue
 
@@ -177,6 +178,21 @@ def test_upload_to_delivery(world):
     assert t.read_people("gender_results").where("batch_id = 2").count() == 1
 
 
+def test_views_for_ad_hoc_sql(world):
+    rows = world.spark.createDataFrame(
+        [(1, 1, "1", "LOW", 1), (1, 1, "2", "HIGH", 1), (1, 1, "3", None, 0)],
+        "client_id bigint, batch_id bigint, record_id string, ssa_confidence_level string, ssa_lookup_match_flag int",
+    )
+    world.tables.replace_people("improvement_store", fill(rows, schemas.IMPROVEMENT_STORE))
+    assert "gender_lookup" in register_views(world.tables)
+    sql = world.spark.sql
+    assert column(sql("select record_id from vw_model_improvement_low_confidence"), "record_id") == [("1",)]
+    report = sql("select * from vw_model_improvement_agg_unmatched_low_quality").first()
+    assert (report.total_records, report.unmatched_records, report.matched_low_records) == (3, 1, 1)
+    assert sql("select first_name from gender_lookup where first_name = normalize_name(' Ann-')").count() == 1
+    assert sql("select normalize_zip5('98101-1'), normalize_zip5('12'), normalize_gender(' male ')").first()[:] == ("98101", None, "M")
+
+
 def test_jobs_leave_no_snapshots_behind(world, tmp_path, monkeypatch):
     monkeypatch.setattr(snapshots, "scratch_dir", lambda spark: str(tmp_path / "scratch"))
     world.upload("o1", "b1", ["1,Ann,Lee,98101"])
