@@ -15,11 +15,13 @@ def read_client_csv(
     stream: bool = False,
     quote: str = '"',
     glob: str | None = None,
+    max_files: int | None = None,
 ) -> DataFrame:
     """Client files by position, with their path and place in it.
 
-    The first line is skipped whatever it says. ``_block`` and ``_place`` are
-    the inputs of ``with_file_row_numbers``. ``quote=""`` keeps quote signs.
+    The first line is skipped whatever it says. ``_block`` is for
+    ``with_file_row_numbers``. ``quote=""`` keeps quote signs. ``max_files`` bounds
+    what one run of a stream takes.
     """
     reader = spark.readStream if stream else spark.read
     reader = (
@@ -29,6 +31,8 @@ def read_client_csv(
         .option("quote", quote)
         .option("recursiveFileLookup", True)
     )
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     return reader.csv(path).select(

@@ -207,15 +207,14 @@ class Tables:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).option("recursiveFileLookup", True).parquet(path)
 
-    def change_stream(self, name: str) -> DataFrame:
+    def change_stream(self, name: str, max_files: int | None = None) -> DataFrame:
         """The inserted rows as a stream. Updates of the keyed table never appear here."""
         fs, target, _ = self._files(self.change_path(name))
         fs.mkdirs(target)
-        return (
-            self.spark.readStream.schema(schemas.struct(CHANGES[name]))
-            .option("recursiveFileLookup", True)
-            .parquet(self.change_path(name))
-        )
+        reader = self.spark.readStream.schema(schemas.struct(CHANGES[name]))
+        if max_files:
+            reader = reader.option("maxFilesPerTrigger", max_files)
+        return reader.option("recursiveFileLookup", True).parquet(self.change_path(name))
 
     def drop_change_runs(self, name: str, runs: Sequence[str]) -> None:
         """Remove the rows that whole runs inserted."""

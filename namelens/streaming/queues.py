@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from namelens.operators import snapshot, temporary_snapshots
+from namelens.operators import temporary_snapshots
 from namelens.sources.files import read_client_csv, to_landing
 from namelens.sources.tables import Tables
 
@@ -26,15 +26,19 @@ def start_ingest(
     trigger: dict | None = None,
     now: Callable[[], Column] = F.current_timestamp,
     quote: str = '"',
+    max_files: int | None = None,
 ) -> StreamingQuery:
-    """Land every new upload file. A file is landed as a whole, once."""
+    """Land every new upload file. A file is landed as a whole, once.
+
+    ``max_files`` bounds how many files one run takes.
+    """
 
     def land(files: DataFrame, epoch: int) -> None:
         if files.isEmpty():
             return
         tables.emit("landing", to_landing(files, now().cast("timestamp_ntz")), f"landing-{epoch}")
 
-    stream = read_client_csv(spark, uploads, stream=True, quote=quote)
+    stream = read_client_csv(spark, uploads, stream=True, quote=quote, max_files=max_files)
     return (
         stream.writeStream.foreachBatch(land)
         .option("checkpointLocation", checkpoint)
@@ -49,22 +53,23 @@ def start_queue(
     handler: Handler,
     checkpoint: str,
     trigger: dict | None = None,
+    max_files: int | None = None,
 ) -> StreamingQuery:
     """Call ``handler(rows, run)`` with the rows inserted into a table since the last call.
 
-    No rows, no call. The rows are written down before the call, so all of the
-    handler's steps see the same ones. After a failure the same rows come again
-    under the same run name.
+    No rows, no call. The rows of a call are a fixed set of files, so all of the
+    handler's steps see the same ones; nothing is copied. After a failure the same
+    rows come again under the same run name.
     """
 
     def run(rows: DataFrame, epoch: int) -> None:
         if rows.isEmpty():
             return
         with temporary_snapshots(tables.spark):
-            handler(snapshot(rows, name), f"{name}-{epoch}")
+            handler(rows, f"{name}-{epoch}")
 
     return (
-        tables.change_stream(name)
+        tables.change_stream(name, max_files)
         .writeStream.foreachBatch(run)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or ONCE))

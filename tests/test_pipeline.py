@@ -178,6 +178,17 @@ def test_upload_to_delivery(world):
     assert t.read_people("gender_results").where("batch_id = 2").count() == 1
 
 
+def test_runs_can_be_kept_small(world):
+    world.upload("o1", "b1", ["1,Ann,Lee,98101"])
+    world.upload("o1", "b2", ["1,Bob,Lee,98101", "2,Ann,,"])
+    t = world.tables
+    start_ingest(world.spark, t, str(world.root / "uploads"), str(world.root / "checkpoints" / "ingest"), now=now, max_files=1).awaitTermination()
+    assert len(list((world.root / "tables" / "changes" / "landing").iterdir())) == 2
+    calls = []
+    start_queue(t, "landing", lambda rows, run: calls.append((run, rows.count())), str(world.root / "checkpoints" / "l"), max_files=1).awaitTermination()
+    assert sum(n for _, n in calls) == 3 and len({run for run, _ in calls}) == len(calls) == 2
+
+
 def test_views_for_ad_hoc_sql(world):
     rows = world.spark.createDataFrame(
         [(1, 1, "1", "LOW", 1), (1, 1, "2", "HIGH", 1), (1, 1, "3", None, 0)],
