@@ -25,18 +25,16 @@ def ranked(
     the rows of the same group in the ranges before it.
     """
     by = list(by)
-    if partitions is None:
-        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # The hash comes last: it lets even rows with equal keys go to different ranges.
     order = [*order, row_hash(df)]
     keys = [f"_o{i}" for i in range(len(order))]
     keyed = df.select("*", *[c.alias(k) for c, k in zip(order, keys)])
-    ranged = snapshot(
-        keyed.repartitionByRange(partitions, *by, *keys).withColumn(
-            "_range", F.spark_partition_id()
-        ),
-        "ranges",
-    )
+    # Without a fixed number, adaptive execution joins small neighbouring ranges.
+    if partitions is None:
+        keyed = keyed.repartitionByRange(*by, *keys)
+    else:
+        keyed = keyed.repartitionByRange(partitions, *by, *keys)
+    ranged = snapshot(keyed.withColumn("_range", F.spark_partition_id()), "ranges")
     counts = ranged.groupBy("_range", *by).agg(F.count(F.lit(1)).alias("_rows"))
     # At most one row per group and range that holds it.
     before = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(1))

@@ -38,7 +38,10 @@ def _apply(
     widened = queue.withColumn("_status", F.lit(None).cast("string")).withColumn(
         "_message", F.lit(None).cast("string")
     )
-    return upsert(widened, judged, keys, set_literals=sets, insert=False, null_keys=False).drop("_status", "_message")
+    merged = upsert(
+        widened, judged, keys, set_literals=sets, insert=False, null_keys=False
+    )
+    return merged.drop("_status", "_message")
 
 
 def apply_delivery_outcomes(outbox: DataFrame, outcomes: DataFrame, run_ts: Column) -> DataFrame:

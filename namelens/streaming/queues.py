@@ -18,6 +18,12 @@ ONCE = {"availableNow": True}
 EVERY_10_SECONDS = {"processingTime": "10 seconds"}
 
 
+def run_name(rows: DataFrame, name: str, epoch: int) -> str:
+    """The same for a repeated run, different for a stream with a new checkpoint."""
+    stream = rows.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return f"{name}-{stream}-{epoch}"
+
+
 def start_ingest(
     spark: SparkSession,
     tables: Tables,
@@ -36,7 +42,8 @@ def start_ingest(
     def land(files: DataFrame, epoch: int) -> None:
         if files.isEmpty():
             return
-        tables.emit("landing", to_landing(files, now().cast("timestamp_ntz")), f"landing-{epoch}")
+        landed = to_landing(files, now().cast("timestamp_ntz"))
+        tables.emit("landing", landed, run_name(files, "landing", epoch))
 
     stream = read_client_csv(spark, uploads, stream=True, quote=quote, max_files=max_files)
     return (
@@ -66,7 +73,7 @@ def start_queue(
         if rows.isEmpty():
             return
         with temporary_snapshots(tables.spark):
-            handler(rows, f"{name}-{epoch}")
+            handler(rows, run_name(rows, name, epoch))
 
     return (
         tables.change_stream(name, max_files)

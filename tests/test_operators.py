@@ -149,7 +149,7 @@ def test_snapshot_uses_the_shared_folder(spark, rows):
     assert scratch_dir(spark) in stored.inputFiles()[0]
 
 
-@pytest.mark.parametrize("partitions", [1, 7])
+@pytest.mark.parametrize("partitions", [1, 7, None])
 def test_ranked_matches_the_sorted_window(spark, partitions):
     df = spark.range(3000).select(
         F.when(F.col("id") % 3 == 0, "big").otherwise(F.concat(F.lit("g"), F.col("id") % 40)).alias("g"),

@@ -187,6 +187,11 @@ def test_runs_can_be_kept_small(world):
     calls = []
     start_queue(t, "landing", lambda rows, run: calls.append((run, rows.count())), str(world.root / "checkpoints" / "l"), max_files=1).awaitTermination()
     assert sum(n for _, n in calls) == 3 and len({run for run, _ in calls}) == len(calls) == 2
+    # A new checkpoint lands the files once more, under new run names; the people stay single.
+    start_ingest(world.spark, t, str(world.root / "uploads"), str(world.root / "checkpoints" / "again"), now=now).awaitTermination()
+    assert t.changes("landing").count() == 6
+    world.follow("landing", world.pipeline.process_files)
+    assert t.read_people("person_input").count() == 3 and t.read("client_batch").count() == 2
 
 
 def test_views_for_ad_hoc_sql(world):
