@@ -7,9 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from namelens.llm.bpe import op7_bpe
+from namelens.llm.urls import op10_sql, op10_url_filters
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_bpe": op7_bpe,
+    "op10_url_filters": op10_url_filters,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op10_url_filters": op10_sql(),
+}
