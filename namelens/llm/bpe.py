@@ -19,12 +19,13 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from namelens.llm.words import batches
+from namelens.llm.words import BATCH_BYTES, batches, no_cycles
 
 # How byte-level BPE splits text before the merges.
 PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -33,7 +34,7 @@ PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 PLAIN_BYTES = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 
 # Pre-tokens remembered by a Python worker; beyond, it forgets them all and starts anew.
-MEMORY_PRE_TOKENS = 500_000
+MEMORY_PRE_TOKENS = 400_000
 # Longer fragments are merged one by one with a heap.
 LONG_FRAGMENT_BYTES = 64
 ROWS_AT_ONCE = 20_000
@@ -79,6 +80,13 @@ class Vocabulary:
         self.special_pattern = (
             regex.compile("|".join(regex.escape(s) for s in self.special)) if self.special else None
         )
+        lengths = np.zeros(max(self.token_bytes) + 1, dtype=np.int64)
+        for i, token in self.token_bytes.items():
+            lengths[i] = len(token)
+        self.token_lengths, self.token_starts = lengths, np.cumsum(lengths) - lengths
+        self.token_table = np.frombuffer(
+            b"".join(self.token_bytes.get(i, b"") for i in range(len(lengths))), dtype=np.uint8
+        )
         self.known: dict[str | int, tuple[int, ...]] = {}
         keys = np.array([left << 32 | right for left, right in self.merges], dtype=np.int64)
         order = np.argsort(keys)
@@ -255,10 +263,26 @@ class Vocabulary:
     def encode(self, text: str) -> list[int]:
         return next(self.encode_all([text]))
 
+    def encode_flat(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in one array, and where each text's begin."""
+        arrays = [np.array(ids, dtype=np.int32) for ids in self.encode_all(texts)]
+        offsets = np.concatenate(([0], np.cumsum([len(a) for a in arrays]))).astype(np.int32)
+        return np.concatenate([*arrays, np.zeros(0, dtype=np.int32)]), offsets
+
+    def decode_flat(self, values: np.ndarray, offsets: np.ndarray) -> list[str]:
+        """Texts of consecutive runs of ids. Unknown ids have no bytes."""
+        known = (values >= 0) & (values < len(self.token_lengths))
+        values = np.where(known, values, 0)
+        lengths = np.where(known, self.token_lengths[values], 0)
+        ends = np.cumsum(lengths, dtype=np.int64)
+        shift = np.repeat(self.token_starts[values] - (ends - lengths), lengths)
+        data = self.token_table[shift + np.arange(len(shift))].tobytes()
+        at = np.concatenate(([0], ends))[offsets].tolist()
+        return [data[a:b].decode("utf-8", "replace") for a, b in zip(at, at[1:])]
+
     def decode(self, ids: list[int]) -> str:
         """Bytes of all tokens as UTF-8; broken sequences become U+FFFD."""
-        table = self.token_bytes
-        return b"".join([table[i] for i in ids if i in table]).decode("utf-8", "replace")
+        return self.decode_flat(np.array(ids, dtype=np.int64), np.array([0, len(ids)]))[0]
 
 
 _vocabularies: dict[str, Vocabulary] = {}
@@ -284,24 +308,52 @@ def read_specification(path: str) -> bytes:
         return file.read()
 
 
-def encode(docs: DataFrame, tokenizer: str, text: str = "text", ids: str = "ids") -> DataFrame:
+def _slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with about as many bytes as are worked on at once."""
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
+    start = 0
+    while start < len(sizes):
+        held = sizes[start - 1] if start else 0
+        end = max(start + 1, int(np.searchsorted(sizes, held + BATCH_BYTES, side="right")))
+        yield batch.slice(start, end - start)
+        start = end
+
+
+def _replaced(batch: pa.RecordBatch, added: dict[str, pa.Array]) -> pa.RecordBatch:
+    names = {n.lower() for n in added}
+    kept = [k for k, n in enumerate(batch.schema.names) if n.lower() not in names]
+    return pa.RecordBatch.from_arrays(
+        [*(batch.column(k) for k in kept), *added.values()],
+        names=[*(batch.schema.names[k] for k in kept), *added],
+    )
+
+
+def encode(
+    docs: DataFrame, tokenizer: str, text: str = "text", ids: str = "ids", decoded: str | None = None
+) -> DataFrame:
     """Add the token ids of ``text`` as an array column.
 
-    The tokenizer file is read by the driver and broadcast: its size is that of
-    a vocabulary and does not grow with the data.
+    With ``decoded``, the ids are decoded again in the same pass into a column of
+    that name. The tokenizer file is read by the driver and broadcast: its size
+    is that of a vocabulary and does not grow with the data.
     """
     spec = docs.sparkSession.sparkContext.broadcast(read_specification(tokenizer))
-    schema = with_columns(docs.schema, [T.StructField(ids, T.ArrayType(T.IntegerType(), False))])
+    added = [T.StructField(ids, T.ArrayType(T.IntegerType(), False))]
+    if decoded is not None:
+        added.append(T.StructField(decoded, T.StringType()))
+    schema = with_columns(docs.schema, added)
     place = [f.name for f in docs.schema.fields].index(text)
-    kept = [k for k, f in enumerate(docs.schema.fields) if f.name.lower() != ids.lower()]
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(spec.value)
         for batch in parts:
-            found = pa.array(vocab.encode_all([t or "" for t in batch.column(place).to_pylist()]), pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(k) for k in kept), found], names=[f.name for f in schema.fields]
-            )
+            for part in _slices(batch, place):
+                with no_cycles():
+                    values, offsets = vocab.encode_flat([t or "" for t in part.column(place).to_pylist()])
+                found = {ids: pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))}
+                if decoded is not None:
+                    found[decoded] = pa.array(vocab.decode_flat(values, offsets), pa.string())
+                yield _replaced(part, found)
 
     return docs.mapInArrow(run, schema)
 
@@ -311,15 +363,15 @@ def decode(rows: DataFrame, tokenizer: str, ids: str = "ids", text: str = "decod
     spec = rows.sparkSession.sparkContext.broadcast(read_specification(tokenizer))
     schema = with_columns(rows.schema, [T.StructField(text, T.StringType())])
     place = [f.name for f in rows.schema.fields].index(ids)
-    kept = [k for k, f in enumerate(rows.schema.fields) if f.name.lower() != text.lower()]
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(spec.value)
         for batch in parts:
-            found = pa.array([vocab.decode(v or []) for v in batch.column(place).to_pylist()], pa.string())
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(k) for k in kept), found], names=[f.name for f in schema.fields]
-            )
+            lists = batch.column(place)
+            lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+            offsets = np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)
+            values = lists.flatten().to_numpy(zero_copy_only=False)
+            yield _replaced(batch, {text: pa.array(vocab.decode_flat(values, offsets), pa.string())})
 
     return rows.mapInArrow(run, schema)
 
@@ -334,7 +386,7 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts and hashes of the ids and of the decoded text of all documents."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     tokenizer = default_tokenizer()
-    rows = decode(encode(docs, tokenizer).drop("text"), tokenizer)
+    rows = encode(docs, tokenizer, decoded="decoded")
     return rows.select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),

@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from namelens.llm.bpe import op7_bpe
 from namelens.llm.mixing import op8_mixing
+from namelens.llm.toxicity import op5_toxicity
 from namelens.llm.urls import op10_sql, op10_url_filters
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_toxicity": op5_toxicity,
     "op7_bpe": op7_bpe,
     "op8_mixing": op8_mixing,
     "op10_url_filters": op10_url_filters,

@@ -8,7 +8,9 @@ in every process.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
@@ -98,6 +100,18 @@ def words_of(texts: list[bytes]) -> Words:
     return Words(data, starts, ends, hashes, first)
 
 
+@contextmanager
+def no_cycles() -> Iterator[None]:
+    """Pause the search for reference cycles while many small tuples are made, which have none."""
+    on = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if on:
+            gc.enable()
+
+
 def batches(rows: list, size_of, limit: int = BATCH_BYTES) -> Iterator[list]:
     """Split ``rows`` into lists of at most ``limit`` bytes, one row at least."""
     part, held = [], 0
