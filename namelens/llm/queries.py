@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from namelens.llm.bpe import op7_bpe
+from namelens.llm.fingerprints import op9_fingerprints
 from namelens.llm.mixing import op8_mixing
 from namelens.llm.toxicity import op5_toxicity
 from namelens.llm.urls import op10_sql, op10_url_filters
@@ -15,9 +16,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_toxicity": op5_toxicity,
     "op7_bpe": op7_bpe,
     "op8_mixing": op8_mixing,
+    "op9_fingerprints": op9_fingerprints,
     "op10_url_filters": op10_url_filters,
 }
 
 ORACLES: dict[str, str] = {
+    "op9_fingerprints": op9_fingerprints,
     "op10_url_filters": op10_sql(),
 }
