@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from namelens.llm.bpe import op7_bpe
 from namelens.llm.fingerprints import op9_fingerprints
 from namelens.llm.mixing import op8_mixing
+from namelens.llm.substrings import op3_substrings
 from namelens.llm.toxicity import op5_toxicity
 from namelens.llm.urls import op10_sql, op10_url_filters
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_substrings": op3_substrings,
     "op5_toxicity": op5_toxicity,
     "op7_bpe": op7_bpe,
     "op8_mixing": op8_mixing,
