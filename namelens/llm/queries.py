@@ -10,6 +10,7 @@ from namelens.llm.bpe import op7_bpe
 from namelens.llm.fingerprints import op9_fingerprints
 from namelens.llm.lines import op1_lines
 from namelens.llm.mixing import op8_mixing
+from namelens.llm.near_duplicates import op4_near_duplicates
 from namelens.llm.substrings import op3_substrings
 from namelens.llm.toxicity import op5_toxicity
 from namelens.llm.urls import op10_sql, op10_url_filters
@@ -17,6 +18,7 @@ from namelens.llm.urls import op10_sql, op10_url_filters
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lines": op1_lines,
     "op3_substrings": op3_substrings,
+    "op4_near_duplicates": op4_near_duplicates,
     "op5_toxicity": op5_toxicity,
     "op7_bpe": op7_bpe,
     "op8_mixing": op8_mixing,
