@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -11,21 +12,38 @@ from namelens.llm.fingerprints import op9_fingerprints
 from namelens.llm.lines import op1_lines
 from namelens.llm.mixing import op8_mixing
 from namelens.llm.near_duplicates import op4_near_duplicates
+from namelens.llm.pii import op6_pii
+from namelens.llm.stored import workers_find_package
 from namelens.llm.substrings import op3_substrings
 from namelens.llm.toxicity import op5_toxicity
 from namelens.llm.urls import op10_sql, op10_url_filters
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+Query = Callable[[SparkSession, str], DataFrame]
+
+
+def runnable(query: Query) -> Query:
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        workers_find_package(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
+OPERATORS: dict[str, Query] = {
     "op1_lines": op1_lines,
     "op3_substrings": op3_substrings,
     "op4_near_duplicates": op4_near_duplicates,
     "op5_toxicity": op5_toxicity,
+    "op6_pii": op6_pii,
     "op7_bpe": op7_bpe,
     "op8_mixing": op8_mixing,
     "op9_fingerprints": op9_fingerprints,
     "op10_url_filters": op10_url_filters,
 }
 
+QUERIES: dict[str, Query] = {name: runnable(query) for name, query in OPERATORS.items()}
+
 ORACLES: dict[str, str] = {
     "op9_fingerprints": op9_fingerprints,
     "op10_url_filters": op10_sql(),

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 from contextlib import contextmanager
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,3 +32,16 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written once; a lost executor costs no more than its unfinished tasks."""
     with shuffles_freed(df.sparkSession):
         return snapshot(df, label)
+
+
+def workers_find_package(spark: SparkSession) -> None:
+    """Let Python workers on this machine import this package from where the driver has it.
+
+    On a cluster the package is shipped as usual (``--py-files``), and this path
+    is one more that is looked at.
+    """
+    own = str(Path(__file__).resolve().parents[2])
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if own not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, own])
