@@ -13,6 +13,7 @@ from namelens.llm.lines import op1_lines
 from namelens.llm.mixing import op8_mixing
 from namelens.llm.near_duplicates import op4_near_duplicates
 from namelens.llm.pii import op6_pii
+from namelens.llm.search import op2_search
 from namelens.llm.stored import workers_find_package
 from namelens.llm.substrings import op3_substrings
 from namelens.llm.toxicity import op5_toxicity
@@ -32,6 +33,7 @@ def runnable(query: Query) -> Query:
 
 OPERATORS: dict[str, Query] = {
     "op1_lines": op1_lines,
+    "op2_search": op2_search,
     "op3_substrings": op3_substrings,
     "op4_near_duplicates": op4_near_duplicates,
     "op5_toxicity": op5_toxicity,
