@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from namelens.llm.linking import linked_groups
+from namelens.llm.rows import kept_columns, keyed, packed, row_field, unpacked
 from namelens.llm.stored import stored
-from namelens.llm.substrings import keyed
 from namelens.llm.words import batches, range_hashes, words_of
 
 BITS = 3
@@ -187,9 +187,8 @@ def dedup_lines(docs: DataFrame, bits: int = BITS, similarity: float = SIMILARIT
         T.StructField("n_removed", T.LongType()),
         T.StructField("kept_text", T.StringType()),
     ]
-    names = {f.name for f in added}
-    kept = [f for f in docs.schema.fields if f.name.lower() not in names]
-    schema = T.StructType([*kept, *added])
+    names = [f.name for f in added]
+    schema = T.StructType([row_field(docs, names), *added])
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts:
@@ -204,7 +203,7 @@ def dedup_lines(docs: DataFrame, bits: int = BITS, similarity: float = SIMILARIT
                 left.append(text)
             yield pa.RecordBatch.from_arrays(
                 [
-                    *[batch.column(f.name) for f in kept],
+                    batch.column("_row"),
                     pa.array(counts, pa.int64()),
                     pa.array(gone, pa.int64()),
                     pa.array(left, pa.string()),
@@ -212,8 +211,9 @@ def dedup_lines(docs: DataFrame, bits: int = BITS, similarity: float = SIMILARIT
                 [f.name for f in schema.fields],
             )
 
-    rows = keyed(docs).join(removed, ["_doc", "_key"], "left").drop("_doc", "_key")
-    return rows.mapInArrow(run, schema)
+    rows = keyed(packed(docs, ["doc_id", "text"], names)).join(removed, ["_doc", "_key"], "left")
+    rows = rows.select("_row", "text", "places").mapInArrow(run, schema)
+    return unpacked(rows, kept_columns(docs, names), {n: F.col(n) for n in names})
 
 
 def op1_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

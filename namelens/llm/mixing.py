@@ -25,6 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from namelens.llm.rows import kept_columns, packed, unpacked
 from namelens.operators.joins import keyed_join
 from namelens.operators.snapshot import snapshot
 
@@ -300,21 +301,14 @@ def mix_documents(docs: DataFrame, seed: int = SEED, **settings) -> DataFrame:
     Columns are those of ``docs`` and ``shard``. A shard is one partition, sorted
     by a hash of document and copy.
     """
-    rows = sized(docs, seed)
+    rows = sized(packed(docs, ["doc_id", "text", "source"], ["shard"]), seed)
     sizes = snapshot(rows.select("_key", "_source", "_size", "_place"), "sizes")
     mix = plan_mix(sizes, seed=seed, **settings)
-    copies = with_copies(rows, mix).select(
-        *[F.col(f"`{c}`") for c in docs.columns if c.lower() != "shard"],
-        "_place",
-        F.posexplode("_shards").alias("_copy", "shard"),
-    )
+    copies = with_copies(rows.drop("text"), mix).select("_row", "_place", F.posexplode("_shards").alias("_copy", "shard"))
     order = F.xxhash64(F.lit(seed), "_place", "_copy")
-    return (
-        copies.withColumn("_order", order)
-        .repartition(mix.shards, "shard")
-        .sortWithinPartitions("shard", "_order", "_place")
-        .drop("_order", "_place", "_copy")
-    )
+    dealt = copies.withColumn("_order", order).repartition(mix.shards, "shard")
+    dealt = dealt.sortWithinPartitions("shard", "_order", "_place")
+    return unpacked(dealt, kept_columns(docs, ["shard"]), {"shard": F.col("shard")})
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,8 +26,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from namelens.llm.linking import linked_groups
+from namelens.llm.rows import keyed, packed, texts_of, unpacked
 from namelens.llm.stored import stored
-from namelens.llm.substrings import keyed, texts_of
 from namelens.llm.words import batches, mixed, range_hashes, window_hashes, words_of
 
 KMER = 5
@@ -241,10 +241,10 @@ def drop_near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> Dat
     at = F.struct("_doc", "_key")
     groups = named.groupBy("group").agg(F.min(at).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
     judged = named.join(groups, "group").select("_doc", "_key", (at == F.col("first")).alias("stays")).distinct()
-    rows = keyed(docs).join(judged, ["_doc", "_key"], "left")
+    rows = keyed(packed(docs, ["doc_id", "text"])).join(judged, ["_doc", "_key"], "left")
     alone = rows.where("stays is null")
     first = rows.where("stays").dropDuplicates(["_doc", "_key"])
-    return alone.union(first).drop("_doc", "_key", "stays")
+    return unpacked(alone.union(first), docs.columns)
 
 
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

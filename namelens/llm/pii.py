@@ -24,8 +24,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from namelens.llm.rows import kept_columns, keyed, packed, unpacked
 from namelens.llm.stored import stored
-from namelens.llm.substrings import keyed
 from namelens.llm.words import no_cycles
 
 KINDS = ("email", "ip", "card", "phone", "id")
@@ -277,8 +277,8 @@ def find_personal_data(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     spans = base.join(found, ["_doc", "_key"], "left").select(
         "_doc", "_key", F.array_sort(F.concat("base", F.coalesce("found", F.array().cast(f"array<{SPAN}>")))).alias("spans")
     )
-    kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() != "spans"]
-    return keyed(docs).join(spans, ["_doc", "_key"], "left").select(*kept, F.col("spans"))
+    rows = keyed(packed(docs, ["doc_id", "text"], ["spans"])).join(spans, ["_doc", "_key"], "left")
+    return unpacked(rows, kept_columns(docs, ["spans"]), {"spans": F.col("spans")})
 
 
 def span_text(spans: Column) -> Column:

@@ -31,26 +31,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from namelens.llm.rows import kept_columns, keyed, packed, row_field, texts_of, unpacked
 from namelens.llm.stored import stored
 from namelens.llm.words import Words, batches, window_hashes, words_of
 
 WINDOW = 20
 FIRST_LENGTH = 5
 
-LAST_ID = (1 << 63) - 1
-
-
-def keyed(docs: DataFrame) -> DataFrame:
-    """Rows with ``_doc``, an id that is never null, and ``_key``, which also tells texts apart."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.withColumns(
-        {"_doc": F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST_ID)), "_key": F.xxhash64("doc_id", text)}
-    )
-
-
-def texts_of(docs: DataFrame) -> DataFrame:
-    return keyed(docs.select("doc_id", "text")).select("_doc", "_key", F.coalesce("text", F.lit("")).alias("text"))
-
 
 def _rows(batch: pa.RecordBatch) -> Iterator[tuple[list[dict], Words]]:
     """The rows of a batch in parts, with the words of their texts."""
@@ -250,9 +237,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, first_length: int = FI
         T.StructField("kept_text", T.StringType()),
         T.StructField("spans", T.ArrayType(T.ArrayType(T.IntegerType()))),
     ]
-    names = {f.name for f in added}
-    kept = [f for f in docs.schema.fields if f.name.lower() not in names]
-    schema = T.StructType([*kept, *added])
+    names = [f.name for f in added]
+    schema = T.StructType([row_field(docs, names), *added])
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts:
@@ -274,7 +260,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, first_length: int = FI
                 out = batch.slice(part[0][0], len(part))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        *[out.column(f.name) for f in kept],
+                        out.column("_row"),
                         pa.array(counts, pa.int64()),
                         pa.array(removed, pa.int64()),
                         pa.array(left, pa.string()),
@@ -283,8 +269,9 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, first_length: int = FI
                     [f.name for f in schema.fields],
                 )
 
-    rows = keyed(docs).join(marks, ["_doc", "_key"], "left").drop("_doc", "_key")
-    return rows.mapInArrow(run, schema)
+    rows = keyed(packed(docs, ["doc_id", "text"], names)).join(marks, ["_doc", "_key"], "left")
+    rows = rows.select("_row", "text", "starts", "copy").mapInArrow(run, schema)
+    return unpacked(rows, kept_columns(docs, names), {n: F.col(n) for n in names})
 
 
 def _removed(own: np.ndarray, window: int, starts: list | None, copy: bool) -> np.ndarray:

@@ -23,6 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from namelens.llm.rows import kept_columns, packed, unpacked
 from namelens.operators.snapshot import snapshot
 
 # Listed keys of one shard, about.
@@ -210,6 +211,8 @@ def judge(
     columns of the same name. Pages without a usable url have an empty host and
     path, and no rule or list blocks them.
     """
+    names = ["host", "path", "rule", "verdict"]
+    pages, kept = packed(pages, [url], names), kept_columns(pages, names)
     u = F.col(f"`{url}`")
     keyed = pages.withColumn("_host", F.coalesce(url_host(u), F.lit(""))).withColumn(
         "_path", F.coalesce(url_path(u), F.lit(""))
@@ -227,8 +230,7 @@ def judge(
         "rule": rule,
         "verdict": F.coalesce(verdict, F.when(listed, F.lit("block")).otherwise(F.lit("allow"))),
     }
-    kept = [F.col(f"`{c}`") for c in pages.columns if c.lower() not in added]
-    return rows.select(*kept, *[c.alias(n) for n, c in added.items()])
+    return unpacked(rows, kept, added)
 
 
 # The rules of the query.
