@@ -216,7 +216,8 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, first_length: int =
     if ranges is None:
         everything = F.array(F.struct(F.lit(0).alias("first"), (F.col("n_words") - window).cast("int").alias("last")))
         ranges = whole.where(F.col("n_words") >= window).select("_doc", "_key", everything.alias("ranges")).distinct()
-    found = stored(windows(_ranged(texts, ranges), window).distinct(), "windows")
+    # Repeated rows give repeated windows, which change no minimum and no set.
+    found = stored(windows(_ranged(texts, ranges), window), "windows")
     earliest = found.groupBy("h1", "h2").agg(F.min("_doc").alias("_least"), F.max("_doc").alias("_most"))
     earliest = earliest.where("_least < _most").select("h1", "h2", "_least")
     later = found.join(earliest, ["h1", "h2"]).where("_doc > _least")
