@@ -1,6 +1,7 @@
 """Line deduplication: fuzzy lines by SimHash, verified by edit similarity.
 
-A line is normalised: lower case, letters only, words parted by single spaces.
+A line is normalised: lower case, no ASCII characters but letters, words parted
+by single spaces.
 Lines whose words are equal are one line. For the others, a 64-bit SimHash of
 the words is cut into blocks; two hashes that differ in at most ``BITS`` bits
 agree on all but ``BITS`` of the blocks, so they meet in a bucket of the values
@@ -17,7 +18,6 @@ are passed on; added ones replace columns of the same name.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -38,23 +38,30 @@ SIMILARITY = 0.8
 # apart, so random lines share one with about 2**SPARE others.
 SPARE = 1
 
-_OTHER = re.compile(r"[^\w\n]+|[\d_]+")
+# Bytes after normalisation: letters, line ends and all of other alphabets stay.
+_LETTERS = bytes(b if chr(b).isalpha() or b >= 0x80 or b == 0x0A else 0x20 for b in range(256))
+# Counts of one bit in so many words fit into a byte.
+_PIECE_WORDS = 255
 
 
-def normalised(text: str) -> list[str]:
-    """The normalised lines of a text, of which ``_OTHER`` characters become spaces."""
-    return [" ".join(line.split()) for line in _OTHER.sub(" ", text.lower()).split("\n")]
+def normalised(text: str) -> list[bytes]:
+    """The normalised lines of a text in UTF-8."""
+    return [b" ".join(line.split()) for line in text.lower().encode().translate(_LETTERS).split(b"\n")]
 
 
 def simhashes(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
     """SimHash of the word hashes ``first[i]:first[i + 1]`` of every line, none of them empty."""
     if not len(hashes):
         return np.zeros(0, dtype=np.uint64)
+    sizes = np.diff(first)
+    pieces = -(-sizes // _PIECE_WORDS)
+    own = np.cumsum(pieces) - pieces
+    starts = np.repeat(first[:-1], pieces) + (np.arange(pieces.sum()) - np.repeat(own, pieces)) * _PIECE_WORDS
+    # One byte for each bit of a word, eight of them added at once.
     bits = np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    ones = np.add.reduceat(bits, first[:-1], axis=0, dtype=np.int32)
-    sizes = np.diff(first)[:, None]
-    # A tie takes the bit of the first word, so that it is not always the same one.
-    majority = np.where(2 * ones == sizes, bits[first[:-1]], 2 * ones > sizes)
+    counts = np.add.reduceat(bits.view("<u8"), starts, axis=0).view(np.uint8).reshape(-1, 64)
+    ones = np.add.reduceat(counts, own, axis=0, dtype=np.int64) if len(counts) > len(own) else counts.astype(np.int64)
+    majority = 2 * ones > sizes[:, None]
     return np.packbits(majority.astype(np.uint8), axis=1, bitorder="little").view("<u8").ravel()
 
 
@@ -72,7 +79,7 @@ def lines_of(docs: DataFrame) -> DataFrame:
                             docs_.append(doc)
                             keys.append(key)
                             places.append(place)
-                            lines.append(line.encode())
+                            lines.append(line)
                 if not lines:
                     continue
                 words = words_of(lines)
@@ -159,7 +166,7 @@ def line_texts(docs: DataFrame, at: DataFrame) -> DataFrame:
                 lines = normalised(text)
                 for w in own:
                     ids.append(w["line"])
-                    found.append(lines[w["place"]])
+                    found.append(lines[w["place"]].decode())
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(found, pa.string())], ["line", "text"])
 
     return texts.mapInArrow(run, "line bigint, text string").dropDuplicates(["line"])
@@ -167,7 +174,8 @@ def line_texts(docs: DataFrame, at: DataFrame) -> DataFrame:
 
 def repeated_lines(docs: DataFrame, bits: int = BITS, similarity: float = SIMILARITY) -> DataFrame:
     """Per document the places of the lines to remove: (_doc, _key, places)."""
-    occurrences = stored(lines_of(docs).distinct(), "line-places")
+    # Repeated rows give repeated places, which change neither minima nor sets.
+    occurrences = stored(lines_of(docs), "line-places")
     groups = fuzzy_groups(occurrences, docs, bits, similarity)
     named = occurrences.join(groups.withColumnRenamed("node", "line"), "line", "left").select(
         "_doc", "_key", "place", F.coalesce("root", "line").alias("group")
@@ -176,7 +184,7 @@ def repeated_lines(docs: DataFrame, bits: int = BITS, similarity: float = SIMILA
     at = F.struct("_doc", "_key", "place")
     first = named.groupBy("group").agg(F.min(at).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
     later = named.join(first, "group").where(at != F.col("first"))
-    return stored(later.groupBy("_doc", "_key").agg(F.collect_list("place").alias("places")), "removed-lines")
+    return stored(later.groupBy("_doc", "_key").agg(F.collect_set("place").alias("places")), "removed-lines")
 
 
 def dedup_lines(docs: DataFrame, bits: int = BITS, similarity: float = SIMILARITY) -> DataFrame:

@@ -16,6 +16,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from namelens.llm.stored import stored
+from namelens.operators.snapshot import measured_bytes
+
+# Tables up to this size are sent to all tasks; larger ones are joined by a shuffle.
+BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -53,14 +57,17 @@ def linked_groups(
 ) -> DataFrame:
     """Groups of the ids of ``members`` (bucket, id, trait), as (node, root).
 
+    An id has one trait and is in a bucket once.
+
     ``near`` tells from two traits whether a pair is worth verifying; it must hold
     for every true link. ``verified`` keeps the true links of distinct (a, b) rows.
     Ids without a link are not among the nodes.
     """
-    # An id has one trait; the least id of a bucket is found before the shuffle.
+    # Most buckets hold one member and go before anything else is shuffled.
     heads = members.groupBy("bucket").agg(F.min("id").alias("head"), F.max("id").alias("_last"))
-    heads = heads.where("head < _last").select("bucket", "head")
-    shared = stored(members.join(heads, "bucket").distinct(), "shared-buckets")
+    heads = stored(heads.where("head < _last").select("bucket", "head"), "heads")
+    small = measured_bytes(heads) <= BROADCAST_BYTES
+    shared = stored(members.join(F.broadcast(heads) if small else heads, "bucket"), "shared-buckets")
     head_traits = shared.where("id = head").select("bucket", F.col("trait").alias("head_trait"))
     pairs = (
         shared.where("id > head")

@@ -20,7 +20,7 @@ def brute_force(rows, bits=3, similarity=0.8):
     """Removed line places by row, from all pairs of different lines."""
     places = [(d, t, k, n) for d, t in rows for k, n in enumerate(normalised(t)) if n]
     lines = sorted({n for *_, n in places})
-    words = words_of([n.encode() for n in lines])
+    words = words_of(lines)
     hashes = simhashes(words.hashes, words.first)
     parent = {n: n for n in lines}
 
@@ -63,6 +63,16 @@ def test_like_brute_force(docs):
     assert sum(map(len, gone.values())) > 40
 
 
+def test_simhash_is_the_majority_of_each_bit():
+    rng = np.random.default_rng(1)
+    hashes = rng.integers(0, 1 << 63, 1300).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+    first = np.array([0, 1, 3, 260, 515, 1300])
+    for i, got in enumerate(simhashes(hashes, first).tolist()):
+        own = hashes[first[i] : first[i + 1]].tolist()
+        want = sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in own) > len(own))
+        assert got == want
+
+
 def test_awkward_rows(awkward, nothing):
     found = dedup_lines(awkward).collect()
     by_id = {}
