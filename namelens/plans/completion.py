@@ -70,13 +70,21 @@ def complete_batches(
     ``close_empty=False`` leaves it open. People are counted per batch before
     the join.
     """
+    return close_batches(batches, batch_counts(keys, raw, close_empty), run_ts)
+
+
+def batch_counts(keys: DataFrame, raw: DataFrame, close_empty: bool = True) -> DataFrame:
+    """The number of people of each batch."""
     keys = keys.select(*BATCH_KEYS).distinct()
     counts = batch_record_counts(raw)
-    closed = keys.join(counts, BATCH_KEYS, "left" if close_empty else "inner").select(
-        "client_id",
-        F.col("batch_id").alias("id"),
-        F.coalesce("record_count", F.lit(0)).cast("bigint").alias("processed_record_count"),
+    return keys.join(counts, BATCH_KEYS, "left" if close_empty else "inner").select(
+        *BATCH_KEYS, F.coalesce("record_count", F.lit(0)).cast("bigint").alias("processed_record_count")
     )
+
+
+def close_batches(batches: DataFrame, counted: DataFrame, run_ts: Column) -> DataFrame:
+    """Batches with delivery time and the counted number of records set."""
+    closed = counted.select("client_id", F.col("batch_id").alias("id"), "processed_record_count")
     return upsert(
         batches,
         closed,

@@ -252,6 +252,16 @@ def complete_status(
     )
 
 
+# Why a batch is not enriched: its results could not be told apart.
+REPEATED_ID = "A record id occurs more than once in the batch."
+
+
+def repeated_batches(people: DataFrame) -> DataFrame:
+    """The batches in which a record id occurs twice."""
+    counts = people.groupBy(*RECORD_KEYS).agg(F.count(F.lit(1)).alias("_n"))
+    return counts.where(F.col("_n") > 1).select(*BATCH_KEYS).distinct()
+
+
 def completion_candidates(
     keys: DataFrame, statuses: DataFrame, require_status: bool = True
 ) -> DataFrame:

@@ -122,19 +122,23 @@ def prob_histogram(lookup: DataFrame) -> DataFrame:
 def rarest_name_per_year(raw: DataFrame) -> DataFrame:
     """The least common name of each gender and year; the first by name on a tie.
 
-    A minimum instead of a sorted window: partial minima leave one row per group
-    and task to shuffle.
+    An unknown quantity is no small one: it counts only where a group has no other.
+    The least quantity is a hashed minimum with partial results, so no task sorts
+    its rows; only the rows that have it go on.
     """
-    best = F.min(F.struct("quantity", "first_name")).alias("best")
+    least = raw.groupBy(F.col("gender").alias("_g"), F.col("year").alias("_y")).agg(
+        F.min("quantity").alias("_least")
+    )
+    same = (
+        F.col("gender").eqNullSafe(F.col("_g"))
+        & F.col("year").eqNullSafe(F.col("_y"))
+        & F.col("quantity").eqNullSafe(F.col("_least"))
+    )
     return (
-        raw.groupBy("gender", "year")
-        .agg(best)
-        .select(
-            F.col("best.first_name").alias("first_name"),
-            "gender",
-            "year",
-            F.col("best.quantity").alias("quantity"),
-        )
+        raw.join(least, same)
+        .groupBy("gender", "year", "quantity")
+        .agg(F.min("first_name").alias("first_name"))
+        .select("first_name", "gender", "year", "quantity")
         .orderBy("year", "gender")
     )
 

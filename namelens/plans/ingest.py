@@ -29,27 +29,35 @@ def landed_files(landing: DataFrame) -> DataFrame:
 
 
 def register_batches(files: DataFrame, clients: DataFrame, batches: DataFrame) -> DataFrame:
-    """New batch rows, without an id yet: one per file of a known client and unknown batch."""
+    """New batch rows, without an id yet: one per unknown batch of a known client.
+
+    A batch that came in several files is one batch, named by the first of them.
+    """
     owners = clients.select("app_organization_id", F.col("id").alias("client_id"))
     known = batches.select("client_id", "app_batch_id")
     return (
         files.join(owners, "app_organization_id")
         .join(known, ["client_id", "app_batch_id"], "left_anti")
-        .select(
-            "client_id",
-            F.col("original_source_file_name").alias("file_name"),
-            "record_count",
-            "app_batch_id",
-            "storage_file_name",
+        .groupBy("client_id", "app_batch_id")
+        .agg(
+            F.min_by("original_source_file_name", "storage_file_name").alias("file_name"),
+            F.sum("record_count").alias("record_count"),
+            F.min("storage_file_name").alias("storage_file_name"),
         )
+        .select("client_id", "file_name", "record_count", "app_batch_id", "storage_file_name")
     )
 
 
 def batch_keys(clients: DataFrame, batches: DataFrame) -> DataFrame:
-    """The batches with both their own and their app-side keys."""
+    """The batches with both their own and their app-side keys: one row per app-side batch.
+
+    Should a table have several ids for one, the lowest counts, so people are not multiplied.
+    """
     owners = clients.select("app_organization_id", F.col("id").alias("client_id"))
-    return batches.join(owners, "client_id").select(
-        "app_organization_id", "app_batch_id", "client_id", F.col("id").alias("batch_id")
+    return (
+        batches.join(owners, "client_id")
+        .groupBy("app_organization_id", "app_batch_id", "client_id")
+        .agg(F.min("id").alias("batch_id"))
     )
 
 

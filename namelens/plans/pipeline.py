@@ -182,7 +182,7 @@ class Pipeline:
         statuses = enrichment.fail_unsupported(
             statuses, requests, t.read("enrichment_attribute"), self.now()
         )
-        statuses = t.replace("enrichment_status", statuses)
+        statuses = self._reject_repeated(t.replace("enrichment_status", statuses), requests)
         # At most one row per enrichment type.
         codes = {r[0] for r in requests.select("enrichment_type_code").distinct().collect()}
         jobs = {
@@ -206,7 +206,7 @@ class Pipeline:
         except Exception as error:
             t.replace(
                 "enrichment_status",
-                enrichment.fail_running(statuses, requests, str(error)[:5000], self.now()),
+                enrichment.fail_running(statuses, requests, str(error), self.now()),
             )
             raise
         for code, payload in payloads.items():
@@ -237,30 +237,41 @@ class Pipeline:
         people = t.read_people("person_input", workable)
         return snapshot(people.select(*BATCH_KEYS).distinct(), "open-batches")
 
+    def _reject_repeated(self, statuses: DataFrame, requests: DataFrame) -> DataFrame:
+        """Fail the ordered batches that have a record id twice; the others go on."""
+        t = self.tables
+        people = t.read_people("person_input", requests.select(*BATCH_KEYS).distinct())
+        bad = snapshot(enrichment.repeated_batches(people), "repeated-ids")
+        failed = enrichment.fail_running(
+            statuses, requests.join(bad, BATCH_KEYS, "left_semi"), enrichment.REPEATED_ID, self.now()
+        )
+        return t.replace("enrichment_status", failed)
+
     def _write_results(self, name: str, rows: DataFrame, keys: DataFrame) -> None:
         """Write result rows over the stored ones of their batches; other batches are not read."""
         stored = self.tables.read_people(name, keys)
         self.tables.replace_people(name, upsert(stored, rows, RECORD_KEYS, null_keys=False))
 
-    def _enrich_gender(self, code: str, keys: DataFrame) -> DataFrame:
-        t = self.tables
+    def _enrich_gender(self, code: str, keys: DataFrame, model_version: str | None = None) -> DataFrame:
+        t, version = self.tables, model_version or self.model_version
         people = t.read_people("person_input", keys)
         rows = snapshot(
             gender_baseline(person_clean(people), t.read("gender_lookup"), stored=True), "baseline"
         )
-        self._write_results("gender_results", enrichment.to_results(rows, self.model_version), keys)
-        shared = enrichment.to_improvement(rows, t.read("client"), self.model_version)
-        self._write_results(
-            "improvement_store", shared.withColumn("opted_in_data_loaded_ts", self.now()), keys
+        self._write_results("gender_results", enrichment.to_results(rows, version), keys)
+        store = t.read_people("improvement_store", keys)
+        shared = enrichment.upsert_improvement(
+            store, rows, t.read("client"), self.now(), version
         )
+        t.replace_people("improvement_store", shared)
         summary = t.replace(
             "gender_metrics",
             enrichment.upsert_metrics(
-                t.read("gender_metrics"), metrics.batch_metrics(rows, self.model_version)
+                t.read("gender_metrics"), metrics.batch_metrics(rows, version)
             ),
         )
         mine = summary.join(keys, BATCH_KEYS, "left_semi")
-        return metrics.metrics_payload(mine, self.model_version)
+        return metrics.metrics_payload(mine, version)
 
     def _enrich_age(self, code: str, keys: DataFrame) -> DataFrame:
         """Age results. Their metrics are not defined, so the payload stays empty."""
@@ -277,33 +288,47 @@ class Pipeline:
     def complete(self, queued: DataFrame, run: str) -> None:
         """Close the enriched batches and write their delivery messages."""
         t = self.tables
-        keys = snapshot(queued.select(*BATCH_KEYS).distinct(), "to-complete")
+        # Counted once per run, before any people can be dropped.
+        wanted = queued.select(*BATCH_KEYS).distinct()
+        counted = t.stage(
+            run,
+            "completed_batches",
+            completion.batch_counts(wanted, t.read_people("person_input", wanted)),
+            schemas.COMPLETED_BATCH,
+        )
         queue = t.replace(
             "completion_queue",
-            completion.start_completion(t.read("completion_queue"), keys, self.now()),
+            completion.start_completion(t.read("completion_queue"), counted, self.now()),
         )
+        # A repeated run finds its batches completed and does nothing to them.
+        running = queue.where(F.col("processing_status") == "RUNNING").select(*BATCH_KEYS)
+        keys = snapshot(counted.join(running, BATCH_KEYS, "left_semi"), "to-complete")
         try:
-            people = t.read_people("person_input", keys)
-            batches = t.replace(
-                "client_batch",
-                completion.complete_batches(t.read("client_batch"), keys, people, self.now()),
-            )
-            messages = completion.delivery_payload(
-                keys, batches, t.read("client"), t.read("enrichment_status"), self.now()
-            )
-            self._post(messages, run)
+            if not keys.isEmpty():
+                self._complete(keys, run)
         except Exception as error:
             t.replace(
                 "completion_queue",
-                completion.fail_completion(queue, keys, str(error)[:5000], self.now()),
+                completion.fail_completion(queue, keys, str(error), self.now()),
             )
             raise
         t.replace("completion_queue", completion.finish_completion(queue, keys, self.now()))
         if self.purge_raw:
             # One entry per delivered batch.
-            done = [(r["client_id"], r["batch_id"]) for r in keys.collect()]
+            done = [(r["client_id"], r["batch_id"]) for r in counted.collect()]
             t.drop_batches("person_input", done)
 
+    def _complete(self, keys: DataFrame, run: str) -> None:
+        t = self.tables
+        batches = t.replace(
+            "client_batch",
+            completion.close_batches(t.read("client_batch"), keys, self.now()),
+        )
+        messages = completion.delivery_payload(
+            keys, batches, t.read("client"), t.read("enrichment_status"), self.now()
+        )
+        self._post(messages, run)
+
     def _post(self, messages: DataFrame, run: str) -> None:
         """Put messages into the outbox, number the new ones, and show them to the stream.
 
@@ -334,19 +359,22 @@ class Pipeline:
 
     @one_at_a_time
     def prepare_download(
-        self, organization: str, batch: str, out: str, single_file: bool | None = None
+        self, organization: str, batch: str, out: str, single_file: bool = False
     ) -> str:
-        """Export one batch in its configured columns; returns its object key."""
+        """Export one batch in its configured columns; returns its object key.
+
+        The key is a folder of files, or one file if that is asked for.
+        """
         t = self.tables
         found = download.resolve_batch(t.read("client"), t.read("client_batch"), organization, batch)
         if found is None:
             raise LookupError(f"no batch {batch} of organization {organization}")
-        mine = (F.col("client_id") == found[0]) & (F.col("batch_id") == found[1])
+        mine = t.spark.createDataFrame([tuple(found)[:2]], "client_id bigint, batch_id bigint")
         rows = download.download_rows(
-            t.read_people("person_input").where(mine), t.read_people("gender_results").where(mine)
+            t.read_people("person_input", mine), t.read_people("gender_results", mine)
         )
         columns = download.ordered_columns(t.read("output_configuration"), organization, batch)
-        key = f"downloads/{organization}/{batch}/results_{batch}.csv.gz"
+        key = f"downloads/{organization}/{batch}/results_{batch}" + (".csv.gz" if single_file else "")
         export_batch(rows, f"{out.rstrip('/')}/{key}", columns, single_file)
         entry = t.spark.createDataFrame(
             [(organization, batch)], "app_organization_id string, app_batch_id string"
@@ -412,9 +440,9 @@ class Pipeline:
         self.tables.emit(name, rows, run)
 
     @one_at_a_time
-    def release_batch(self, client_id: int, batch_id: int) -> None:
-        """Store the results of one batch by hand and drop its raw people."""
+    def release_batch(self, client_id: int, batch_id: int, model_version: str | None = None) -> None:
+        """Store the results of one batch by hand, under a model version of its own, and drop its raw people."""
         t = self.tables
         keys = t.spark.createDataFrame([(client_id, batch_id)], "client_id bigint, batch_id bigint")
-        self._enrich_gender(enrichment.GENDER_CODE, keys)
+        self._enrich_gender(enrichment.GENDER_CODE, keys, model_version)
         t.drop_batches("person_input", [(client_id, batch_id)])

@@ -49,6 +49,8 @@ _QUEUE_STATE = (
     "updated_ts timestamp_ntz"
 )
 COMPLETION_QUEUE = "client_id bigint, batch_id bigint, " + _QUEUE_STATE
+# What a completion run has counted.
+COMPLETED_BATCH = "client_id bigint, batch_id bigint, processed_record_count bigint"
 DOWNLOAD_QUEUE = "app_organization_id string, app_batch_id string, " + _QUEUE_STATE
 DOWNLOAD_READY_QUEUE = (
     "app_organization_id string, app_batch_id string, download_object_key string, "

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from namelens.operators import measured_bytes, scratch_path, snapshot
+from namelens.operators import measured_bytes, snapshot
 from namelens.plans.download import EXPORT_COLUMNS, export_projection
 from namelens.plans.ingest import APPROVAL_KEYS
 
@@ -28,29 +28,24 @@ def _csv(df: DataFrame):
 
 
 def export_batch(
-    rows: DataFrame, path: str, columns: Sequence[str], single_file: bool | None = None
+    rows: DataFrame, path: str, columns: Sequence[str], single_file: bool = False
 ) -> None:
-    """Write one batch as gzipped CSV with a header.
+    """Write one batch as gzipped CSV with a header: a folder of files, whatever its size.
 
-    One file is written by one task. So a batch becomes the single file ``path``
-    only if it is known to stay below the size limit of such a file; a larger one
-    becomes a folder of files under that name. ``single_file=False`` always gives
-    a folder, ``single_file=True`` fails on a batch that is too large.
+    ``single_file`` asks for one file ``path`` instead. It is written by one task,
+    so a batch beyond the size limit of such a file fails.
     """
     out = export_projection(rows, columns)
-    if single_file is not False:
-        out = snapshot(out, "export")
-        small = measured_bytes(out) <= MAX_SINGLE_FILE_BYTES
-        if single_file and not small:
-            raise ValueError("the batch is too large for a single file")
-        single_file = small
     if not single_file:
         _csv(out).csv(path)
         return
-    spark = rows.sparkSession
-    parts = scratch_path(spark, "single")
+    out = snapshot(out, "export")
+    if measured_bytes(out) > MAX_SINGLE_FILE_BYTES:
+        raise ValueError("the batch is too large for a single file")
+    # Beside its place, so that it is renamed and not copied.
+    parts = f"{path}.parts"
     _csv(out.coalesce(1)).csv(parts)
-    _move_part(spark, parts, path)
+    _move_part(rows.sparkSession, parts, path)
 
 
 def _move_part(spark: SparkSession, folder: str, path: str) -> None:
@@ -58,13 +53,12 @@ def _move_part(spark: SparkSession, folder: str, path: str) -> None:
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     source, target = hadoop.Path(folder), hadoop.Path(path)
-    have, want = source.getFileSystem(conf), target.getFileSystem(conf)
-    part = have.globStatus(hadoop.Path(f"{folder}/part-*"))[0].getPath()
-    want.mkdirs(target.getParent())
-    want.delete(target, True)
-    if not hadoop.FileUtil.copy(have, part, want, target, True, conf):
+    files = target.getFileSystem(conf)
+    part = files.globStatus(hadoop.Path(f"{folder}/part-*"))[0].getPath()
+    files.delete(target, True)
+    if not files.rename(part, target):
         raise OSError(f"could not write {path}")
-    have.delete(source, True)
+    files.delete(source, True)
 
 
 def export_batches(

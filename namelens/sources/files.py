@@ -73,8 +73,13 @@ def with_file_row_numbers(rows: DataFrame) -> DataFrame:
 
 
 def to_landing(rows: DataFrame, load_ts: Column) -> DataFrame:
-    """Client file rows in the columns of the landing table."""
-    return with_file_row_numbers(rows).select(
+    """Client file rows in the columns of the landing table.
+
+    A record id may not be missing: a row without one gets an id made from its
+    file and row number, the same on every run.
+    """
+    numbered = with_file_row_numbers(rows).withColumn("record_id", F.nullif(F.trim("record_id"), F.lit("")))
+    return fill_record_ids(numbered, "storage_file_name", "file_record_row_number").select(
         "record_id",
         "first_name",
         "last_name",

@@ -2,18 +2,21 @@
 
 A replaced table gets a new version folder and is read from the newest complete
 one, so a job never overwrites what it reads and a failed write is never seen.
+Old versions stay until ``vacuum`` removes those of a given age. Inserted rows are
+written aside and moved into place whole, so a stream never sees half a run.
 There may be one writer per root at a time.
 """
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from namelens import schemas
-from namelens.operators import keyed_join
 
 # Small keyed tables, replaced as a whole.
 KEYED = {
@@ -56,8 +59,6 @@ CHANGES = {
 }
 
 BATCH_PARTITIONS = ["client_id", "batch_id"]
-KEPT_VERSIONS = 10
-LISTED_BATCHES = 1_000
 
 
 class Tables:
@@ -77,6 +78,12 @@ class Tables:
         fs, target, _ = self._files(path)
         return fs.exists(target)
 
+    def _names(self, path: str) -> set[str]:
+        fs, target, _ = self._files(path)
+        if not fs.exists(target):
+            return set()
+        return {status.getPath().getName() for status in fs.listStatus(target)}
+
     def _versions(self, path: str) -> list[int]:
         fs, target, make = self._files(path)
         if not fs.exists(target):
@@ -114,21 +121,32 @@ class Tables:
                 *[F.col(f.name).cast(f.dataType) for f in schemas.struct(KEYED[name]).fields]
             )
         df.write.mode("overwrite").parquet(f"{path}/version={version}")
-        self._drop_old(path, version)
         return self.read(name)
 
-    def _drop_old(self, path: str, version: int) -> None:
-        """Remove the versions that no running job can still be reading."""
-        for old in self._versions(path):
-            if old <= version - KEPT_VERSIONS:
-                fs, target, _ = self._files(f"{path}/version={old}")
-                fs.delete(target, True)
+    def vacuum(self, older_than_seconds: float) -> int:
+        """Remove replaced versions of keyed tables; returns how many.
+
+        A version goes only if it was replaced that long ago, so a reader that has
+        held it for less is safe. To be run by hand or on a schedule.
+        """
+        now, removed = time.time(), 0
+        for name in KEYED:
+            path = f"{self.root}/keyed/{name}"
+            versions = self._versions(path)
+            for old, new in zip(versions, versions[1:]):
+                fs, target, make = self._files(f"{path}/version={old}")
+                replaced = fs.getFileStatus(make(f"{path}/version={new}/_SUCCESS")).getModificationTime()
+                if now - replaced / 1000 >= older_than_seconds:
+                    fs.delete(target, True)
+                    removed += 1
+        return removed
 
     def read_people(self, name: str, keys: DataFrame | None = None) -> DataFrame:
         """A per-batch table, or only the rows of the batches in ``keys``.
 
-        A short list of batches is read from its folders alone, so the rest of
-        the table is not even listed. A longer one is joined.
+        The batches of a run are read from their folders alone, however many they
+        are, so the rest of the table is not even listed. The driver holds two
+        numbers per batch and lists a client's batches once.
         """
         schema = schemas.struct(PER_BATCH[name])
         path = f"{self.root}/people/{name}"
@@ -137,12 +155,15 @@ class Tables:
         reader = self.spark.read.schema(schema)
         if keys is None:
             return reader.parquet(path).select(*schema.fieldNames())
-        listed = keys.select(*BATCH_PARTITIONS).distinct().limit(LISTED_BATCHES + 1).collect()
-        if len(listed) > LISTED_BATCHES:
-            rows = reader.parquet(path).select(*schema.fieldNames())
-            return keyed_join(rows, keys, BATCH_PARTITIONS, "left_semi")
-        folders = [f"{path}/client_id={client}/batch_id={batch}" for client, batch in listed]
-        folders = [folder for folder in folders if self._exists(folder)]
+        wanted: dict[int, list[int]] = {}
+        for client, batch in keys.select(*BATCH_PARTITIONS).distinct().collect():
+            wanted.setdefault(client, []).append(batch)
+        folders = []
+        for client, batches in wanted.items():
+            there = self._names(f"{path}/client_id={client}")
+            folders += [
+                f"{path}/client_id={client}/batch_id={b}" for b in batches if f"batch_id={b}" in there
+            ]
         if not folders:
             return self.spark.createDataFrame([], schema)
         rows = reader.option("basePath", path).parquet(*folders)
@@ -187,7 +208,14 @@ class Tables:
                 for f in schemas.struct(ddl).fields
             ]
         )
-        out.write.mode("overwrite").parquet(path)
+        # Written aside and moved: whoever lists the folder sees all of it or nothing.
+        aside = f"{self.root}/writing/{uuid.uuid4().hex}"
+        out.write.parquet(aside)
+        fs, target, make = self._files(path)
+        fs.delete(target, True)
+        fs.mkdirs(target.getParent())
+        if not fs.rename(make(aside), target):
+            raise OSError(f"could not move the rows into {path}")
 
     def stage(self, run: str, name: str, df: DataFrame, ddl: str) -> DataFrame:
         """The new rows of a run, written once: repeating the run gives the same rows."""

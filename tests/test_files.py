@@ -102,22 +102,33 @@ PEOPLE = [
 def test_export_of_one_batch(rows, tmp_path):
     columns = ["RECORD_ID", "FIRST_NAME", "LAST_NAME", "FEMALE_PROBABILITY"]
     for _ in range(2):
-        export_batch(rows(PEOPLE[:1], DOWNLOAD), str(tmp_path / "out.csv.gz"), columns)
+        export_batch(rows(PEOPLE[:1], DOWNLOAD), str(tmp_path / "out.csv.gz"), columns, single_file=True)
     lines = gzip.decompress((tmp_path / "out.csv.gz").read_bytes()).decode().splitlines()
     assert lines == ["RECORD_ID,FIRST_NAME,LAST_NAME,FEMALE_PROBABILITY", '1,"Ann ""A"", x",,0.900000']
     with pytest.raises(ValueError):
         export_batch(rows(PEOPLE, DOWNLOAD), str(tmp_path / "no"), ["RECORD_ID", "1; drop"])
 
 
-def test_a_large_batch_becomes_a_folder(rows, tmp_path, monkeypatch):
-    monkeypatch.setattr(export, "MAX_SINGLE_FILE_BYTES", 10)
+def test_a_batch_is_a_folder_at_every_size(rows, tmp_path, monkeypatch):
     people = rows(PEOPLE[:1], DOWNLOAD)
-    export_batch(people, str(tmp_path / "out.csv.gz"), ["RECORD_ID"])
-    assert list((tmp_path / "out.csv.gz").glob("part-*.csv.gz"))
+    for limit in (10, 10**9):
+        monkeypatch.setattr(export, "MAX_SINGLE_FILE_BYTES", limit)
+        export_batch(people, str(tmp_path / f"out{limit}"), ["RECORD_ID"])
+        assert list((tmp_path / f"out{limit}").glob("part-*.csv.gz"))
+    monkeypatch.setattr(export, "MAX_SINGLE_FILE_BYTES", 10)
     with pytest.raises(ValueError):
         export_batch(people, str(tmp_path / "no"), ["RECORD_ID"], single_file=True)
 
 
+def test_rows_without_an_id_get_a_stable_one(spark, tmp_path):
+    write_upload(tmp_path, "a", "1", "u_x.csv", [",Ann,Lee,98101", "  ,Bob,,", "7,Kim,,"])
+    runs = [
+        sorted(r.record_id for r in files.to_landing(files.read_client_csv(spark, str(tmp_path)), stamp()).collect())
+        for _ in range(2)
+    ]
+    assert runs[0] == runs[1] and len(set(runs[0])) == 3 and "7" in runs[0]
+
+
 def test_export_of_many_batches(spark, rows, tmp_path):
     export_batches(rows(PEOPLE, DOWNLOAD), str(tmp_path / "out"))
     back = {r.RECORD_ID: r for r in read_export(spark, str(tmp_path / "out")).collect()}

@@ -148,7 +148,7 @@ def test_upload_to_delivery(world):
     assert t.changes("landing").count() == 6
 
     key = world.pipeline.prepare_download("o1", "b1", str(world.root / "out"))
-    assert key == "downloads/o1/b1/results_b1.csv.gz"
+    assert key == "downloads/o1/b1/results_b1"
     back = world.spark.read.option("header", True).csv(str(world.root / "out" / key))
     assert back.columns == ["RECORD_ID", "PREDICTED_GENDER"] and back.count() == 5
     assert t.read("client_batch").where("id = 1").first().download_object_key == key
@@ -173,6 +173,9 @@ def test_upload_to_delivery(world):
         back = world.spark.read.option("header", True).csv(str(world.root / "out" / keys[batch]))
         assert back.columns == ["RECORD_ID", "PREDICTED_GENDER"] and back.count() == count
 
+    single = world.pipeline.prepare_download("o1", "b1", str(world.root / "out"), single_file=True)
+    assert single == f"{key}.csv.gz" and (world.root / "out" / single).is_file()
+
     world.pipeline.release_batch(2, 2)
     assert t.read_people("person_input").where("batch_id = 2").count() == 0
     assert t.read_people("gender_results").where("batch_id = 2").count() == 1
@@ -243,6 +246,87 @@ def test_a_repeated_run_changes_nothing(world):
     assert t.read("approval_queue").count() == 1 and t.changes("approval_queue").count() == 1
 
 
+def test_a_repeated_run_on_dirty_rows(world):
+    t, p = world.tables, world.pipeline
+    p.purge_raw = True
+    # Two files of one batch, rows without an id, and a batch with an id twice.
+    world.upload("o1", "b1", ["1,Ann,Lee,98101", ",Bob,Lee,1"])
+    world.upload("o1", "b1", [",Kim,Lee,98101"], "u2_more.csv")
+    world.upload("o2", "b2", ["1,Ann,,", "1,Bob,,"])
+    world.configure("o1", "b1")
+    world.configure("o2", "b2")
+    start_ingest(world.spark, t, str(world.root / "uploads"), str(world.root / "checkpoints" / "ingest"), now=now).awaitTermination()
+    landed = t.changes("landing")
+    for _ in range(3):
+        p.process_files(landed, "landing-0")
+    assert column(t.read("client_batch"), "app_batch_id", "record_count") == [("b1", 3), ("b2", 2)]
+    assert t.read_people("person_input").count() == 5
+    world.decide("o1", "b1", "APPROVED", "d1")
+    world.decide("o2", "b2", "APPROVED", "d2")
+    p.approve(t.changes("approval_results"), "approve-0")
+    ordered = t.changes("enrichment_status")
+    for clock in ("2026-04-10", "2027-01-01"):
+        p._now = lambda clock=clock: F.lit(f"{clock} 00:00:00")
+        p.start_enrichment(ordered, "enrich-0")
+    # One client's repeated id fails its own batch alone.
+    statuses = {(r.app_batch_id, r.enrichment_status, r.error_message is None) for r in t.read("enrichment_status").collect()}
+    assert statuses == {("b1", "COMPLETED", True), ("b2", "FAILED", False)}
+    assert t.read_people("gender_results").count() == 3
+    assert column(t.read_people("improvement_store").select(F.year("opted_in_data_loaded_ts").alias("y")).distinct(), "y") == [(2026,)]
+    for _ in range(2):
+        p.complete(t.changes("completion_queue"), "complete-0")
+        batch = t.read("client_batch").where("app_batch_id = 'b1'").first()
+        assert batch.processed_record_count == 3
+        assert column(t.read("outbox"), "app_batch_id", "status") == [("b1", "READY")]
+        assert json.loads(t.read("outbox").first().payload)["processed_record_count"] == 3
+    assert t.read_people("person_input").where("batch_id = 1").count() == 0
+
+
+def test_a_first_load_time_stays(world):
+    t, p = world.tables, world.pipeline
+    rows = world.spark.createDataFrame([(1, 1, "1", "Ann")], "client_id bigint, batch_id bigint, record_id string, first_name string")
+    t.replace_people("person_input", fill(rows, schemas.PERSON_INPUT))
+    keys = rows.select("client_id", "batch_id")
+    for clock in ("2026-04-10", "2027-01-01"):
+        p._now = lambda clock=clock: F.lit(f"{clock} 00:00:00")
+        p._enrich_gender("GNDRPR", keys)
+    assert t.read_people("improvement_store").first().opted_in_data_loaded_ts.year == 2026
+    p.release_batch(1, 1, "v-by-hand")
+    assert t.read_people("gender_results").first().model_version == "v-by-hand"
+
+
+def test_a_held_reader_survives_and_vacuum_goes_by_age(world):
+    t = world.tables
+    held = t.read("client")
+    for _ in range(20):
+        t.replace("client", held)
+    assert held.count() == 2
+    assert t.vacuum(3600) == 0 and held.count() == 2
+    assert t.vacuum(0) >= 20 and t.read("client").count() == 2
+
+
+def test_half_a_run_is_never_listed(world, monkeypatch):
+    t = world.tables
+    rows = world.spark.createDataFrame([("o1", "b1")], "app_organization_id string, app_batch_id string")
+    failing = rows.withColumn("status", F.when(F.col("app_batch_id") == "b1", F.raise_error(F.lit("lost"))).cast("string"))
+    with pytest.raises(Exception, match="lost"):
+        t.emit("approval_queue", failing, "r1")
+    assert t.changes("approval_queue").count() == 0
+    t.emit("approval_queue", rows, "r1")
+    t.emit("approval_queue", rows, "r1")
+    assert t.changes("approval_queue").count() == 1
+
+
+def test_the_read_is_pruned_at_every_number_of_batches(world):
+    t = world.tables
+    rows = world.spark.range(30).select(F.lit(1).cast("bigint").alias("client_id"), F.col("id").alias("batch_id"), F.lit("1").alias("record_id"))
+    t.replace_people("person_input", fill(rows, schemas.PERSON_INPUT))
+    for n in (1, 1001):
+        keys = world.spark.range(n).select(F.lit(1).cast("bigint").alias("client_id"), (F.col("id") + 25).alias("batch_id"))
+        found = t.read_people("person_input", keys)
+        assert {int(f.split("batch_id=")[1].split("/")[0]) for f in found.inputFiles()} == set(range(25, min(30, 25 + n)))
+
+
 def test_a_failed_enrichment_is_noted(world, monkeypatch):
     t, p = world.tables, world.pipeline
     row = world.spark.createDataFrame([(1, 1, "b1", "GNDRPR", "PENDING"), (1, 1, "b1", "NOPE", "PENDING")], "client_id bigint, batch_id bigint, app_batch_id string, enrichment_type_code string, enrichment_status string")
