@@ -6,7 +6,16 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from namelens.llm.linking import components, linked_groups
-from namelens.llm.near_duplicates import _banded, drop_near_duplicates, edit_distance, near_groups, sketches
+from namelens.llm.near_duplicates import (
+    _banded,
+    anchored_edits,
+    drop_near_duplicates,
+    edit_distance,
+    near_enough,
+    near_groups,
+    sketches,
+    words_in_common,
+)
 from namelens.llm.rows import keyed
 
 from .conftest import LONG
@@ -30,6 +39,8 @@ def test_alignment_is_the_edit_distance(a, b, most):
     want = distance(a, b)
     x, y = np.array(a, dtype=np.uint64), np.array(b, dtype=np.uint64)
     assert edit_distance(x, y, most) == (want if want <= most else None)
+    assert near_enough(x, y, most) == (want <= most)
+    assert max(len(a), len(b)) - words_in_common(x, y) <= want <= anchored_edits(x, y)
     if a and b and abs(len(a) - len(b)) <= most:
         assert _banded(x, y, most) == (want if want <= most else None)
 
@@ -49,7 +60,7 @@ def test_sketches_keep_the_order_of_the_text():
     turned = np.concatenate([words[150:], words[:150]])
     same = (sketches(words) == sketches(words)).mean()
     moved = (sketches(words) == sketches(turned)).mean()
-    assert same == 1 and 0.2 < moved < 0.8
+    assert same == 1 and 0.1 < moved < 0.8
 
 
 def variants(rng, words, n, edits):
