@@ -380,7 +380,7 @@ class Pipeline:
             [(organization, batch)], "app_organization_id string, app_batch_id string"
         )
         run = f"download-{organization}-{batch}-{uuid.uuid4().hex}"
-        self._announce(download.ready_entries(entry), run)
+        self._announce(download.ready_entries(entry, F.lit(key)), run)
         return key
 
     @one_at_a_time
