@@ -35,9 +35,9 @@ TOP = 10
 # Words and documents of one shard, at most (a longer text is a shard of its own).
 SHARD_WORDS = 2_000_000
 SHARD_DOCS = 60_000
-BLOCK_DOCS = 32
+BLOCK_DOCS = 16
 # A term in this share of a shard's documents is a frequent one.
-FREQUENT = 1 / 32
+FREQUENT = 1 / 4
 # Queries are sent to the shards in blocks of about so many terms.
 BLOCK_TERMS = 2_000_000
 QUERIES_AT_ONCE = 64
@@ -158,10 +158,11 @@ class Shard:
         ends = np.cumsum(counts)
         often = counts >= max(2, FREQUENT * self.size)
         self.dense_row = np.where(often, np.cumsum(often) - 1, -1)
-        self.dense = np.zeros((int(often.sum()), self.blocks * BLOCK_DOCS))
+        # A row for each document, so that the few that are scored are read in one piece.
+        self.dense = np.zeros((self.blocks * BLOCK_DOCS, int(often.sum())))
         in_dense = np.repeat(often, counts)
-        self.dense[np.repeat(self.dense_row, counts)[in_dense], docs[in_dense]] = impacts[in_dense]
-        self.bounds = self.dense.reshape(len(self.dense), self.blocks, BLOCK_DOCS).max(axis=2)
+        self.dense[docs[in_dense], np.repeat(self.dense_row, counts)[in_dense]] = impacts[in_dense]
+        self.bounds = np.ascontiguousarray(self.dense.reshape(self.blocks, BLOCK_DOCS, -1).max(axis=1).T)
         self.docs, self.impacts, self.starts, self.counts = docs, impacts, ends - counts, counts
 
     def best(self, queries: list[tuple[np.ndarray, np.ndarray]], top: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -175,7 +176,7 @@ class Shard:
         owner, weights, at = owner[known], weights[known], at[known]
         rows = self.dense_row[at]
         frequent = rows >= 0
-        dense_weights = np.zeros((number, len(self.dense)))
+        dense_weights = np.zeros((number, self.dense.shape[1]))
         dense_weights[owner[frequent], rows[frequent]] = weights[frequent]
         # The exact part of the rare terms, for every query and document.
         rare = ~frequent
@@ -191,12 +192,12 @@ class Shard:
         threshold = np.zeros(number)
         if top < self.size:
             first = np.argpartition(bound, width - top, axis=1)[:, width - top :]
-            sure = np.stack([part[q, d] + dense_weights[q] @ self.dense[:, d] for q, d in enumerate(first)])
+            sure = np.stack([part[q, d] + self.dense[d] @ dense_weights[q] for q, d in enumerate(first)])
             threshold = sure.min(axis=1)
         slack = 10.0**-PLACES
         for q in range(number):
             places = np.flatnonzero((bound[q] >= threshold[q] - slack) & (bound[q] > 0))
-            scores = np.round(part[q, places] + dense_weights[q] @ self.dense[:, places], PLACES)
+            scores = np.round(part[q, places] + self.dense[places] @ dense_weights[q], PLACES)
             order = np.lexsort((self.ids[places], -scores))[:top]
             order = order[scores[order] > 0]
             yield places[order], scores[order]
