@@ -9,7 +9,7 @@ the multivariate hypergeometric distribution, down to single shards. Each shard
 gets disjoint runs of the permuted blocks and shuffles them by itself.
 
 All of it is DataFrame code. The only tables without a row per document are
-bounded: one row per source, and source x 2**20 hash ranges.
+bounded: one row per source, and source x 2**14 hash ranges.
 
 Documents with null or empty texts have size 0; they are taken once if the cut
 reaches them, and add nothing. A null source is a source of its own, the last
@@ -38,7 +38,7 @@ MOST_SHARDS = 4_096
 SEED = 8
 
 HASH_BITS = 60
-RANGE_BITS = 20
+RANGE_BITS = 14
 
 
 def text_size(text: Column) -> Column:
