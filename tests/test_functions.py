@@ -66,3 +66,12 @@ def test_record_order(rows):
     df = rows([("10",), ("9",), ("a",), ("2b",)], "record_id string")
     ordered = [r[0] for r in df.orderBy(*fn.record_order("record_id")).collect()]
     assert ordered == ["9", "10", "2b", "a"]
+
+
+def test_sql_functions_agree_with_the_columns(spark, rows):
+    values = [None, "", " O'Brien-José 3 ", "MALE ", "f", "Female", "x", "98101-1234", "12", "1a2b3c4d5e6", "  "]
+    fn.register_functions(spark)
+    df = rows([(v,) for v in values], "v string")
+    for name in ("normalize_name", "normalize_zip5", "normalize_gender"):
+        got = df.select(F.expr(f"{name}(v)").alias("a"), getattr(fn, name)("v").alias("b")).collect()
+        assert [r.a for r in got] == [r.b for r in got]
