@@ -47,6 +47,7 @@ _LOCAL_CHARACTERS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvw
 _IP = re.compile(r"(?<![0-9])[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
+_DIGIT = re.compile(r"[0-9]")
 _NUMBER_WORD = re.compile(r"(?<!\S)[^\s0-9]*+[0-9]\S*")
 _KEYED = re.compile(r"([^\s=:]{2,40})[=:](\S+)")
 _EDGE = " \t\r\n.,;:!?\"'()[]{}<>|"
@@ -81,6 +82,8 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     found = []
     if "@" in text:
         found += [(a, 0, b) for a, b in emails(text)]
+    if not _DIGIT.search(text):
+        return found
     for m in _IP.finditer(text):
         if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.group().split(".")):
             found.append((m.start(), 1, m.end()))
@@ -120,6 +123,8 @@ def _word_after(text: str, at: int) -> str:
 
 def slots(text: str, base: list[tuple[int, int, int]]) -> list[dict]:
     """Seeds and other words that look like identifiers, with their patterns."""
+    if not base and not _DIGIT.search(text):
+        return []
     found = [(a, b, True, None) for a, _, b in base]
     covered = sorted((a, b) for a, _, b in base)
     k = 0
