@@ -13,9 +13,9 @@ from namelens.llm.lines import op1_lines
 from namelens.llm.mixing import op8_mixing
 from namelens.llm.near_duplicates import op4_near_duplicates
 from namelens.llm.pii import op6_pii
-from namelens.llm.search import op2_search
+from namelens.llm.search import op2_search, op2_sql
 from namelens.llm.stored import workers_find_package
-from namelens.llm.substrings import op3_substrings
+from namelens.llm.substrings import op3_substrings, op3_sql
 from namelens.llm.toxicity import op5_toxicity
 from namelens.llm.urls import op10_sql, op10_url_filters
 
@@ -46,7 +46,10 @@ OPERATORS: dict[str, Query] = {
 
 QUERIES: dict[str, Query] = {name: runnable(query) for name, query in OPERATORS.items()}
 
+# The others rest on hashes, models or a tokenizer; they are tested by brute force.
 ORACLES: dict[str, str] = {
+    "op2_search": op2_sql(),
+    "op3_substrings": op3_sql(),
     "op9_fingerprints": op9_fingerprints,
     "op10_url_filters": op10_sql(),
 }

@@ -290,3 +290,25 @@ def op2_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     queries = docs.where(F.col("doc_id") % 20 == 0).select(F.col("doc_id").cast("bigint").alias("query_id"), "text")
     return search(stored(build_index(docs), "index"), queries)
+
+
+def op2_sql() -> str:
+    """The same results from a join of all query terms with all postings."""
+    return f"""
+with words as (
+  select doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) as term from documents
+), bags as (select doc_id, term, count(*) as tf from words group by all),
+lengths as (select doc_id, count(*) as words from words group by doc_id),
+corpus as (select count(*) as n, sum(words) / count(*) as mean from lengths),
+terms as (select term, ln(1 + (n - count(*) + 0.5) / (count(*) + 0.5)) as idf from bags, corpus group by term, n),
+scores as (
+  select q.doc_id as query_id, d.doc_id,
+    round(sum(idf * d.tf * {K1 + 1} / (d.tf + {K1} * ({1 - B} + {B} * words / mean))), {PLACES}) as score
+  from bags q join terms using (term) join bags d using (term) join lengths on lengths.doc_id = d.doc_id, corpus
+  where q.doc_id % 20 = 0
+  group by q.doc_id, d.doc_id
+), ranked as (
+  select query_id, cast(row_number() over (partition by query_id order by score desc, doc_id) as int) as rank, doc_id, score
+  from scores where score > 0
+)
+select * from ranked where rank <= {TOP}"""

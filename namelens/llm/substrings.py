@@ -302,3 +302,28 @@ def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(docs).select(
         "doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256")
     )
+
+
+def op3_sql() -> str:
+    """The same from all windows of all documents."""
+    return f"""
+with texts as (
+  select doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as words from documents
+), places as (
+  select doc_id, unnest(range(1, len(words) - {WINDOW - 2})) as place, words from texts where len(words) >= {WINDOW}
+), windows as (
+  select doc_id, place, md5(array_to_string(words[place:place + {WINDOW - 1}], ' ')) as hash from places
+), repeated as (
+  select doc_id, place, row_number() over (partition by hash order by doc_id, place) as nth from windows
+), gone as (
+  select distinct doc_id, unnest(range(place, place + {WINDOW})) as place from repeated where nth > 1
+), pieces as (
+  select doc_id, unnest(words) as word, unnest(range(1, len(words) + 1)) as place from texts
+), kept as (
+  select p.doc_id, count(g.place) as n_removed,
+    coalesce(string_agg(case when g.place is null then word end, ' ' order by p.place), '') as text
+  from pieces p left join gone g on g.doc_id = p.doc_id and g.place = p.place group by p.doc_id
+)
+select t.doc_id, cast(len(words) as bigint) as n_words, cast(coalesce(n_removed, 0) as bigint) as n_removed,
+  sha256(coalesce(kept.text, '')) as kept_sha256
+from texts t left join kept using (doc_id)"""
