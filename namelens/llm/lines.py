@@ -6,8 +6,9 @@ Lines whose words are equal are one line. For the others, a 64-bit SimHash of
 the words is cut into blocks; two hashes that differ in at most ``BITS`` bits
 agree on all but ``BITS`` of the blocks, so they meet in a bucket of the values
 of the remaining ones. Pairs in a bucket with hashes that near are verified by
-the edit similarity of the normalised lines. Of each connected group of lines
-the first occurrence stays, by id and place; all others go.
+the edit similarity of the normalised lines: 1 - edited words / words of the
+longer one. Of each connected group of lines the first occurrence stays, by id
+and place; all others go.
 
 Lines without letters are never removed. Null texts count as empty and come
 back as they are. A null id counts as the greatest. Repeated rows (equal id and
@@ -28,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from namelens.llm.linking import linked_groups
+from namelens.llm.near_duplicates import near_enough
 from namelens.llm.rows import kept_columns, keyed, packed, row_field, unpacked
 from namelens.llm.stored import stored
 from namelens.llm.words import batches, range_hashes, words_of
@@ -144,11 +146,23 @@ def fuzzy_groups(occurrences: DataFrame, docs: DataFrame, bits: int, similarity:
         rows = pairs.join(texts.select(F.col("line").alias("a"), F.col("text").alias("ta")), "a").join(
             texts.select(F.col("line").alias("b"), F.col("text").alias("tb")), "b"
         )
-        longer = "greatest(length(ta), length(tb))"
-        most = f"int(floor({1 - similarity:.6f}d * {longer} + 1e-9))"
-        # Where the lengths differ by more, no alignment can be near enough.
-        fits = F.expr(f"abs(length(ta) - length(tb)) <= {most} and levenshtein(ta, tb, {most}) >= 0")
-        return rows.where(fits).select("a", "b")
+
+        def aligned(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in parts:
+                rows = list(zip(*[batch.column(n).to_pylist() for n in ("a", "b", "ta", "tb")]))
+                for part in batches(rows, lambda r: len(r[2]) + len(r[3])):
+                    words = words_of([t.encode() for r in part for t in r[2:]])
+                    own = [words.hashes[x:y] for x, y in zip(words.first, words.first[1:])]
+                    kept = [
+                        (a, b)
+                        for (a, b, *_), x, y in zip(part, own[::2], own[1::2])
+                        if near_enough(x, y, int(max(len(x), len(y)) * (1 - similarity) + 1e-9))
+                    ]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([k[i] for k in kept], pa.int64()) for i in (0, 1)], ["a", "b"]
+                    )
+
+        return rows.mapInArrow(aligned, "a bigint, b bigint")
 
     near = lambda x, y: F.bit_count(x.bitwiseXOR(y)) <= bits
     return linked_groups(members, near, verified)

@@ -32,8 +32,8 @@ def brute_force(rows, bits=3, similarity=0.8):
     for i, a in enumerate(lines):
         for j in range(i):
             b = lines[j]
-            most = int((1 - similarity) * max(len(a), len(b)) + 1e-9)
-            if np.bitwise_count(hashes[i] ^ hashes[j]) <= bits and distance(a, b) <= most:
+            most = int((1 - similarity) * max(len(a.split()), len(b.split())) + 1e-9)
+            if np.bitwise_count(hashes[i] ^ hashes[j]) <= bits and distance(a.split(), b.split()) <= most:
                 parent[root(a)] = root(b)
     first, gone = {}, {}
     for d, t, k, n in sorted(places, key=lambda p: (p[0], p[2])):
