@@ -160,7 +160,8 @@ def edit_distance(a: np.ndarray, b: np.ndarray, most: int) -> int | None:
     found = _few_edits(a, b, few)
     if found is not None or few == most:
         return found
-    band = 2 * few
+    # No alignment stays within a band that is narrower than the lengths differ.
+    band = max(2 * few, abs(len(a) - len(b)))
     while True:
         found = _banded(a, b, min(band, most))
         if found is not None or band >= most:

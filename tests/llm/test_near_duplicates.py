@@ -54,6 +54,17 @@ def test_many_edits_use_the_band():
     assert edit_distance(a, b, 74) is None
 
 
+def test_lengths_that_differ_by_more_than_the_first_band():
+    rng = np.random.default_rng(3)
+    a = rng.integers(0, 1 << 60, 700).astype(np.uint64)
+    for cut in (30, 60, 100, 139):
+        b = np.concatenate([a[:200], a[200 + cut :]])
+        b[::40] = 1
+        want = cut + len(b[::40])
+        assert edit_distance(a, b, want) == want and edit_distance(b, a, want) == want
+        assert edit_distance(a, b, want - 1) is None
+
+
 def test_sketches_keep_the_order_of_the_text():
     rng = np.random.default_rng(2)
     words = rng.integers(0, 1 << 60, 300).astype(np.uint64)
