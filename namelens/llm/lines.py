@@ -3,7 +3,7 @@
 A line is normalised: lower case, no ASCII characters but letters, words parted
 by single spaces.
 Lines whose words are equal are one line. For the others, a 64-bit SimHash of
-the words is cut into blocks; two hashes that differ in at most ``BITS`` bits
+the different words is cut into blocks; two hashes that differ in at most ``BITS`` bits
 agree on all but ``BITS`` of the blocks, so they meet in a bucket of the values
 of the remaining ones. Pairs in a bucket with hashes that near are verified by
 the edit similarity of the normalised lines: 1 - edited words / words of the
@@ -52,10 +52,20 @@ def normalised(text: str) -> list[bytes]:
 
 
 def simhashes(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """SimHash of the word hashes ``first[i]:first[i + 1]`` of every line, none of them empty."""
+    """SimHash of the word hashes ``first[i]:first[i + 1]`` of every line, none of them empty.
+
+    Each different word counts once: else the commonest words would settle the
+    bits of long lines, and all long lines of a language would look alike.
+    """
     if not len(hashes):
         return np.zeros(0, dtype=np.uint64)
-    sizes = np.diff(first)
+    lines = len(first) - 1
+    own = np.repeat(np.arange(lines), np.diff(first))
+    order = np.lexsort((hashes, own))
+    hashes, own = hashes[order], own[order]
+    new = np.r_[True, (hashes[1:] != hashes[:-1]) | (own[1:] != own[:-1])]
+    hashes, sizes = hashes[new], np.bincount(own[new], minlength=lines)
+    first = np.concatenate(([0], np.cumsum(sizes)))
     pieces = -(-sizes // _PIECE_WORDS)
     own = np.cumsum(pieces) - pieces
     starts = np.repeat(first[:-1], pieces) + (np.arange(pieces.sum()) - np.repeat(own, pieces)) * _PIECE_WORDS

@@ -73,6 +73,14 @@ def test_simhash_is_the_majority_of_each_bit():
         assert got == want
 
 
+def test_common_words_do_not_make_long_lines_alike():
+    rng = np.random.default_rng(2)
+    common, rare = rng.integers(0, 1 << 63, (2, 2000)).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+    lines = [np.concatenate([np.repeat(common[:20], 30), rare[k * 400 : k * 400 + 400]]) for k in range(5)]
+    found = simhashes(np.concatenate(lines), np.arange(6) * 1000)
+    assert min(np.bitwise_count(found[i] ^ found[j]) for i in range(5) for j in range(i)) > 10
+
+
 def test_awkward_rows(awkward, nothing):
     found = dedup_lines(awkward).collect()
     by_id = {}
