@@ -19,7 +19,7 @@ from namelens.llm.stored import stored
 from namelens.operators.snapshot import measured_bytes
 
 # Tables up to this size are sent to all tasks; larger ones are joined by a shuffle.
-BROADCAST_BYTES = 128 * 1024 * 1024
+BROADCAST_BYTES = 32 * 1024 * 1024
 
 
 def components(edges: DataFrame) -> DataFrame:
