@@ -34,7 +34,7 @@ PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 PLAIN_BYTES = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 
 # Pre-tokens remembered by a Python worker; beyond, it forgets them all and starts anew.
-MEMORY_PRE_TOKENS = 400_000
+MEMORY_PRE_TOKENS = 200_000
 # Longer fragments are merged one by one with a heap.
 LONG_FRAGMENT_BYTES = 64
 ROWS_AT_ONCE = 20_000
