@@ -1,15 +1,14 @@
 """Near duplicates by Order MinHash, verified by banded alignment.
 
-The k-mers of a text are its runs of five words, each labelled with its
-occurrence number, so repeats count. A sketch takes the least labelled k-mers
-under one hash function and keeps them in the order of the text; texts with
-equal sketches share k-mers in the same order, which is likely for a small edit
-distance. Every sketch puts its text into a bucket. Pairs in a bucket are
+The k-mers of a text are its runs of two words, or single words in a short text,
+each labelled with its occurrence number, so repeats count. A sketch takes the
+least labelled k-mers under one hash function and keeps them in the order of the
+text; texts with equal sketches share k-mers in the same order, which is likely
+for a small edit distance. Every sketch puts its text into a bucket. Pairs in a bucket are
 verified by the alignment of their words, within the band that a similarity of
 0.8 allows: 1 - edits / words of the longer text.
 
-Texts with equal word sequences are one text. Shorter texts than five words are
-one k-mer. Texts without words, empty ones and nulls, are no duplicates of
+Texts with equal word sequences are one text. Texts without words, empty ones and nulls, are no duplicates of
 anything. A null id counts as the greatest. Repeated rows are copies: one of
 them stays. Other columns are passed on; added ones replace columns of the same
 name.
@@ -20,6 +19,7 @@ from __future__ import annotations
 import hashlib
 from bisect import bisect_left
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -31,14 +31,31 @@ from namelens.llm.rows import keyed, packed, texts_of, unpacked
 from namelens.llm.stored import stored
 from namelens.llm.words import batches, mixed, range_hashes, window_hashes, words_of
 
-KMER = 5
-# With three k-mers to a sketch, texts that share a passage rarely share a sketch.
-# Texts with a k-mer similarity of 0.6 or more miss all 32 with a probability
-# below 0.001, those of 0.4 (every tenth word edited) with one of about 0.1.
-SKETCHES = 32
+KMER = 2
+SKETCHES = 64
 SKETCH_KMERS = 3
 SIMILARITY = 0.8
 
+
+class Scheme(NamedTuple):
+    """How texts of ``least`` to ``most`` words are sketched."""
+
+    least: int
+    most: int
+    k: int
+    kmers: int
+    count: int
+
+
+# Every fifth word edited leaves pairs of words a similarity of 0.47 and single
+# words one of 0.67, also in a text of few words. Texts of 0.8 edit similarity
+# always have a scheme in common: each begins at 0.8 of the end of the one before.
+SCHEMES = (
+    Scheme(1, 12, 1, 3, 48),
+    Scheme(9, 40, 1, 4, 48),
+    Scheme(32, 1 << 62, KMER, SKETCH_KMERS, SKETCHES),
+)
+
 # Cells of the matrix of sketches and k-mers that are worked on at once.
 MATRIX_CELLS = 1 << 20
 
@@ -80,6 +97,12 @@ def sketches(words: np.ndarray, count: int = SKETCHES, kmers: int = SKETCH_KMERS
     return mixed(range_hashes(plain[least].ravel(), starts, starts + kmers) + np.arange(count, dtype=np.uint64))
 
 
+def text_sketches(words: np.ndarray, schemes: tuple[Scheme, ...] = SCHEMES) -> np.ndarray:
+    """The sketches of a text by all schemes for its length."""
+    own = [(n, s) for n, s in enumerate(schemes) if s.least <= len(words) <= s.most]
+    return np.concatenate([mixed(sketches(words, s.count, s.kmers, s.k) + np.uint64(n + 1)) for n, s in own])
+
+
 def words_in_common(a: np.ndarray, b: np.ndarray) -> int:
     """Size of the multiset intersection: no alignment matches more words."""
     _, own = np.unique(np.concatenate([a, b]), return_inverse=True)
@@ -228,7 +251,7 @@ def _banded(a: np.ndarray, b: np.ndarray, band: int) -> int | None:
     return distance if distance <= band else None
 
 
-def described(docs: DataFrame, count: int = SKETCHES) -> DataFrame:
+def described(docs: DataFrame, schemes: tuple[Scheme, ...] = SCHEMES) -> DataFrame:
     """Per document with words: the id of its word sequence, its words and its sketches."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -244,7 +267,7 @@ def described(docs: DataFrame, count: int = SKETCHES) -> DataFrame:
                         values = (doc, key, int.from_bytes(digest, "big", signed=True), len(own))
                         for held, value in zip(out, values):
                             held.append(value)
-                        out[4].append(sketches(own, count).view(np.int64))
+                        out[4].append(text_sketches(own, schemes).view(np.int64))
                 yield pa.RecordBatch.from_arrays(
                     [
                         *[pa.array(x, pa.int64()) for x in out[:4]],
@@ -262,9 +285,11 @@ def most_edits(n: Column, similarity: float) -> Column:
     return F.floor(n * (1 - similarity) + 1e-9)
 
 
-def near_groups(docs: DataFrame, similarity: float = SIMILARITY, count: int = SKETCHES) -> DataFrame:
+def near_groups(
+    docs: DataFrame, similarity: float = SIMILARITY, schemes: tuple[Scheme, ...] = SCHEMES
+) -> DataFrame:
     """Per document with words: (_doc, _key, sequence, group). Groups are linked word sequences."""
-    rows = stored(described(docs, count), "sketches")
+    rows = stored(described(docs, schemes), "sketches")
     texts = rows.groupBy("sequence").agg(
         F.first("n_words").alias("n_words"), F.min(F.struct("_doc", "_key")).alias("at"), F.first("sketches").alias("sketches")
     )

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from namelens.llm.near_duplicates import (
     near_enough,
     near_groups,
     sketches,
+    text_sketches,
     words_in_common,
 )
 from namelens.llm.rows import keyed
@@ -74,6 +76,23 @@ def test_sketches_keep_the_order_of_the_text():
     assert same == 1 and 0.1 < moved < 0.8
 
 
+@pytest.mark.parametrize("n", [5, 10, 12, 13, 20, 32, 41, 60, 200, 1000])
+@pytest.mark.parametrize("similarity", [0.8, 0.85, 0.9, 0.95])
+def test_pairs_at_the_threshold_share_a_bucket(n, similarity):
+    rng = np.random.default_rng(n)
+    edits = int((1 - similarity) * n + 1e-9)
+    found, pairs = 0, 200 if n < 1000 else 60
+    for _ in range(pairs):
+        a = rng.integers(0, 1 << 60, n).astype(np.uint64)
+        b = a.copy()
+        at = rng.choice(n, edits, replace=False)
+        b[at] += np.uint64(1)
+        if rng.random() < 0.3 and edits:
+            b = np.delete(a, at)
+        found += bool(np.intersect1d(text_sketches(a), text_sketches(b)).size)
+    assert found >= 0.97 * pairs, found / pairs
+
+
 def variants(rng, words, n, edits):
     out = []
     for _ in range(n):
