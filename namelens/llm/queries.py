@@ -50,6 +50,5 @@ QUERIES: dict[str, Query] = {name: runnable(query) for name, query in OPERATORS.
 ORACLES: dict[str, str] = {
     "op2_search": op2_sql(),
     "op3_substrings": op3_sql(),
-    "op9_fingerprints": op9_fingerprints,
     "op10_url_filters": op10_sql(),
 }
