@@ -1,7 +1,8 @@
 """Line deduplication: fuzzy lines by SimHash, verified by edit similarity.
 
-A line is normalised: lower case, no ASCII characters but letters, words parted
-by single spaces.
+A line is normalised: lower case, no ASCII characters but letters, digits and the
+points, commas and minus signs of numbers, words parted by single spaces. Lines
+that differ in their numbers are different lines.
 Lines whose words are equal are one line. For the others, a 64-bit SimHash of
 the different words is cut into blocks; two hashes that differ in at most ``BITS`` bits
 agree on all but ``BITS`` of the blocks, so they meet in a bucket of the values
@@ -19,6 +20,7 @@ are passed on; added ones replace columns of the same name.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -40,15 +42,24 @@ SIMILARITY = 0.8
 # apart, so random lines share one with about 2**SPARE others.
 SPARE = 1
 
-# Bytes after normalisation: letters, line ends and all of other alphabets stay.
-_LETTERS = bytes(b if chr(b).isalpha() or b >= 0x80 or b == 0x0A else 0x20 for b in range(256))
+# Bytes after normalisation: letters, digits, line ends and all of other alphabets stay.
+# Bytes that UTF-8 never has stand for the characters within numbers.
+_NUMBERS = {b".": b"\xff", b",": b"\xfe", b"-": b"\xfd"}
+_KEPT = {mark[0]: sign[0] for sign, mark in _NUMBERS.items()}
+_LETTERS = bytes(
+    _KEPT.get(b, b if (b < 0x80 and chr(b).isalnum()) or b >= 0x80 or b == 0x0A else 0x20) for b in range(256)
+)
+_IN_NUMBER = re.compile(rb"(?<=[0-9])[.,](?=[0-9])|(?<![0-9a-z\x80-\xff])-(?=[0-9])")
+_NO_LETTERS = b" 0123456789.,-"
 # Counts of one bit in so many words fit into a byte.
 _PIECE_WORDS = 255
 
 
 def normalised(text: str) -> list[bytes]:
-    """The normalised lines of a text in UTF-8."""
-    return [b" ".join(line.split()) for line in text.lower().encode().translate(_LETTERS).split(b"\n")]
+    """The normalised lines of a text in UTF-8; a line without letters is empty."""
+    data = _IN_NUMBER.sub(lambda m: _NUMBERS[m[0]], text.lower().encode()).translate(_LETTERS)
+    lines = [b" ".join(line.split()) for line in data.split(b"\n")]
+    return [line if line.translate(None, _NO_LETTERS) else b"" for line in lines]
 
 
 def simhashes(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:

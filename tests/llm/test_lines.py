@@ -101,3 +101,10 @@ def test_long_buckets_for_many_lines():
     assert block_layout(1000) == (5, 2)
     blocks, taken = block_layout(10**9)
     assert blocks - taken == 3 and taken * 64 // blocks >= 29
+
+
+def test_lines_that_differ_in_numbers_are_different_lines(docs):
+    lines = ["Total 14,200 paid 2021", "Total 9 paid", "x 1.5", "x 15", "x 1 5", "x -5", "x 5", "2021", "2021", "TOTAL 9, paid."]
+    found = {r.doc_id: r.kept_text for r in dedup_lines(docs(list(enumerate(lines)))).collect()}
+    assert [found[k] for k in range(9)] == lines[:9] and found[9] == ""
+    assert normalised("A-1 costs $1,200.50, or -3.\n12 - 13\n") == [b"a 1 costs 1,200.50 or -3", b"", b""]
