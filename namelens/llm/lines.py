@@ -1,14 +1,12 @@
-"""Line deduplication: fuzzy lines by SimHash, verified by edit similarity.
+"""Line deduplication: fuzzy lines by Order MinHash, verified by edit similarity.
 
 A line is normalised: lower case, no ASCII characters but letters, digits and the
 points, commas and minus signs of numbers, words parted by single spaces. Lines
 that differ in their numbers are different lines.
-Lines whose words are equal are one line. For the others, a 64-bit SimHash of
-the different words is cut into blocks; two hashes that differ in at most ``BITS`` bits
-agree on all but ``BITS`` of the blocks, so they meet in a bucket of the values
-of the remaining ones. Pairs in a bucket with hashes that near are verified by
-the edit similarity of the normalised lines: 1 - edited words / words of the
-longer one. Of each connected group of lines the first occurrence stays, by id
+Lines whose words are equal are one line. The others are sketched as documents
+are in ``near_duplicates``, by fewer sketches. Pairs with a sketch in common are
+verified by the edit similarity of the normalised lines: 1 - edited words / words
+of the longer one. Of each connected group of lines the first occurrence stays, by id
 and place; all others go.
 
 Lines without letters are never removed. Null texts count as empty and come
@@ -22,22 +20,25 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from namelens.llm.linking import linked_groups
-from namelens.llm.near_duplicates import near_enough
+from namelens.llm.near_duplicates import Scheme, most_edits, near_enough, text_sketches
 from namelens.llm.rows import kept_columns, keyed, packed, row_field, unpacked
 from namelens.llm.stored import stored
 from namelens.llm.words import batches, range_hashes, words_of
 
-BITS = 3
 SIMILARITY = 0.8
+# Lines are many and short, so each has fewer sketches than a document.
+SCHEMES = (Scheme(1, 12, 1, 3, 24), Scheme(9, 40, 1, 5, 32), Scheme(32, 1 << 62, 2, 3, 32))
+
+# SimHash and its blocks are not used by the query any more.
+BITS = 3
 # A bucket takes this many bits of the hash fewer than the lines need to be told
 # apart, so random lines share one with about 2**SPARE others.
 SPARE = 1
@@ -89,7 +90,7 @@ def simhashes(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
-    """One row for each line with letters: document, place, hash of its words and SimHash."""
+    """One row for each line with letters: document, place and hash of its words."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts:
@@ -112,13 +113,12 @@ def lines_of(docs: DataFrame) -> DataFrame:
                         pa.array(keys, pa.int64()),
                         pa.array(places, pa.int32()),
                         pa.array(range_hashes(words.hashes, words.first[:-1], words.first[1:]).view(np.int64)),
-                        pa.array(simhashes(words.hashes, words.first).view(np.int64)),
                     ],
-                    ["_doc", "_key", "place", "line", "simhash"],
+                    ["_doc", "_key", "place", "line"],
                 )
 
     texts = keyed(docs.select("doc_id", "text")).where("text is not null").select("_doc", "_key", "text")
-    return texts.mapInArrow(run, "_doc bigint, _key bigint, place int, line bigint, simhash bigint")
+    return texts.mapInArrow(run, "_doc bigint, _key bigint, place int, line bigint")
 
 
 def block_layout(lines: int, bits: int = BITS) -> tuple[int, int]:
@@ -135,35 +135,15 @@ def block_layout(lines: int, bits: int = BITS) -> tuple[int, int]:
     return 64, 64 - bits
 
 
-def buckets(simhash: Column, blocks: int, taken: int) -> Column:
-    """A bucket for every choice of blocks: its number and their values, hashed."""
-    edges = [64 * k // blocks for k in range(blocks + 1)]
-    masks = [((1 << (b - a)) - 1) << a for a, b in zip(edges, edges[1:])]
-    keys = []
-    for number, chosen in enumerate(combinations(range(blocks), taken)):
-        mask = sum(masks[k] for k in chosen)
-        signed = mask - (1 << 64) if mask >> 63 else mask
-        keys.append(F.xxhash64(F.lit(number), simhash.bitwiseAND(F.lit(signed))))
-    return F.explode(F.array(*keys))
-
-
-def fuzzy_groups(occurrences: DataFrame, docs: DataFrame, bits: int, similarity: float) -> DataFrame:
+def fuzzy_groups(occurrences: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
     """Groups of different lines that are linked, as (node, root)."""
-    different = stored(
-        occurrences.groupBy("line").agg(
-            F.min("simhash").alias("simhash"), F.min(F.struct("_doc", "_key", "place")).alias("at")
-        ),
-        "lines",
-    )
-    blocks, taken = block_layout(different.count(), bits)
-    members = different.select(
-        buckets(F.col("simhash"), blocks, taken).alias("bucket"), F.col("line").alias("id"), F.col("simhash").alias("trait")
+    different = occurrences.groupBy("line").agg(F.min(F.struct("_doc", "_key", "place")).alias("at"))
+    texts = stored(sketched_lines(docs, different.select("line", "at.*")), "lines")
+    members = texts.select(
+        F.explode("sketches").alias("bucket"), F.col("line").alias("id"), F.col("n_words").alias("trait")
     )
 
     def verified(pairs: DataFrame) -> DataFrame:
-        wanted = pairs.select(F.col("a").alias("line")).union(pairs.select("b")).distinct()
-        at = wanted.join(different, "line").select("line", "at.*")
-        texts = stored(line_texts(docs, at), "line-texts")
         rows = pairs.join(texts.select(F.col("line").alias("a"), F.col("text").alias("ta")), "a").join(
             texts.select(F.col("line").alias("b"), F.col("text").alias("tb")), "b"
         )
@@ -185,33 +165,45 @@ def fuzzy_groups(occurrences: DataFrame, docs: DataFrame, bits: int, similarity:
 
         return rows.mapInArrow(aligned, "a bigint, b bigint")
 
-    near = lambda x, y: F.bit_count(x.bitwiseXOR(y)) <= bits
+    near = lambda x, y: F.abs(x - y) <= most_edits(F.greatest(x, y), similarity)
     return linked_groups(members, near, verified)
 
 
-def line_texts(docs: DataFrame, at: DataFrame) -> DataFrame:
-    """The normalised lines at (_doc, _key, place), as (line, text)."""
-    wanted = at.groupBy("_doc", "_key").agg(F.collect_set(F.struct("place", "line")).alias("wanted"))
+def sketched_lines(docs: DataFrame, at: DataFrame) -> DataFrame:
+    """The normalised lines at (_doc, _key, place), as (line, text, n_words, sketches)."""
+    wanted = at.groupBy("_doc", "_key").agg(F.collect_list(F.struct("place", "line")).alias("wanted"))
     texts = keyed(docs.select("doc_id", "text")).select("_doc", "_key", "text").join(wanted, ["_doc", "_key"])
+    texts = texts.dropDuplicates(["_doc", "_key"]).select("text", "wanted")
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts:
-            ids, found = [], []
-            for text, own in zip(batch.column("text").to_pylist(), batch.column("wanted").to_pylist()):
-                lines = normalised(text)
-                for w in own:
-                    ids.append(w["line"])
-                    found.append(lines[w["place"]].decode())
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(found, pa.string())], ["line", "text"])
+            rows = list(zip(batch.column("text").to_pylist(), batch.column("wanted").to_pylist()))
+            for part in batches(rows, lambda r: len(r[0])):
+                ids, found = [], []
+                for text, own in part:
+                    lines = normalised(text)
+                    ids += [w["line"] for w in own]
+                    found += [lines[w["place"]] for w in own]
+                words = words_of(found)
+                own = [words.hashes[a:b] for a, b in zip(words.first, words.first[1:])]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(ids, pa.int64()),
+                        pa.array([t.decode() for t in found], pa.string()),
+                        pa.array([len(w) for w in own], pa.int64()),
+                        pa.array([text_sketches(w, SCHEMES).view(np.int64) for w in own], pa.list_(pa.int64())),
+                    ],
+                    ["line", "text", "n_words", "sketches"],
+                )
 
-    return texts.mapInArrow(run, "line bigint, text string").dropDuplicates(["line"])
+    return texts.mapInArrow(run, "line bigint, text string, n_words bigint, sketches array<bigint>")
 
 
-def repeated_lines(docs: DataFrame, bits: int = BITS, similarity: float = SIMILARITY) -> DataFrame:
+def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """Per document the places of the lines to remove: (_doc, _key, places)."""
     # Repeated rows give repeated places, which change neither minima nor sets.
     occurrences = stored(lines_of(docs), "line-places")
-    groups = fuzzy_groups(occurrences, docs, bits, similarity)
+    groups = fuzzy_groups(occurrences, docs, similarity)
     named = occurrences.join(groups.withColumnRenamed("node", "line"), "line", "left").select(
         "_doc", "_key", "place", F.coalesce("root", "line").alias("group")
     )
@@ -222,9 +214,9 @@ def repeated_lines(docs: DataFrame, bits: int = BITS, similarity: float = SIMILA
     return stored(later.groupBy("_doc", "_key").agg(F.collect_set("place").alias("places")), "removed-lines")
 
 
-def dedup_lines(docs: DataFrame, bits: int = BITS, similarity: float = SIMILARITY) -> DataFrame:
+def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """Add ``n_lines``, ``n_removed`` and ``kept_text`` (null for a null text)."""
-    removed = repeated_lines(docs, bits, similarity)
+    removed = repeated_lines(docs, similarity)
     added = [
         T.StructField("n_lines", T.LongType()),
         T.StructField("n_removed", T.LongType()),

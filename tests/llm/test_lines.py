@@ -108,3 +108,40 @@ def test_lines_that_differ_in_numbers_are_different_lines(docs):
     found = {r.doc_id: r.kept_text for r in dedup_lines(docs(list(enumerate(lines)))).collect()}
     assert [found[k] for k in range(9)] == lines[:9] and found[9] == ""
     assert normalised("A-1 costs $1,200.50, or -3.\n12 - 13\n") == [b"a 1 costs 1,200.50 or -3", b"", b""]
+
+
+def test_lines_at_the_threshold_are_linked(docs):
+    rng = random.Random(5)
+    rows, want = [], 0
+    for n in (5, 10, 12, 13, 20, 36, 60, 120):
+        for similarity in (0.8, 0.85, 0.9, 0.95):
+            for _ in range(10):
+                words = [f"w{rng.randrange(10**9)}" for _ in range(n)]
+                other = words[:]
+                edits = int((1 - similarity) * n + 1e-9)
+                for at in rng.sample(range(n), edits):
+                    other[at] = f"v{rng.randrange(10**9)}"
+                rows += [(len(rows), " ".join(words)), (len(rows) + 1, " ".join(other))]
+                want += 1
+        # One edit too many.
+        far = [f"f{n}x{k}" for k in range(n)]
+        rows += [(len(rows), " ".join(far)), (len(rows) + 1, " ".join(["y"] * (n // 5 + 1) + far[n // 5 + 1 :]))]
+    found = [r.doc_id for r in dedup_lines(docs(rows)).where("n_removed > 0").collect()]
+    assert all(k % 2 for k in found) and want * 0.97 <= len(found) <= want
+
+
+def test_like_unfiltered_brute_force(docs):
+    rng = random.Random(6)
+    base = [[f"{chr(97 + b)}{chr(97 + rng.randrange(26))}{chr(97 + k % 26)}" for k in range(25)] for b in range(10)]
+    rows = []
+    for doc in range(40):
+        lines = []
+        for _ in range(rng.randrange(1, 5)):
+            words = rng.choice(base)[:]
+            for _ in range(rng.randrange(4)):
+                words[rng.randrange(25)] = f"z{rng.randrange(50)}"
+            lines.append(" ".join(words))
+        rows.append((doc, "\n".join(lines)))
+    gone = brute_force(rows, bits=64)
+    found = {r.doc_id: r.n_removed for r in dedup_lines(docs(rows)).collect()}
+    assert found == {doc: len(gone.get(doc, ())) for doc, _ in rows} and sum(found.values()) > 40
