@@ -18,6 +18,7 @@ from namelens.llm.stored import workers_find_package
 from namelens.llm.substrings import op3_substrings, op3_sql
 from namelens.llm.toxicity import op5_toxicity
 from namelens.llm.urls import op10_sql, op10_url_filters
+from namelens.llm.whitening import op13_whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -42,6 +43,7 @@ OPERATORS: dict[str, Query] = {
     "op8_mixing": op8_mixing,
     "op9_fingerprints": op9_fingerprints,
     "op10_url_filters": op10_url_filters,
+    "op13_whitening": op13_whitening,
 }
 
 QUERIES: dict[str, Query] = {name: runnable(query) for name, query in OPERATORS.items()}
