@@ -12,6 +12,7 @@ from namelens.llm.fingerprints import op9_fingerprints
 from namelens.llm.lines import op1_lines
 from namelens.llm.mixing import op8_mixing
 from namelens.llm.near_duplicates import op4_near_duplicates
+from namelens.llm.phrases import op11_phrases, op11_sql
 from namelens.llm.pii import op6_pii
 from namelens.llm.search import op2_search, op2_sql
 from namelens.llm.stored import workers_find_package
@@ -43,6 +44,7 @@ OPERATORS: dict[str, Query] = {
     "op8_mixing": op8_mixing,
     "op9_fingerprints": op9_fingerprints,
     "op10_url_filters": op10_url_filters,
+    "op11_phrases": op11_phrases,
     "op13_whitening": op13_whitening,
 }
 
@@ -53,4 +55,5 @@ ORACLES: dict[str, str] = {
     "op2_search": op2_sql(),
     "op3_substrings": op3_sql(),
     "op10_url_filters": op10_sql(),
+    "op11_phrases": op11_sql(),
 }
