@@ -108,16 +108,15 @@ class _WordShard:
         new, at = unique[~old], index[~old]
         spelled = [words.data[a:b] for a, b in zip(words.starts[at].tolist(), words.ends[at].tolist())]
         self.spelled.append((new, [langs[i] for i in owner[at].tolist()], spelled))
-        self.known = np.union1d(self.known, new)
+        self.known = np.sort(np.concatenate((self.known, new)), kind="stable")
 
     def rows(self) -> pa.RecordBatch:
         labels = np.concatenate([c[0] for c in self.counts])
-        unique, inverse = np.unique(labels, return_inverse=True)
-        total = np.bincount(inverse, weights=np.concatenate([c[1] for c in self.counts])).astype(np.int64)
+        unique, total = sort_phrases(labels[:, None], np.concatenate([c[1] for c in self.counts]))
         spelled = np.concatenate([s[0] for s in self.spelled])
         langs = [x for s in self.spelled for x in s[1]]
         words = [w.decode() for s in self.spelled for w in s[2]]
-        own = total[np.searchsorted(unique, spelled)]
+        own = total[np.searchsorted(unique[:, 0], spelled)]
         columns = [pa.array(spelled.view(np.int64)), pa.array(langs, pa.string()), pa.array(words, pa.string()), pa.array(own)]
         return pa.RecordBatch.from_arrays(columns, ["label", "lang", "word", "n"])
 
