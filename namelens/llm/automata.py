@@ -193,12 +193,13 @@ class CountAutomaton:
         return found
 
     def to_bytes(self) -> bytes:
+        """Layer by layer, each array in the narrowest numbers that hold it."""
         parts = [struct.pack("<i", self.depth)]
         for first, labels, weights, targets in zip(self.first, self.labels, self.weights, self.targets):
-            kind = "<u4" if weights.max(initial=0) < 1 << 32 else "<u8"
-            parts.append(struct.pack("<ii2s", len(first), len(labels), kind[1:].encode()))
-            parts += [first.astype("<i4").tobytes(), labels.astype("<u8").tobytes()]
-            parts += [weights.astype(kind).tobytes(), targets.astype("<i4").tobytes()]
+            parts += _packed(np.diff(first)) + [struct.pack("<i", len(labels)), labels.astype("<u8").tobytes()]
+            # The last layer leads nowhere: one number says so.
+            ends = (targets == FINAL).all()
+            parts += _packed(weights) + _packed(np.zeros(0, dtype=np.int64) if ends else targets - FINAL)
         return b"".join(parts)
 
     @classmethod
@@ -206,18 +207,29 @@ class CountAutomaton:
         (depth,) = struct.unpack_from("<i", data)
         place, out = 4, cls([], [], [], [])
         for _ in range(depth):
-            states, arcs, kind = struct.unpack_from("<ii2s", data, place)
-            place += 10
-            kinds = [("<i4", states), ("<u8", arcs), ("<" + kind.decode(), arcs), ("<i4", arcs)]
-            for (name, size), held in zip(kinds, (out.first, out.labels, out.weights, out.targets)):
-                held.append(np.frombuffer(data, dtype=name, count=size, offset=place))
-                place += size * np.dtype(name).itemsize
-        out.first = [v.astype(np.int64) for v in out.first]
-        out.targets = [v.astype(np.int64) for v in out.targets]
-        out.weights = [v.astype(np.int64) for v in out.weights]
+            sizes, place = _unpacked(data, place)
+            (arcs,) = struct.unpack_from("<i", data, place)
+            out.first.append(np.r_[0, np.cumsum(sizes)])
+            out.labels.append(np.frombuffer(data, dtype="<u8", count=arcs, offset=place + 4))
+            weights, place = _unpacked(data, place + 4 + 8 * arcs)
+            targets, place = _unpacked(data, place)
+            out.weights.append(weights)
+            out.targets.append(targets + FINAL if len(targets) else np.full(arcs, FINAL))
         return out
 
 
+def _packed(values: np.ndarray) -> list[bytes]:
+    most = int(values.max(initial=0))
+    kind = next(k for k in (1, 2, 4, 8) if most < 1 << 8 * k)
+    return [struct.pack("<ib", len(values), kind), values.astype(f"<u{kind}").tobytes()]
+
+
+def _unpacked(data: bytes, place: int) -> tuple[np.ndarray, int]:
+    size, kind = struct.unpack_from("<ib", data, place)
+    values = np.frombuffer(data, dtype=f"<u{kind}", count=size, offset=place + 5).astype(np.int64)
+    return values, place + 5 + size * kind
+
+
 def united(automata: Iterable[CountAutomaton], depth: int) -> CountAutomaton:
     """One automaton with the sums of the counts."""
     rows, counts = [np.zeros((0, depth), dtype=np.uint64)], [np.zeros(0, dtype=np.int64)]

@@ -51,7 +51,7 @@ BITMAP = 27
 # Words of the corpus whose phrases a range holds.
 RANGE_WORDS = 1 << 21
 # Phrases that a task holds before it writes them as automata.
-SHARD_PHRASES = 1 << 19
+SHARD_PHRASES = 1 << 21
 # Different words that a task holds.
 SHARD_WORDS = 1 << 19
 # Requests that one task reads.
@@ -202,8 +202,10 @@ def shard_automata(docs: DataFrame, bits: np.ndarray, longest: int, ranges: int)
     """The count automata of every task's phrases, one for each range of prefixes."""
     sent = docs.sparkSession.sparkContext.broadcast(bits)
 
-    def written(held: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
-        rows, counts = sort_phrases(np.concatenate([r for r, _ in held]), np.concatenate([c for _, c in held]))
+    def merged(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        return sort_phrases(np.concatenate([r for r, _ in held]), np.concatenate([c for _, c in held]))
+
+    def written(rows: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
         own = prefix_range(rows, ranges)
         order = np.argsort(own, kind="stable")
         rows, counts, own = rows[order], counts[order], own[order]
@@ -225,11 +227,16 @@ def shard_automata(docs: DataFrame, bits: np.ndarray, longest: int, ranges: int)
                     continue
                 held.append(sort_phrases(rows, np.ones(len(rows), dtype=np.int64)))
                 size += len(held[-1][0])
-                if size >= SHARD_PHRASES:
-                    yield from written(held)
+                if size < SHARD_PHRASES:
+                    continue
+                held = [merged(held)]
+                size = len(held[0][0])
+                # Merged again and again it would take time, so it goes when half is different.
+                if 2 * size >= SHARD_PHRASES:
+                    yield from written(*held[0])
                     held, size = [], 0
         if held:
-            yield from written(held)
+            yield from written(*merged(held))
 
     return docs.select("text", "lang").mapInArrow(run, SHARDS)
 
