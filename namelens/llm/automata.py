@@ -18,21 +18,12 @@ from dataclasses import dataclass
 
 import numpy as np
 
+from namelens.llm.counting import sort_rows
 from namelens.llm.words import mixed, range_hashes
 
 FINAL = -1
 
 
-def sort_phrases(phrases: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Different rows in order, each with the sum of its counts."""
-    if not len(phrases):
-        return phrases, counts
-    order = np.lexsort(phrases.T[::-1])
-    phrases, counts = phrases[order], counts[order]
-    new = np.flatnonzero(np.r_[True, (phrases[1:] != phrases[:-1]).any(axis=1)])
-    return phrases[new], np.add.reduceat(counts, new)
-
-
 @dataclass
 class CountAutomaton:
     """``first[k]`` has the arc offsets of the states of layer k, the others one entry an arc."""
@@ -237,4 +228,4 @@ def united(automata: Iterable[CountAutomaton], depth: int) -> CountAutomaton:
         own, n = automaton.phrases()
         rows.append(own)
         counts.append(n)
-    return CountAutomaton.from_sorted(*sort_phrases(np.concatenate(rows), np.concatenate(counts)))
+    return CountAutomaton.from_sorted(*sort_rows(np.concatenate(rows), np.concatenate(counts)))

@@ -35,7 +35,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from namelens.llm.automata import CountAutomaton, sort_phrases, united
+from namelens.llm.automata import CountAutomaton, united
+from namelens.llm.counting import ShardCounts, sort_rows
 from namelens.llm.stored import stored
 from namelens.llm.words import Words, batches, mixed, words_of
 from namelens.operators.joins import keyed_join
@@ -52,8 +53,6 @@ BITMAP = 27
 RANGE_WORDS = 1 << 21
 # Phrases that a task holds before it writes them as automata.
 SHARD_PHRASES = 1 << 21
-# Different words that a task holds.
-SHARD_WORDS = 1 << 19
 # Requests that one task reads.
 REQUESTS = 1 << 17
 
@@ -89,51 +88,24 @@ def _text_parts(batch: pa.RecordBatch) -> Iterator[tuple[list[bytes], list[str]]
         yield [t for t, _ in part], [x for _, x in part]
 
 
-class _WordShard:
-    """Counts of the words of a task's texts."""
-
-    def __init__(self) -> None:
-        self.known = np.zeros(0, dtype=np.uint64)
-        self.spelled: list[tuple[np.ndarray, list[str], list[bytes]]] = []
-        self.counts: list[tuple[np.ndarray, np.ndarray]] = []
-
-    def add(self, texts: list[bytes], langs: list[str]) -> None:
-        words, labels, _, owner = labelled(texts, langs)
-        unique, index, counts = np.unique(labels, return_index=True, return_counts=True)
-        self.counts.append((unique, counts))
-        place = np.searchsorted(self.known, unique)
-        old = np.zeros(len(unique), dtype=bool)
-        inside = place < len(self.known)
-        old[inside] = self.known[place[inside]] == unique[inside]
-        new, at = unique[~old], index[~old]
-        spelled = [words.data[a:b] for a, b in zip(words.starts[at].tolist(), words.ends[at].tolist())]
-        self.spelled.append((new, [langs[i] for i in owner[at].tolist()], spelled))
-        self.known = np.sort(np.concatenate((self.known, new)), kind="stable")
-
-    def rows(self) -> pa.RecordBatch:
-        labels = np.concatenate([c[0] for c in self.counts])
-        unique, total = sort_phrases(labels[:, None], np.concatenate([c[1] for c in self.counts]))
-        spelled = np.concatenate([s[0] for s in self.spelled])
-        langs = [x for s in self.spelled for x in s[1]]
-        words = [w.decode() for s in self.spelled for w in s[2]]
-        own = total[np.searchsorted(unique[:, 0], spelled)]
-        columns = [pa.array(spelled.view(np.int64)), pa.array(langs, pa.string()), pa.array(words, pa.string()), pa.array(own)]
-        return pa.RecordBatch.from_arrays(columns, ["label", "lang", "word", "n"])
-
-
 def count_words(docs: DataFrame) -> DataFrame:
     """Every word of every language with its label and count."""
 
+    def rows(shard: ShardCounts) -> pa.RecordBatch:
+        labels, spelled, counts = shard.rows()
+        return pa.RecordBatch.from_arrays([pa.array(labels.view(np.int64)), *spelled, pa.array(counts)], ["label", "lang", "word", "n"])
+
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard = _WordShard()
+        shard = ShardCounts()
         for batch in parts:
             for texts, langs in _text_parts(batch):
-                shard.add(texts, langs)
-                if len(shard.known) >= SHARD_WORDS:
-                    yield shard.rows()
-                    shard = _WordShard()
+                words, labels, _, owner = labelled(texts, langs)
+                shard.add(labels, lambda at: ([langs[i] for i in owner[at].tolist()], words.at(at)))
+                if shard.full:
+                    yield rows(shard)
+                    shard = ShardCounts()
         if len(shard.known):
-            yield shard.rows()
+            yield rows(shard)
 
     rows = docs.select("text", "lang").mapInArrow(run, WORDS)
     return rows.groupBy("label", "lang", "word").agg(F.sum("n").alias("n"))
@@ -203,7 +175,7 @@ def shard_automata(docs: DataFrame, bits: np.ndarray, longest: int, ranges: int)
     sent = docs.sparkSession.sparkContext.broadcast(bits)
 
     def merged(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-        return sort_phrases(np.concatenate([r for r, _ in held]), np.concatenate([c for _, c in held]))
+        return sort_rows(np.concatenate([r for r, _ in held]), np.concatenate([c for _, c in held]))
 
     def written(rows: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
         own = prefix_range(rows, ranges)
@@ -225,7 +197,7 @@ def shard_automata(docs: DataFrame, bits: np.ndarray, longest: int, ranges: int)
                 rows = candidate_phrases(labels, pieces, sent.value, longest)
                 if not len(rows):
                     continue
-                held.append(sort_phrases(rows, np.ones(len(rows), dtype=np.int64)))
+                held.append(sort_rows(rows, np.ones(len(rows), dtype=np.int64)))
                 size += len(held[-1][0])
                 if size < SHARD_PHRASES:
                     continue

@@ -83,6 +83,9 @@ class Words:
         part = slice(self.first[i], self.first[i + 1])
         return [self.data[a:b] for a, b in zip(self.starts[part], self.ends[part])]
 
+    def at(self, places: np.ndarray) -> list[bytes]:
+        return [self.data[a:b] for a, b in zip(self.starts[places].tolist(), self.ends[places].tolist())]
+
 
 def words_of(texts: list[bytes]) -> Words:
     """Find and hash the words of ``texts``."""

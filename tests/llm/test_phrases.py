@@ -5,7 +5,8 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from namelens.llm.automata import CountAutomaton, sort_phrases, united
+from namelens.llm.automata import CountAutomaton, united
+from namelens.llm.counting import sort_rows
 from namelens.llm.phrases import collocations, part_counts
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -60,7 +61,7 @@ def test_automata_like_a_counter(seed):
     depth = rng.choice([1, 2, 3, 5])
     shards = [shard(rng, depth, 3 + seed % 6) for _ in range(3)]
     built = [
-        CountAutomaton.from_sorted(*sort_phrases(filled(s, depth), np.ones(len(s), dtype=np.int64))) for s in shards
+        CountAutomaton.from_sorted(*sort_rows(filled(s, depth), np.ones(len(s), dtype=np.int64))) for s in shards
     ]
     both = united([CountAutomaton.from_bytes(a.to_bytes()) for a in built], depth)
     counts = Counter(tuple(r[:k]) for s in shards for r in s for k in range(1, len(r) + 1))
