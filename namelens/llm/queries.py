@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from namelens.llm.bpe import op7_bpe
 from namelens.llm.fingerprints import op9_fingerprints
+from namelens.llm.language_model import op12_language_model
 from namelens.llm.lines import op1_lines
 from namelens.llm.mixing import op8_mixing
 from namelens.llm.near_duplicates import op4_near_duplicates
@@ -45,6 +46,7 @@ OPERATORS: dict[str, Query] = {
     "op9_fingerprints": op9_fingerprints,
     "op10_url_filters": op10_url_filters,
     "op11_phrases": op11_phrases,
+    "op12_language_model": op12_language_model,
     "op13_whitening": op13_whitening,
 }
 
