@@ -217,7 +217,8 @@ def encode(rows: DataFrame, units: Units, row: T.StructField, flags: list[str])
                 logs = np.zeros(total)
                 logs[found] = known_logs[place[found]]
                 shared = own.masses[unit] != 0
-                sums = [np.bincount(owner, weights=w, minlength=n) for w in (found, logs, np.where(shared, logs - own.masses[unit], 0.0))]
+                parts_of = (found, logs, np.where(shared, logs - own.masses[unit], 0.0))
+                sums = [np.bincount(owner, weights=w, minlength=n).astype(np.float64) for w in parts_of]
                 stream = np.full(total + n, END, dtype="<u2")
                 stream[np.arange(total) + owner] = unit
                 cuts = 2 * np.r_[0, np.cumsum(sizes + 1)]
