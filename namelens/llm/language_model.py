@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from namelens.llm.counting import ShardCounts, sort_rows
-from namelens.llm.rows import ROW, kept_columns, packed, row_field, unpacked
+from namelens.llm.rows import ROW, kept_columns, row_field, unpacked
 from namelens.llm.stored import stored
 from namelens.llm.toxicity import fold
 from namelens.llm.words import batches, words_of
@@ -424,14 +424,14 @@ def score_texts(docs: DataFrame, text: str = "text", training: Column | None = N
     """
     if training is None:
         training = ~held_out(F.col("doc_id"))
-    marked = docs.withColumn("_training", F.coalesce(training, F.lit(False)))
-    names = [*ADDED, text, "_training"]
-    rows = packed(marked, [text, "_training"], names).withColumnRenamed(text, "text")
+    names = [*ADDED, text]
+    row = F.struct(*[F.col(f"`{c}`") for c in kept_columns(docs, names)]).alias(ROW)
+    rows = docs.select(row, F.col(f"`{text}`").alias("text"), F.coalesce(training, F.lit(False)).alias("_training"))
     learned = rows.where("_training")
     words = stored(count_words(learned), "words")
     units, sent = fit_units(words, learned.count())
     flags = ["_training"]
-    coded = encode(rows, units, row_field(marked, names), flags)
+    coded = encode(rows, units, row_field(docs, names), flags)
     coded = stored(coded.withColumn("_id", F.monotonically_increasing_id()), "units")
     part = F.pmod(F.xxhash64("_id"), F.lit(PARTS)).alias("part")
     parameters = learn(coded.where("_training").select("units", part), units.counts)
@@ -453,7 +453,7 @@ def score_texts(docs: DataFrame, text: str = "text", training: Column | None = N
         "base_score": F.col("log_counts") + log_rare - F.col("n_tokens") * F.lit(whole),
         "score": F.col("log_units") + F.col("log_shares") + log_rare,
     }
-    return unpacked(scored, [c for c in kept_columns(docs, [*ADDED, text])], added), model
+    return unpacked(scored, kept_columns(docs, names), added), model
 
 
 def op12_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
