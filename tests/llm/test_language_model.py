@@ -191,8 +191,8 @@ def test_clashing_columns(spark):
     ddl = "doc_id bigint, text string, n int, units string, `a.b` int, score string, _id int, rare int, word string, _training int"
     docs = spark.createDataFrame([(1, "a b", 1, "u", 2, "old", 3, 4, "w", 5)] * 2, ddl)
     out, _ = score_texts(docs)
-    assert out.columns == ["doc_id", "n", "units", "a.b", "_id", "rare", "word", "n_tokens", "n_known", "base_score", "score"]
-    assert [tuple(r)[:7] for r in out.collect()] == [(1, 1, "u", 2, 3, 4, "w")] * 2
+    assert out.columns == ["doc_id", "n", "units", "a.b", "_id", "rare", "word", "_training", "n_tokens", "n_known", "base_score", "score"]
+    assert [tuple(r)[:8] for r in out.collect()] == [(1, 1, "u", 2, 3, 4, "w", 5)] * 2
 
 
 def test_nothing_to_learn_from(spark, nothing):
