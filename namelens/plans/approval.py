@@ -126,6 +126,12 @@ def enrichment_requests(
     )
 
 
+def approved_files(decisions: DataFrame, landed: DataFrame) -> DataFrame:
+    """All files that approved batches were landed in; a batch may have several."""
+    keys = approved(decisions)
+    return landed.join(keys, APPROVAL_KEYS, "left_semi").select("storage_file_name").distinct()
+
+
 def purge_approved_landing(
     landing: DataFrame, decisions: DataFrame, clients: DataFrame, batches: DataFrame
 ) -> DataFrame:

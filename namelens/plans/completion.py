@@ -13,7 +13,10 @@ EVENT_TYPE = "DELIVERY_STATUS_UPDATED"
 READY = "READY"
 
 
-def start_completion(queue: DataFrame, keys: DataFrame, run_ts: Column) -> DataFrame:
+def start_completion(
+    queue: DataFrame, keys: DataFrame, run_ts: Column, again: bool = False
+) -> DataFrame:
+    """Waiting batches become RUNNING; with ``again`` those that failed as well."""
     return update_matching(
         queue,
         keys,
@@ -24,7 +27,7 @@ def start_completion(queue: DataFrame, keys: DataFrame, run_ts: Column) -> DataF
             "updated_ts": run_ts,
             "error_message": F.lit(None),
         },
-        guard=F.col("processing_status") == "PENDING",
+        guard=F.col("processing_status").isin("PENDING", *(["FAILED"] if again else [])),
     )
 
 
@@ -73,6 +76,14 @@ def complete_batches(
     return close_batches(batches, batch_counts(keys, raw, close_empty), run_ts)
 
 
+def delivered(keys: DataFrame, queue: DataFrame, batches: DataFrame) -> DataFrame:
+    """Of some batches those that are completed and have a delivery time: their raw people may go."""
+    done = queue.where(F.col("processing_status") == "COMPLETED").select(*BATCH_KEYS)
+    closed = batches.where(F.col("delivery_complete_ts").isNotNull()).select("client_id", F.col("id").alias("batch_id"))
+    keys = keys.select(*BATCH_KEYS).distinct()
+    return keys.join(done, BATCH_KEYS, "left_semi").join(closed, BATCH_KEYS, "left_semi")
+
+
 def batch_counts(keys: DataFrame, raw: DataFrame, close_empty: bool = True) -> DataFrame:
     """The number of people of each batch."""
     keys = keys.select(*BATCH_KEYS).distinct()

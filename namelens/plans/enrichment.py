@@ -30,8 +30,10 @@ def pending_requests(statuses: DataFrame) -> DataFrame:
     )
 
 
-def advance_status(statuses: DataFrame, requests: DataFrame, run_ts: Column) -> DataFrame:
-    """Requested PENDING rows become RUNNING; a first start time is kept."""
+def advance_status(
+    statuses: DataFrame, requests: DataFrame, run_ts: Column, again: bool = False
+) -> DataFrame:
+    """Requested PENDING rows become RUNNING, with ``again`` FAILED ones too; a first start time is kept."""
     return update_matching(
         statuses,
         requests,
@@ -42,7 +44,7 @@ def advance_status(statuses: DataFrame, requests: DataFrame, run_ts: Column) ->
             "updated_ts": run_ts,
             "error_message": F.lit(None),
         },
-        guard=F.col("enrichment_status") == "PENDING",
+        guard=F.col("enrichment_status").isin("PENDING", *(["FAILED"] if again else [])),
     )
 
 

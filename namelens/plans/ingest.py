@@ -100,3 +100,9 @@ def enqueue_approval(queue: DataFrame, entries: DataFrame, run_ts: Column) -> Da
         insert_literals={"created_ts": run_ts, "updated_ts": run_ts},
         null_keys=False,
     )
+
+
+def file_membership(files: DataFrame) -> DataFrame:
+    """Which batch each landed file is of; a file outside any batch is of none."""
+    named = F.col("app_organization_id").isNotNull() & F.col("app_batch_id").isNotNull()
+    return files.where(named).select(*APPROVAL_KEYS, "storage_file_name").distinct()

@@ -1,8 +1,9 @@
 """The jobs from an uploaded file to a delivered result, over stored tables.
 
 Every job takes the inserted rows that woke it and the name of the run. It may be
-repeated after a failure: new rows are staged once per run, and all writes are
-keyed.
+repeated after a failure: new rows are staged once per run, all writes are keyed,
+and the repeat takes up again what the failure left running or failed. Keyed tables
+are changed in the parts that a run touches.
 """
 
 from __future__ import annotations
@@ -14,11 +15,20 @@ import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from namelens import schemas
-from namelens.operators import add_absent, keyed_join, snapshot, temporary_snapshots, upsert, with_new_ids
+from namelens.operators import (
+    add_absent,
+    keyed_join,
+    snapshot,
+    temporary_snapshots,
+    update_matching,
+    upsert,
+    with_new_ids,
+)
 from namelens.plans import (
     approval,
     completion,
@@ -29,19 +39,30 @@ from namelens.plans import (
     metrics,
     outbox,
 )
-from namelens.plans.baseline import BATCH_KEYS, RECORD_KEYS, age_baseline, gender_baseline, person_clean
+from namelens.plans.baseline import BATCH_KEYS, RECORD_KEYS
+from namelens.plans.refresh import Chain
 from namelens.sources.export import export_batch, export_batches
-from namelens.sources.tables import Tables
+from namelens.sources.tables import KEYED, Tables, file_key
 
 # Takes messages, sends them, returns their outcomes.
 Sender = Callable[[DataFrame], DataFrame]
 
 AGE_TABLES = {
-    enrichment.AGE_EXPANDED_CODE: ("age_lookup_specific", "age_results_expanded"),
-    enrichment.AGE_COLLAPSED_CODE: ("age_lookup_generic", "age_results_collapsed"),
+    enrichment.AGE_EXPANDED_CODE: ("age_baseline_expanded", "age_results_expanded"),
+    enrichment.AGE_COLLAPSED_CODE: ("age_baseline_collapsed", "age_results_collapsed"),
+}
+# The state of a queue's rows: what ``requeue`` sets back.
+STATES = {
+    "enrichment_status": "enrichment_status",
+    "completion_queue": "processing_status",
+    "download_ready_queue": "processing_status",
 }
 
 
+class EnrichmentError(RuntimeError):
+    """Some enrichment types failed; the others are done. The run may be repeated."""
+
+
 def one_at_a_time(job):
     """Jobs of one pipeline share tables, so only one of them runs at any time.
 
@@ -67,8 +88,12 @@ class Pipeline:
         all_open: bool = False,
         purge_landing: bool = True,
         purge_raw: bool = False,
+        tries: int = 1,
     ):
+        """``tries``: how often a run tries an enrichment type before its batches are FAILED."""
         self.tables = tables
+        self.chain = Chain(tables)
+        self.tries = tries
         self._lock = threading.RLock()
         self.model_version = model_version
         self._now = now
@@ -81,17 +106,19 @@ class Pipeline:
 
     @one_at_a_time
     def load_lookups(self, name_counts: DataFrame) -> None:
-        """Make the three name lookups anew from the birth counts."""
-        stage = snapshot(lookups.name_count_stage(name_counts), "name-counts")
-        self.tables.replace("gender_lookup", lookups.gender_lookup(stage))
-        self.tables.replace("age_lookup_generic", lookups.age_lookup(stage, lookups.GENERIC_AGES))
-        self.tables.replace("age_lookup_specific", lookups.age_lookup(stage, lookups.SPECIFIC_AGES))
+        """Store the birth counts and make the name lookups anew from them."""
+        self.tables.replace("name_counts", name_counts)
+        for name in ("gender_lookup", "age_lookup_generic", "age_lookup_specific"):
+            self.chain.refresh(name)
 
     @one_at_a_time
     def process_files(self, landed: DataFrame, run: str) -> None:
         """Register the landed batches, store their people, ask for approval."""
         t = self.tables
         files = snapshot(ingest.landed_files(landed), "files")
+        members = ingest.file_membership(files)
+        file_keys = members.columns
+        t.change("landed_file", members, lambda rows: add_absent(rows, members, file_keys, null_keys=False))
         clients, batches = t.read("client"), t.read("client_batch")
         top = batches.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
         new = ingest.register_batches(files, clients, batches)
@@ -103,7 +130,8 @@ class Pipeline:
             ),
             schemas.BATCH,
         )
-        batches = t.replace("client_batch", add_absent(batches, staged, ["client_id", "id"], null_keys=False))
+        t.change("client_batch", staged, lambda rows: add_absent(rows, staged, ["client_id", "id"], null_keys=False))
+        batches = t.read("client_batch")
 
         keys = ingest.batch_keys(clients, batches)
         touched = snapshot(
@@ -117,17 +145,13 @@ class Pipeline:
         fresh = ingest.raw_rows(landed, files, clients, batches, stored)
         t.replace_people("person_input", stored.unionByName(fresh))
 
-        queue = t.read("approval_queue")
+        queue = t.read("approval_queue", files)
         entries = ingest.approval_entries(files, clients, batches)
         entries = entries.join(queue.select(*ingest.APPROVAL_KEYS), ingest.APPROVAL_KEYS, "left_anti")
-        staged = t.stage(run, "approval_queue", entries, schemas.APPROVAL_QUEUE)
-        queue = t.replace(
-            "approval_queue",
-            ingest.enqueue_approval(
-                queue, staged.select(*ingest.APPROVAL_KEYS, "batch_id", "status"), self.now()
-            ),
-        )
-        asked = queue.join(staged.select(*ingest.APPROVAL_KEYS), ingest.APPROVAL_KEYS, "left_semi")
+        asked = t.stage(run, "approval_queue", entries, schemas.APPROVAL_QUEUE)
+        new_entries = asked.select(*ingest.APPROVAL_KEYS, "batch_id", "status")
+        queue = t.change("approval_queue", asked, lambda rows: ingest.enqueue_approval(rows, new_entries, self.now()))
+        asked = queue.join(asked.select(*ingest.APPROVAL_KEYS), ingest.APPROVAL_KEYS, "left_semi")
         t.emit("approval_queue", asked, run)
 
     def request_approval(self, queued: DataFrame, run: str, send: Sender) -> DataFrame:
@@ -140,12 +164,10 @@ class Pipeline:
         """Note the decisions, order the enrichments of approved batches, drop their landing rows."""
         t = self.tables
         decisions = snapshot(approval.latest_approval(results), "decisions")
-        t.replace(
-            "approval_queue",
-            approval.apply_decisions(t.read("approval_queue"), decisions, self.now()),
-        )
+        t.change("approval_queue", decisions, lambda rows: approval.apply_decisions(rows, decisions, self.now()))
         clients, batches = t.read("client"), t.read("client_batch")
-        statuses = t.read("enrichment_status")
+        keys = approval.approved(decisions).join(ingest.batch_keys(clients, batches), ingest.APPROVAL_KEYS)
+        statuses = t.read("enrichment_status", keys)
         wanted = approval.enrichment_requests(
             decisions, clients, batches, t.read("output_configuration"), statuses
         )
@@ -155,34 +177,29 @@ class Pipeline:
             wanted.withColumn("created_ts", self.now()).withColumn("updated_ts", self.now()),
             schemas.ENRICHMENT_STATUS,
         )
-        t.replace("enrichment_status", add_absent(statuses, staged, approval.STATUS_KEYS, null_keys=False))
+        t.change("enrichment_status", staged, lambda rows: add_absent(rows, staged, approval.STATUS_KEYS, null_keys=False))
         t.emit("enrichment_status", staged, run)
         if self.purge_landing:
-            self._purge_landing(decisions, clients, batches)
-
-    def _purge_landing(self, decisions: DataFrame, clients: DataFrame, batches: DataFrame) -> None:
-        """Remove the landing runs that hold nothing but files of approved batches."""
-        t = self.tables
-        landing = t.changes("landing").select(
-            "storage_file_name",
-            F.regexp_extract(F.col("_metadata.file_path"), r"/changes/landing/([^/]+)/", 1).alias("run"),
-        )
-        files = snapshot(landing.distinct(), "landed-files")
-        stay = approval.purge_approved_landing(files, decisions, clients, batches)
-        done = files.select("run").distinct().join(stay.select("run"), "run", "left_anti")
-        # One row per landing run, not per record.
-        t.drop_change_runs("landing", [row["run"] for row in done.collect()])
+            files = approval.approved_files(decisions, t.read("landed_file", decisions))
+            # One short name for each file of the batches decided in this run.
+            t.drop_landed({r[0] for r in files.select(file_key(F.col("storage_file_name"))).collect()})
 
     @one_at_a_time
     def start_enrichment(self, ordered: DataFrame, run: str) -> None:
-        """Run the ordered enrichments and put finished batches in the completion queue."""
+        """Run the ordered enrichments and put finished batches in the completion queue.
+
+        Types run side by side, each on its own: what one has done is kept when
+        another fails. Then the run fails too, and its repeat does what is left.
+        """
         t = self.tables
         requests = snapshot(enrichment.pending_requests(ordered), "requests")
-        statuses = enrichment.advance_status(t.read("enrichment_status"), requests, self.now())
-        statuses = enrichment.fail_unsupported(
-            statuses, requests, t.read("enrichment_attribute"), self.now()
-        )
-        statuses = self._reject_repeated(t.replace("enrichment_status", statuses), requests)
+
+        def started(rows: DataFrame) -> DataFrame:
+            rows = enrichment.advance_status(rows, requests, self.now(), again=True)
+            return enrichment.fail_unsupported(rows, requests, t.read("enrichment_attribute"), self.now())
+
+        t.change("enrichment_status", requests, started)
+        statuses = self._reject_repeated(requests)
         # At most one row per enrichment type.
         codes = {r[0] for r in requests.select("enrichment_type_code").distinct().collect()}
         jobs = {
@@ -194,58 +211,90 @@ class Pipeline:
             }.items()
             if code in codes
         }
-        try:
-            keys = {code: self._open_batches(statuses, code) for code in jobs}
-            # The jobs write different tables; the shared status table is written after them.
-            with ThreadPoolExecutor(max_workers=len(AGE_TABLES) + 1) as pool:
-                running = {
-                    c: pool.submit(contextvars.copy_context().run, job, c, keys[c])
-                    for c, job in jobs.items()
-                }
-                payloads = {c: future.result() for c, future in running.items()}
-        except Exception as error:
-            t.replace(
-                "enrichment_status",
-                enrichment.fail_running(statuses, requests, str(error), self.now()),
-            )
-            raise
-        for code, payload in payloads.items():
-            statuses = enrichment.complete_status(
-                statuses, payload, keys[code], self.now(), code
-            )
-        statuses = t.replace("enrichment_status", statuses)
-        worked = requests.select(*BATCH_KEYS).distinct()
-        queue = t.read("completion_queue")
+        payloads, errors = self._run_types(jobs, statuses)
+
+        def ended(rows: DataFrame) -> DataFrame:
+            for code, (payload, keys) in payloads.items():
+                rows = enrichment.complete_status(rows, payload, keys, self.now(), code)
+            for code, error in errors.items():
+                mine = requests.where(F.col("enrichment_type_code") == code)
+                rows = enrichment.fail_running(rows, mine, str(error), self.now())
+            return rows
+
+        worked = requests.select(*BATCH_KEYS)
+        for _, keys in payloads.values():
+            worked = worked.union(keys)
+        worked = snapshot(worked.distinct(), "worked")
+        statuses = t.change("enrichment_status", worked, ended)
+        queue = t.read("completion_queue", worked)
         done = enrichment.completion_candidates(worked, statuses)
         done = done.join(queue.select(*BATCH_KEYS), BATCH_KEYS, "left_anti")
-        staged = t.stage(run, "completion_queue", done, schemas.COMPLETION_QUEUE)
-        queue = t.replace(
-            "completion_queue", enrichment.enqueue_completion(queue, staged, self.now())
-        )
+        staged = t.stage(f"{run}-{len(errors)}-failed" if errors else run, "completion_queue", done, schemas.COMPLETION_QUEUE)
+        queue = t.change("completion_queue", staged, lambda rows: enrichment.enqueue_completion(rows, staged, self.now()))
         t.emit(
             "completion_queue",
             queue.join(staged.select(*BATCH_KEYS), BATCH_KEYS, "left_semi"),
-            run,
+            f"{run}-{len(errors)}-failed" if errors else run,
         )
+        if errors:
+            raise EnrichmentError("; ".join(f"{code}: {error}" for code, error in errors.items())) from next(iter(errors.values()))
+
+    def _run_types(self, jobs: dict, statuses: DataFrame) -> tuple[dict, dict[str, Exception]]:
+        """Run enrichment types side by side, each in a scheduler pool of its own name.
+
+        Returns the payloads and batches of those that ended well, and the errors
+        of the others.
+        """
+        sc = self.tables.spark.sparkContext
+
+        def tried(code: str, job) -> tuple[DataFrame, DataFrame]:
+            sc.setLocalProperty("spark.scheduler.pool", code)
+            for left in reversed(range(max(self.tries, 1))):
+                try:
+                    keys = self._open_batches(statuses, code)
+                    return job(code, keys), keys
+                except Exception:
+                    if not left:
+                        raise
+            raise AssertionError
+
+        done, errors = {}, {}
+        # The types share the clean people; each writes tables of its own after that.
+        try:
+            if jobs:
+                open_ = [self._open_batches(statuses, code) for code in jobs]
+                self.chain.refresh("person_clean", functools.reduce(DataFrame.union, open_))
+        except Exception as error:
+            return {}, dict.fromkeys(jobs, error)
+        with ThreadPoolExecutor(max_workers=len(AGE_TABLES) + 1) as pool:
+            running = {
+                code: pool.submit(contextvars.copy_context().run, inheritable_thread_target(self.tables.spark)(tried), code, job)
+                for code, job in jobs.items()
+            }
+            for code, future in running.items():
+                try:
+                    done[code] = future.result()
+                except Exception as error:
+                    errors[code] = error
+        return done, errors
 
     def _open_batches(self, statuses: DataFrame, code: str) -> DataFrame:
         t = self.tables
-        workable = snapshot(
-            enrichment.workable_batches(t.read("client_batch"), statuses, code, self.all_open),
-            "workable",
-        )
-        people = t.read_people("person_input", workable)
-        return snapshot(people.select(*BATCH_KEYS).distinct(), "open-batches")
+        workable = enrichment.workable_batches(t.read("client_batch"), statuses, code, self.all_open)
+        stored = t.people("person_input").pointer().select(*BATCH_KEYS)
+        return snapshot(workable.join(stored, BATCH_KEYS, "left_semi"), "open-batches")
 
-    def _reject_repeated(self, statuses: DataFrame, requests: DataFrame) -> DataFrame:
+    def _reject_repeated(self, requests: DataFrame) -> DataFrame:
         """Fail the ordered batches that have a record id twice; the others go on."""
         t = self.tables
         people = t.read_people("person_input", requests.select(*BATCH_KEYS).distinct())
         bad = snapshot(enrichment.repeated_batches(people), "repeated-ids")
-        failed = enrichment.fail_running(
-            statuses, requests.join(bad, BATCH_KEYS, "left_semi"), enrichment.REPEATED_ID, self.now()
+        mine = requests.join(bad, BATCH_KEYS, "left_semi")
+        return t.change(
+            "enrichment_status",
+            requests,
+            lambda rows: enrichment.fail_running(rows, mine, enrichment.REPEATED_ID, self.now()),
         )
-        return t.replace("enrichment_status", failed)
 
     def _write_results(self, name: str, rows: DataFrame, keys: DataFrame) -> None:
         """Write result rows over the stored ones of their batches; other batches are not read."""
@@ -254,31 +303,25 @@ class Pipeline:
 
     def _enrich_gender(self, code: str, keys: DataFrame, model_version: str | None = None) -> DataFrame:
         t, version = self.tables, model_version or self.model_version
-        people = t.read_people("person_input", keys)
-        rows = snapshot(
-            gender_baseline(person_clean(people), t.read("gender_lookup"), stored=True), "baseline"
-        )
+        self.chain.refresh("gender_baseline", keys)
+        rows = t.read_people("gender_baseline", keys)
         self._write_results("gender_results", enrichment.to_results(rows, version), keys)
         store = t.read_people("improvement_store", keys)
         shared = enrichment.upsert_improvement(
             store, rows, t.read("client"), self.now(), version
         )
         t.replace_people("improvement_store", shared)
-        summary = t.replace(
-            "gender_metrics",
-            enrichment.upsert_metrics(
-                t.read("gender_metrics"), metrics.batch_metrics(rows, version)
-            ),
-        )
+        counted = snapshot(metrics.batch_metrics(rows, version), "metrics")
+        summary = t.change("gender_metrics", keys, lambda old: enrichment.upsert_metrics(old, counted))
         mine = summary.join(keys, BATCH_KEYS, "left_semi")
         return metrics.metrics_payload(mine, version)
 
     def _enrich_age(self, code: str, keys: DataFrame) -> DataFrame:
         """Age results. Their metrics are not defined, so the payload stays empty."""
         t = self.tables
-        lookup, results = AGE_TABLES[code]
-        people = t.read_people("person_input", keys)
-        rows = age_baseline(person_clean(people), t.read(lookup), stored=True)
+        view, results = AGE_TABLES[code]
+        self.chain.refresh(view, keys)
+        rows = t.read_people(view, keys)
         self._write_results(results, enrichment.to_age_results(rows, self.model_version), keys)
         return keys.select(
             *BATCH_KEYS, F.lit(None).cast("string").alias("enrichment_metrics_payload")
@@ -296,9 +339,11 @@ class Pipeline:
             completion.batch_counts(wanted, t.read_people("person_input", wanted)),
             schemas.COMPLETED_BATCH,
         )
-        queue = t.replace(
+        # Rows come again only if their run failed: what it left is taken up.
+        queue = t.change(
             "completion_queue",
-            completion.start_completion(t.read("completion_queue"), counted, self.now()),
+            counted,
+            lambda rows: completion.start_completion(rows, counted, self.now(), again=True),
         )
         # A repeated run finds its batches completed and does nothing to them.
         running = queue.where(F.col("processing_status") == "RUNNING").select(*BATCH_KEYS)
@@ -307,27 +352,31 @@ class Pipeline:
             if not keys.isEmpty():
                 self._complete(keys, run)
         except Exception as error:
-            t.replace(
+            message = str(error)
+            t.change(
                 "completion_queue",
-                completion.fail_completion(queue, keys, str(error), self.now()),
+                counted,
+                lambda rows: completion.fail_completion(rows, keys, message, self.now()),
             )
             raise
-        t.replace("completion_queue", completion.finish_completion(queue, keys, self.now()))
+        queue = t.change(
+            "completion_queue", counted, lambda rows: completion.finish_completion(rows, keys, self.now())
+        )
         if self.purge_raw:
-            # One entry per delivered batch.
-            done = [(r["client_id"], r["batch_id"]) for r in counted.collect()]
-            t.drop_batches("person_input", done)
+            batches = t.read("client_batch", counted.select("client_id", F.col("batch_id").alias("id")))
+            self.chain.drop(snapshot(completion.delivered(counted, queue, batches), "delivered"))
 
     def _complete(self, keys: DataFrame, run: str) -> None:
         t = self.tables
-        batches = t.replace(
+        batches = t.change(
             "client_batch",
-            completion.close_batches(t.read("client_batch"), keys, self.now()),
+            keys.select("client_id", F.col("batch_id").alias("id")),
+            lambda rows: completion.close_batches(rows, keys, self.now()),
         )
         messages = completion.delivery_payload(
-            keys, batches, t.read("client"), t.read("enrichment_status"), self.now()
+            keys, batches, t.read("client"), t.read("enrichment_status", keys), self.now()
         )
-        self._post(messages, run)
+        self._post(snapshot(messages, "messages"), run)
 
     def _post(self, messages: DataFrame, run: str) -> None:
         """Put messages into the outbox, number the new ones, and show them to the stream.
@@ -335,26 +384,30 @@ class Pipeline:
         A refreshed message is emitted too, so that it is sent again.
         """
         t = self.tables
-        box = t.read("outbox")
-        top = box.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
-        merged = snapshot(completion.outbox_upsert(box, messages), "outbox")
-        numbered = with_new_ids(
-            merged.where(F.col("id").isNull()).drop("id"),
-            [F.col("client_id"), F.col("batch_id"), F.col("event_type")],
-            top,
-        )
-        box = t.replace("outbox", merged.where(F.col("id").isNotNull()).unionByName(numbered))
-        posted = box.where(F.col("processed_ts").isNull()).join(
+        top = t.read("outbox").agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
+
+        def posted(rows: DataFrame) -> DataFrame:
+            merged = snapshot(completion.outbox_upsert(rows, messages), "outbox")
+            numbered = with_new_ids(
+                merged.where(F.col("id").isNull()).drop("id"),
+                [F.col("client_id"), F.col("batch_id"), F.col("event_type")],
+                top,
+            )
+            return merged.where(F.col("id").isNotNull()).unionByName(numbered)
+
+        box = t.change("outbox", messages, posted)
+        mine = box.where(F.col("processed_ts").isNull()).join(
             messages.select(*completion.OUTBOX_KEYS).distinct(), completion.OUTBOX_KEYS, "left_semi"
         )
-        t.emit("outbox", posted, run)
+        t.emit("outbox", mine, run)
 
     @one_at_a_time
     def deliver(self, posted: DataFrame, run: str, send: Sender) -> dict[str, int]:
         """Send messages and note the outcomes; returns the totals."""
         outcomes = snapshot(send(posted.select("id", "payload")), "outcomes")
-        box = outbox.apply_delivery_outcomes(self.tables.read("outbox"), outcomes, self.now())
-        self.tables.replace("outbox", box)
+        self.tables.change(
+            "outbox", posted, lambda rows: outbox.apply_delivery_outcomes(rows, outcomes, self.now())
+        )
         return outbox.delivery_totals(outcomes).first().asDict()
 
     @one_at_a_time
@@ -409,13 +462,14 @@ class Pipeline:
     def _announce(self, entries: DataFrame, run: str) -> None:
         """Note where results lie and queue the announcements; a repeated one is sent again."""
         t = self.tables
-        t.replace(
-            "client_batch",
-            download.set_object_keys(t.read("client_batch"), t.read("client"), entries),
-        )
-        queue = t.replace(
+        clients = t.read("client")
+        keys = ingest.batch_keys(clients, t.read("client_batch"))
+        keys = entries.join(keys, ingest.APPROVAL_KEYS).select("client_id", F.col("batch_id").alias("id"))
+        t.change("client_batch", keys, lambda rows: download.set_object_keys(rows, clients, entries))
+        queue = t.change(
             "download_ready_queue",
-            download.download_ready_upsert(t.read("download_ready_queue"), entries, self.now()),
+            entries,
+            lambda rows: download.download_ready_upsert(rows, entries, self.now()),
         )
         t.emit(
             "download_ready_queue",
@@ -428,16 +482,33 @@ class Pipeline:
         """Send the announcements and note the outcomes; returns the totals."""
         messages = outbox.download_messages(enrichment.pending(ready))
         outcomes = snapshot(send(messages), "outcomes")
-        queue = outbox.apply_download_outcomes(
-            self.tables.read("download_ready_queue"), outcomes, self.now()
+        self.tables.change(
+            "download_ready_queue",
+            ready,
+            lambda rows: outbox.apply_download_outcomes(rows, outcomes, self.now()),
         )
-        self.tables.replace("download_ready_queue", queue)
         return outbox.delivery_totals(outcomes).first().asDict()
 
     @one_at_a_time
-    def requeue(self, name: str, rows: DataFrame, run: str) -> None:
-        """Show rows to their stream once more."""
-        self.tables.emit(name, rows, run)
+    def requeue(self, name: str, keys: DataFrame, run: str) -> None:
+        """Set failed rows of a queue back to PENDING and show them to their stream once more.
+
+        ``keys`` has the key columns of the rows, all or some of them (without a
+        type code all types of a batch). Rows in another state stay as they are.
+        The name of the run must be new.
+        """
+        t, state = self.tables, STATES[name]
+        on = [c for c in keys.columns if c in schemas.struct(KEYED[name]).fieldNames()]
+        keys = snapshot(keys.select(*on).distinct(), "requeued")
+        failed = t.read(name, keys).where(F.col(state) == "FAILED").join(keys, on, "left_semi")
+        staged = t.stage(run, name, failed.withColumn(state, F.lit("PENDING")), KEYED[name])
+
+        def reset(rows: DataFrame) -> DataFrame:
+            sets = {state: F.lit("PENDING"), "error_message": F.lit(None), "updated_ts": self.now()}
+            return update_matching(rows, keys, on, sets, guard=F.col(state) == "FAILED")
+
+        t.change(name, keys, reset)
+        t.emit(name, staged, run)
 
     @one_at_a_time
     def release_batch(self, client_id: int, batch_id: int, model_version: str | None = None) -> None:
@@ -445,4 +516,4 @@ class Pipeline:
         t = self.tables
         keys = t.spark.createDataFrame([(client_id, batch_id)], "client_id bigint, batch_id bigint")
         self._enrich_gender(enrichment.GENDER_CODE, keys, model_version)
-        t.drop_batches("person_input", [(client_id, batch_id)])
+        self.chain.drop(keys)

@@ -1,4 +1,10 @@
-"""The derived tables as a chain: what each is made from, and how to bring it up to date."""
+"""The derived tables as a chain: what each is made from, and how to bring it up to date.
+
+Stored derived tables know what they were made from: for each batch the write that
+held its source rows and the versions of the lookups. What differs from that is
+made anew, batch by batch; a batch whose source is gone goes from all tables down
+the chain. No row is read to find out.
+"""
 
 from __future__ import annotations
 
@@ -6,10 +12,15 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from namelens import schemas
+from namelens.operators import snapshot
 from namelens.plans import lookups
-from namelens.plans.baseline import age_baseline, gender_baseline, person_clean
+from namelens.plans.baseline import BATCH_KEYS, age_baseline, gender_baseline, person_clean
 from namelens.plans.enrichment import of_batches
+from namelens.sources.parts import MADE_FROM, WRITE
+from namelens.sources.tables import PER_BATCH, Tables
 
 
 @dataclass(frozen=True)
@@ -18,6 +29,8 @@ class View:
 
     needs: tuple[str, ...]
     make: Callable[..., DataFrame]
+    # Whether it is a join with a stored lookup.
+    joins: bool = False
 
 
 VIEWS: dict[str, View] = {
@@ -32,9 +45,9 @@ VIEWS: dict[str, View] = {
         ("name_count_stage",), lambda s: lookups.age_lookup(s, lookups.SPECIFIC_AGES)
     ),
     "person_clean": View(("person_input",), person_clean),
-    "gender_baseline": View(("person_clean", "gender_lookup"), gender_baseline),
-    "age_baseline_expanded": View(("person_clean", "age_lookup_specific"), age_baseline),
-    "age_baseline_collapsed": View(("person_clean", "age_lookup_generic"), age_baseline),
+    "gender_baseline": View(("person_clean", "gender_lookup"), gender_baseline, joins=True),
+    "age_baseline_expanded": View(("person_clean", "age_lookup_specific"), age_baseline, joins=True),
+    "age_baseline_collapsed": View(("person_clean", "age_lookup_generic"), age_baseline, joins=True),
 }
 
 
@@ -55,3 +68,69 @@ def refresh(
         return rows
     view = VIEWS[name]
     return view.make(*[refresh(need, sources, batches) for need in view.needs])
+
+
+class Chain:
+    """The derived tables as they are stored."""
+
+    def __init__(self, tables: Tables):
+        self.tables = tables
+
+    def refresh(self, name: str, batches: DataFrame | None = None) -> None:
+        """Bring a stored derived table up to date, and those it needs before it.
+
+        With ``batches`` only those batches are looked at. What is up to date is
+        not written again.
+        """
+        for need in VIEWS[name].needs:
+            if need in VIEWS:
+                self.refresh(need, batches)
+        if name in PER_BATCH:
+            self._refresh_batches(name, batches)
+        else:
+            self._refresh_whole(name)
+
+    def _versions(self, names: tuple[str, ...]) -> str:
+        return "/".join(f"{n}-{self.tables.version(n)}" for n in names)
+
+    def _refresh_whole(self, name: str) -> None:
+        t, view = self.tables, VIEWS[name]
+        state = self._versions(view.needs)
+        noted = t.read("derived_from")
+        if t.has(name):
+            # Loaded by other means, or made from the same versions.
+            if not all(t.has(n) for n in view.needs) or not noted.where((F.col("name") == name) & (F.col("made_from") == state)).isEmpty():
+                return
+        t.replace(name, view.make(*[t.read(n) for n in view.needs]))
+        new = t.spark.createDataFrame([(name, state)], schemas.DERIVED_FROM)
+        t.replace("derived_from", noted.where(F.col("name") != name).unionByName(new))
+
+    def _differences(self, name: str, batches: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+        """The batches to be made anew, with what they will be made from, and those to be dropped."""
+        source, *others = VIEWS[name].needs
+        state = F.concat(F.col(WRITE), F.lit("/" + self._versions(tuple(others))))
+        wanted = self.tables.people(source).pointer().select(*BATCH_KEYS, state.alias(MADE_FROM))
+        have = self.tables.people(name).pointer().select(*BATCH_KEYS, MADE_FROM)
+        if batches is not None:
+            keys = batches.select(*BATCH_KEYS).distinct()
+            wanted, have = (df.join(keys, BATCH_KEYS, "left_semi") for df in (wanted, have))
+        stale = wanted.join(have, [*BATCH_KEYS, MADE_FROM], "left_anti")
+        return stale, have.join(wanted, BATCH_KEYS, "left_anti")
+
+    def _refresh_batches(self, name: str, batches: DataFrame | None) -> None:
+        t, view = self.tables, VIEWS[name]
+        source, *others = view.needs
+        stale, gone = (snapshot(df, "refresh") for df in self._differences(name, batches))
+        if not stale.isEmpty():
+            inputs = [t.read_people(source, stale), *[t.read(n) for n in others]]
+            rows = view.make(*inputs, stored=True) if view.joins else view.make(*inputs)
+            t.people(name).replace(rows, made_from=stale)
+        if not gone.isEmpty():
+            t.drop_batches(name, gone)
+
+    def drop(self, batches: DataFrame) -> None:
+        """Take batches out of the people and of every table made from them."""
+        self.tables.drop_batches("person_input", batches)
+        for name in VIEWS:
+            if name in PER_BATCH:
+                self.tables.drop_batches(name, batches)

@@ -10,13 +10,44 @@ LANDING = (
     CLIENT_FILE + ", storage_file_name string, file_record_row_number bigint, load_ts timestamp_ntz"
 )
 
+# Which landed files make up a batch.
+LANDED_FILE = "app_organization_id string, app_batch_id string, storage_file_name string"
+
 PERSON_INPUT = (
     "client_id bigint, batch_id bigint, record_id string, first_name string, last_name string, "
     "zip string, load_ts timestamp_ntz"
 )
 
+PERSON_CLEAN = (
+    "client_id bigint, batch_id bigint, record_id string, first_name_raw string, "
+    "last_name_raw string, zip_raw string, first_name_clean string, last_name_clean string, "
+    "zip5 string, first_name_missing_flag int, last_name_missing_flag int, zip_unusable_flag int, "
+    "first_name_length int, last_name_length int, load_ts timestamp_ntz"
+)
+_BASELINE = (
+    "client_id bigint, batch_id bigint, record_id string, first_name_raw string, "
+    "last_name_raw string, zip_raw string, first_name_clean string, last_name_clean string, "
+    "zip5 string, first_name_missing_flag int, zip_unusable_flag int, first_name_length int, "
+    "load_ts timestamp_ntz, "
+)
+GENDER_BASELINE = _BASELINE + (
+    "ssa_lookup_match_flag int, ssa_male_qty bigint, ssa_female_qty bigint, ssa_total_qty bigint, "
+    "ssa_male_probability decimal(10,6), ssa_female_probability decimal(10,6), "
+    "ssa_max_probability decimal(10,6), ssa_probability_gap decimal(10,6), "
+    "ssa_predicted_gender string, ssa_confidence_level string, ssa_is_rare_name int, "
+    "ssa_reportable_gender string"
+)
+AGE_BASELINE = _BASELINE + (
+    "ssa_age_lookup_match_flag int, ssa_age_total_qty bigint, "
+    "ssa_age_max_probability decimal(10,6), ssa_predicted_age_bucket string, "
+    "ssa_age_confidence_level string, ssa_age_is_rare_name int"
+)
+
 NAME_COUNTS = "first_name string, gender string, quantity decimal(32,0), year int"
 
+# What a derived table that is stored as a whole was made from.
+DERIVED_FROM = "name string, made_from string"
+
 CLIENT = (
     "id bigint, abbreviation string, name string, notes string, created_ts timestamp_ntz, "
     "model_improvement_program_participant boolean, app_organization_id string"
