@@ -9,12 +9,28 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from namelens.schemas import VOTER_FIELDS
+
 # Names are made once per part, before the joins.
 NAMED = (
     "(select p_partkey, p_name || ' ' || translate(cast(p_partkey as {S}),'0123456789','abcdefghij') as name"
     " from part) p"
 )
 
+# The fields of a voter file, by position, from an order; the others hold their name.
+_DAY = "substring(cast(o_orderdate as {S}), 1, 10)"
+_OWN_VALUES = {
+    "state_voter_id": "case when o_orderkey % 11 = 0 then 'n/a' else cast(o_orderkey as {S}) end",
+    "first_name": "'Ren\u00e9-' || cast(o_custkey as {S})",
+    "birth_year": "case when o_orderkey % 13 = 0 then 'unknown' else cast(1930 + o_custkey % 70 as {S}) end",
+    "gender": "case when o_custkey % 2 = 0 then 'F' else 'm' end",
+    "middle_name": "case when o_custkey % 3 = 0 then cast(null as {S}) else 'M.' end",
+    "registration_zip_code": "cast(10000 + o_custkey % 80000 as {S})",
+    "registration_date": f"case when o_orderkey % 17 = 0 then '31.12.1999' else {_DAY} end",
+    "last_voted_date": f"substring({_DAY}, 6, 2) || '/' || substring({_DAY}, 9, 2) || '/' || substring({_DAY}, 1, 4)",
+}
+VOTER_VALUES = {name: _OWN_VALUES.get(name, f"'{name}'") for name in VOTER_FIELDS}
+
 TEXTS = {
     "ssa_raw": f"""
 select p.name as first_name,
@@ -200,6 +216,19 @@ select case when o_orderstatus = 'P' then 'n/a' else cast(o_orderkey as {S}) end
    when 'F' then substring(cast(o_orderdate as {S}), 6, 2) || '/' || substring(cast(o_orderdate as {S}), 9, 2) || '/' || substring(cast(o_orderdate as {S}), 1, 4)
    else '31.12.1999' end as registration_date
 from orders
+""",
+    # A whole voter file as text: every field, some unusable; the kind says how many fields its line has.
+    "voter_file": "select " + ", ".join(f"{value} as {name}" for name, value in VOTER_VALUES.items()) + """,
+ case o_orderkey % 50 when 0 then 'short' when 1 then 'long' else 'whole' end as kind
+from orders""",
+    # Configurations with fields nobody knows, explicit nulls, and some that are no JSON.
+    "dirty_config": """
+select 'org-' || cast(c_custkey % 50 as {S}) as app_organization_id, 'b-' || cast(c_custkey as {S}) as app_batch_id,
+ case c_custkey % 6 when 0 then '{bad' when 1 then '[1,2]' when 2 then cast(null as {S})
+  when 3 then '{"attributes":[{"code":"GNDRPR","new":{"a":[1]}},{"code":null},{"label":"x"}],"output_fields":null,"version":7}'
+  when 4 then '{"output_fields":[{"field_name":"ZIP","sort_order":2},{"field_name":"RECORD_ID","sort_order":null,"note":"n"},{"field_name":null,"sort_order":1},{"field_name":"LAST_NAME","sort_order":1},{"field_name":"FIRST_NAME"}],"attributes":"none"}'
+  else '{"attributes":[{"code":"AGCLPS","label":"b"},{"code":"AGEXPD","label":"a"}],"output_fields":[{"field_name":"ZIP","sort_order":"x"},3,null]}' end as config_json
+from customer
 """,
     # Earlier results: one per customer with an urgent pending order, plus records no longer sent.
     "old_records": """

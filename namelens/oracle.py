@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from namelens.bindings import duckdb_text
 from namelens.registry import RUN_TIME, SAMPLE_SIZE, VERSION
+from namelens.schemas import VOTER_FIELDS
 
 RUN_TS = f"'{RUN_TIME}'"
 
@@ -473,6 +474,64 @@ ORACLES: dict[str, str] = {
 }
 
 
+OPEN = "(select * from client_batch where delivery_complete_ts is null)"
+COUNTED = "(select client_id, batch_id, count(*) n from person_input group by all)"
+
+
+def voter_value(field: str, kind: str) -> str:
+    if kind.startswith("decimal"):
+        return f"cast(try_cast({field} as bigint) as double) {field}"
+    if kind == "int":
+        return f"try_cast({field} as bigint) {field}"
+    if kind == "date":
+        days = f"coalesce(cast(try_strptime({field},'%Y-%m-%d') as date), cast(try_strptime({field},'%m/%d/%Y') as date))"
+        return f"cast({days} as varchar) {field}"
+    return field
+
+
+def voter_file_load() -> str:
+    names = list(VOTER_FIELDS)
+    casts = ", ".join(voter_value(n, k) for n, k in VOTER_FIELDS.items())
+    line = lambda own: " || '|' || ".join(f"coalesce({n},'')" for n in own)
+    rejected = f"case kind when 'short' then {line(names[:31])} else {line(names)} || '|x|y' end"
+    nothing = ", ".join(f"null {n}" for n in names)
+    return f"""select {casts}, cast(null as varchar) rejected from voter_file where kind = 'whole'
+ union all select {nothing}, {rejected} rejected from voter_file where kind <> 'whole'"""
+
+
+ORACLES |= {
+    "refresh_chain": f"""select p.client_id, p.batch_id, p.record_id, {name('p.first_name')} first_name_clean,
+ cast(g.first_name is not null as bigint) ssa_lookup_match_flag, g.predicted_gender ssa_predicted_gender,
+ g.max_probability ssa_max_probability, a.predicted_age_bucket ssa_predicted_age_bucket, p.batch_id % 5 = 1 rewritten, true settled
+ from (select * replace (case when batch_id % 5 = 1 then reverse(first_name) else first_name end as first_name)
+  from person_input where batch_id % 5 <> 0) p
+ left join genders g on g.first_name = {name('p.first_name')} left join ages_generic a on a.first_name = {name('p.first_name')}""",
+    "repeated_completion": f"""select b.client_id, b.id batch_id, 'COMPLETED' processing_status, cast(null as varchar) error_message,
+ coalesce(n,0) processed_record_count, cast(1 as bigint) messages, cast(0 as bigint) people_left, 'FAILED' failed_status,
+ coalesce(n,0) people_after_failure from {OPEN} b left join {COUNTED} c on c.client_id=b.client_id and c.batch_id=b.id""",
+    "requeued_batch": f"""select b.client_id, b.id batch_id, case when id % 2 = 0 then 'COMPLETED' else 'FAILED' end processing_status,
+ case when id % 2 = 1 then 'lost' end error_message, case when id % 2 = 0 then coalesce(n,0) end processed_record_count,
+ cast(1 - id % 2 as bigint) messages, case when id % 2 = 1 then coalesce(n,0) else 0 end people_left
+ from {OPEN} b left join {COUNTED} c on c.client_id=b.client_id and c.batch_id=b.id""",
+    "three_enrichments": f"""select b.client_id, b.id batch_id, t.code enrichment_type_code, 'COMPLETED' enrichment_status,
+ cast(null as varchar) error_message, case t.code when 'AGEXPD' then 'FAILED' else 'COMPLETED' end first_status,
+ case t.code when 'AGEXPD' then 'lost' end first_error, n results, cast(1 as bigint) times_queued
+ from {OPEN} b join {COUNTED} c on c.client_id=b.client_id and c.batch_id=b.id join attribute t on true""",
+    "purge_landing_job": """select case when cast(record_id as bigint) % 2 = 0 then storage_file_name else storage_file_name || '.more.csv' end storage_file_name,
+ count(*) records, cast(sum(cast(record_id as bigint)) as bigint) ids from landing
+ where storage_file_name not like '%client_org-%' or cast(regexp_extract(storage_file_name,'client_org-([0-9]+)',1) as int) % 2 = 1 group by 1""",
+    "metrics_upsert_stored": ORACLES["metrics_upsert"]
+    .replace("from older_metrics t", ", true few_parts from older_metrics t")
+    .replace("join metrics s", "join (select * from metrics where client_id = 1) s"),
+    "voter_file_load": voter_file_load(),
+    "config_variant": """select app_organization_id, app_batch_id,
+ case cast(substr(app_batch_id,3) as bigint) % 6 when 3 then 'GNDRPR' when 5 then 'AGCLPS,AGEXPD' end codes,
+ case cast(substr(app_batch_id,3) as bigint) % 6 when 4 then 'FIRST_NAME,RECORD_ID,LAST_NAME,ZIP' when 5 then 'ZIP' end fields from dirty_config""",
+    "filled_record_ids": """select storage_file_name, record_id as row,
+ case when cast(record_id as bigint) % 7 = 0 then sha256(storage_file_name || '|' || record_id) else record_id end record_id from landing""",
+}
+
+
 def _mentions(text: str, step: str) -> bool:
     padded = text.replace("\n", " ").replace("(", " ").replace(")", " ").replace(",", " ")
     return any(f" {word} {step} " in f" {padded} " for word in ("from", "join"))

@@ -89,6 +89,31 @@ def parsed_config(configs: DataFrame) -> DataFrame:
     return configs.select(*APPROVAL_KEYS, F.from_json("config_json", CONFIG_JSON).alias("config"))
 
 
+def variant_config(configs: DataFrame) -> DataFrame:
+    """Configurations as variants: any fields are kept, bad JSON is null."""
+    return configs.select(*APPROVAL_KEYS, F.try_parse_json("config_json").alias("config"))
+
+
+def config_parts(configs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The ordered enrichments (code, label) and export fields (field_name, sort_order) of variants.
+
+    An explicit JSON null counts as absent: a code or field name that is null
+    orders nothing, a null sort order places a field first. What is not an array,
+    or not of the right type, is left out.
+    """
+
+    def each(path: str) -> DataFrame:
+        items = F.try_variant_get("config", path, "array<variant>")
+        return configs.select(*APPROVAL_KEYS, F.explode(items).alias("item"))
+
+    def field(name: str, kind: str) -> Column:
+        return F.try_variant_get("item", f"$.{name}", kind).alias(name)
+
+    attributes = each("$.attributes").select(*APPROVAL_KEYS, field("code", "string"), field("label", "string"))
+    fields = each("$.output_fields").select(*APPROVAL_KEYS, field("field_name", "string"), field("sort_order", "int"))
+    return attributes.where(F.col("code").isNotNull()), fields.where(F.col("field_name").isNotNull())
+
+
 def enrichment_requests(
     decisions: DataFrame,
     clients: DataFrame,

@@ -240,7 +240,7 @@ class Pipeline:
             raise EnrichmentError("; ".join(f"{code}: {error}" for code, error in errors.items())) from next(iter(errors.values()))
 
     def _run_types(self, jobs: dict, statuses: DataFrame) -> tuple[dict, dict[str, Exception]]:
-        """Run enrichment types side by side, each in a scheduler pool of its own name.
+        """Run enrichment types side by side, each in a scheduler pool of its own name; they write different tables.
 
         Returns the payloads and batches of those that ended well, and the errors
         of the others.
@@ -259,13 +259,6 @@ class Pipeline:
             raise AssertionError
 
         done, errors = {}, {}
-        # The types share the clean people; each writes tables of its own after that.
-        try:
-            if jobs:
-                open_ = [self._open_batches(statuses, code) for code in jobs]
-                self.chain.refresh("person_clean", functools.reduce(DataFrame.union, open_))
-        except Exception as error:
-            return {}, dict.fromkeys(jobs, error)
         with ThreadPoolExecutor(max_workers=len(AGE_TABLES) + 1) as pool:
             running = {
                 code: pool.submit(contextvars.copy_context().run, inheritable_thread_target(self.tables.spark)(tried), code, job)

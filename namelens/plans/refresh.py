@@ -13,13 +13,13 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from namelens import schemas
-from namelens.operators import snapshot
 from namelens.plans import lookups
 from namelens.plans.baseline import BATCH_KEYS, age_baseline, gender_baseline, person_clean
 from namelens.plans.enrichment import of_batches
-from namelens.sources.parts import MADE_FROM, WRITE
+from namelens.sources.parts import MADE_FROM, WRITE, local_rows
 from namelens.sources.tables import PER_BATCH, Tables
 
 
@@ -31,6 +31,8 @@ class View:
     make: Callable[..., DataFrame]
     # Whether it is a join with a stored lookup.
     joins: bool = False
+    # A projection that is cheaper to make than to store; what needs it is made from its source.
+    passed_on: bool = False
 
 
 VIEWS: dict[str, View] = {
@@ -44,7 +46,7 @@ VIEWS: dict[str, View] = {
     "age_lookup_specific": View(
         ("name_count_stage",), lambda s: lookups.age_lookup(s, lookups.SPECIFIC_AGES)
     ),
-    "person_clean": View(("person_input",), person_clean),
+    "person_clean": View(("person_input",), person_clean, passed_on=True),
     "gender_baseline": View(("person_clean", "gender_lookup"), gender_baseline, joins=True),
     "age_baseline_expanded": View(("person_clean", "age_lookup_specific"), age_baseline, joins=True),
     "age_baseline_collapsed": View(("person_clean", "age_lookup_generic"), age_baseline, joins=True),
@@ -83,13 +85,26 @@ class Chain:
         not written again.
         """
         for need in VIEWS[name].needs:
-            if need in VIEWS:
+            if need in VIEWS and not VIEWS[need].passed_on:
                 self.refresh(need, batches)
         if name in PER_BATCH:
             self._refresh_batches(name, batches)
         else:
             self._refresh_whole(name)
 
+    def _source(self, name: str) -> str:
+        """The stored table that the people of a derived one come from."""
+        source = VIEWS[name].needs[0]
+        return self._source(source) if source in VIEWS and VIEWS[source].passed_on else source
+
+    def _made(self, name: str, people: DataFrame) -> DataFrame:
+        """The rows of a derived table for the people of its source."""
+        source, *others = VIEWS[name].needs
+        if source in VIEWS and VIEWS[source].passed_on:
+            people = self._made(source, people)
+        inputs = [people, *[self.tables.read(n) for n in others]]
+        return VIEWS[name].make(*inputs, stored=True) if VIEWS[name].joins else VIEWS[name].make(*inputs)
+
     def _versions(self, names: tuple[str, ...]) -> str:
         return "/".join(f"{n}-{self.tables.version(n)}" for n in names)
 
@@ -105,28 +120,25 @@ class Chain:
         new = t.spark.createDataFrame([(name, state)], schemas.DERIVED_FROM)
         t.replace("derived_from", noted.where(F.col("name") != name).unionByName(new))
 
-    def _differences(self, name: str, batches: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-        """The batches to be made anew, with what they will be made from, and those to be dropped."""
-        source, *others = VIEWS[name].needs
-        state = F.concat(F.col(WRITE), F.lit("/" + self._versions(tuple(others))))
-        wanted = self.tables.people(source).pointer().select(*BATCH_KEYS, state.alias(MADE_FROM))
-        have = self.tables.people(name).pointer().select(*BATCH_KEYS, MADE_FROM)
+    def _refresh_batches(self, name: str, batches: DataFrame | None) -> None:
+        t = self.tables
+        source, stored = t.people(self._source(name)), t.people(name)
+        state = F.concat(F.col(WRITE), F.lit("/" + self._versions(VIEWS[name].needs[1:])))
+        wanted = source.pointer().select(*BATCH_KEYS, state.alias("_wanted"))
+        have = stored.pointer().select(*BATCH_KEYS, MADE_FROM)
         if batches is not None:
             keys = batches.select(*BATCH_KEYS).distinct()
-            wanted, have = (df.join(keys, BATCH_KEYS, "left_semi") for df in (wanted, have))
-        stale = wanted.join(have, [*BATCH_KEYS, MADE_FROM], "left_anti")
-        return stale, have.join(wanted, BATCH_KEYS, "left_anti")
-
-    def _refresh_batches(self, name: str, batches: DataFrame | None) -> None:
-        t, view = self.tables, VIEWS[name]
-        source, *others = view.needs
-        stale, gone = (snapshot(df, "refresh") for df in self._differences(name, batches))
-        if not stale.isEmpty():
-            inputs = [t.read_people(source, stale), *[t.read(n) for n in others]]
-            rows = view.make(*inputs, stored=True) if view.joins else view.make(*inputs)
-            t.people(name).replace(rows, made_from=stale)
-        if not gone.isEmpty():
-            t.drop_batches(name, gone)
+            wanted, have = (df.join(F.broadcast(keys), BATCH_KEYS, "left_semi") for df in (wanted, have))
+        differs = ~F.col("_wanted").eqNullSafe(F.col(MADE_FROM))
+        # One row a batch that is to be read or dropped.
+        changed = wanted.join(have, BATCH_KEYS, "full_outer").where(differs).select(*BATCH_KEYS, "_wanted").collect()
+        schema = T.StructType([*stored.keys.fields, T.StructField(MADE_FROM, T.StringType())])
+        stale = local_rows(t.spark, [tuple(r) for r in changed if r["_wanted"] is not None], schema)
+        gone = local_rows(t.spark, [tuple(r)[:2] for r in changed if r["_wanted"] is None], stored.keys)
+        if any(r["_wanted"] is not None for r in changed):
+            stored.replace(self._made(name, source.read(stale)), made_from=stale)
+        if any(r["_wanted"] is None for r in changed):
+            stored.drop(gone)
 
     def drop(self, batches: DataFrame) -> None:
         """Take batches out of the people and of every table made from them."""

@@ -749,3 +749,7 @@ def name_history(i: Inputs) -> DataFrame:
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """People cleaned, joined to the gender lookup and counted per confidence level."""
     return comparable(baseline.confidence_distribution(Inputs(spark, sf_dir).people))
+
+
+# Registers its queries here; it needs what is defined above.
+from namelens import job_queries  # noqa: E402, F401

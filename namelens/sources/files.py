@@ -121,23 +121,44 @@ def safe_cast(rows: DataFrame, types: dict[str, str], formats=DATE_FORMATS) -> D
     )
 
 
-def read_voter_file(spark: SparkSession, path: str, loaded_ts: Column | None = None) -> DataFrame:
-    """A voter roll: ``|`` separated, Latin-1, read by position, bad values null."""
-    texts = ", ".join(f"{name} string" for name in schemas.VOTER_FIELDS)
+MALFORMED = "_malformed"
+
+
+def load_voter_file(
+    spark: SparkSession, path: str, loaded_ts: Column | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """A voter roll (``|`` separated, Latin-1, read by position) and the lines that are none.
+
+    The roll has the 33 fields in their types, bad values null. Lines with more or
+    fewer fields are not loaded; they come as (storage_file_name, line).
+    """
+    texts = ", ".join(f"{name} string" for name in [*schemas.VOTER_FIELDS, MALFORMED])
     rows = (
         spark.read.schema(schemas.struct(texts))
         .option("sep", "|")
         .option("encoding", "ISO-8859-1")
         .option("header", True)
         .option("enforceSchema", True)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", MALFORMED)
         .csv(path)
     )
     stamp = F.current_timestamp() if loaded_ts is None else loaded_ts
-    return safe_cast(rows, schemas.VOTER_FIELDS).withColumn(
-        "loaded_ts", stamp.cast("timestamp_ntz")
+    loaded = safe_cast(rows.where(F.col(MALFORMED).isNull()), schemas.VOTER_FIELDS)
+    # The reader tells malformed lines only where it reads all fields: this asks for them, and is always true.
+    whole = F.length(F.concat_ws("|", *schemas.VOTER_FIELDS)) >= 0
+    rejected = rows.where(F.col(MALFORMED).isNotNull() & whole)
+    return (
+        loaded.withColumn("loaded_ts", stamp.cast("timestamp_ntz")),
+        rejected.select(F.col("_metadata.file_path").alias("storage_file_name"), F.col(MALFORMED).alias("line")),
     )
 
 
+def read_voter_file(spark: SparkSession, path: str, loaded_ts: Column | None = None) -> DataFrame:
+    """A voter roll without its malformed lines."""
+    return load_voter_file(spark, path, loaded_ts)[0]
+
+
 def read_name_counts(spark: SparkSession, path: str) -> DataFrame:
     """Birth counts per name, gender and year."""
     return (
