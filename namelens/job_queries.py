@@ -6,13 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from namelens import schemas
-from namelens.operators import scratch_path, snapshot
+from namelens.operators import keyed_join, scratch_path, snapshot
 from namelens.plans import approval, baseline, enrichment, ingest, metrics
 from namelens.plans.baseline import BATCH_KEYS
 from namelens.plans.pipeline import EnrichmentError, Pipeline
 from namelens.plans.refresh import Chain
-from namelens.registry import VERSION, Inputs, _as, query, run_ts
-from namelens.sources.files import fill_record_ids, load_voter_file
+from namelens.registry import VERSION, Inputs, _as, _download, query, run_ts
+from namelens.sources.export import export_lists
+from namelens.sources.files import fill_record_ids, list_files, load_voter_file, read_batch_file, read_name_counts
 from namelens.sources.parts import WRITE
 from namelens.sources.tables import Tables
 
@@ -258,3 +259,51 @@ def filled_record_ids(i: Inputs) -> DataFrame:
         }
     )
     return fill_record_ids(rows, "storage_file_name", "row").select("storage_file_name", "row", "record_id")
+
+
+@query
+def export_column_lists(i: Inputs) -> DataFrame:
+    """All batches written in one job, in three different column lists, and read back as lines."""
+    lists = (["RECORD_ID", "PREDICTED_GENDER"], ["ZIP", "LAST_NAME", "RECORD_ID"], ["MALE_PROBABILITY", "FIRST_NAME", "RECORD_ID"])
+    kind = F.col("batch_id") % 3
+    wanted = F.when(kind == 0, F.lit(lists[0])).when(kind == 1, F.lit(lists[1])).otherwise(F.lit(lists[2]))
+    keys = ingest.batch_keys(i.client, i.client_batch).withColumn("columns", wanted)
+    rows = keyed_join(_download(i), keys, BATCH_KEYS, "inner")
+    path = scratch_path(i.spark, "lists")
+    export_lists(rows, path)
+    schema = "value string, app_organization_id string, app_batch_id string"
+    return i.spark.read.schema(schema).text(path).withColumnRenamed("value", "line")
+
+
+@query
+def ad_hoc_batch_load(i: Inputs) -> DataFrame:
+    """The people of one client written as CSV and loaded by hand under given ids; rows without an id get one."""
+    root = scratch_path(i.spark, "ad-hoc")
+    people = i.person_input.where("client_id = 3").withColumn(
+        "record_id", F.when(F.col("record_id").cast("string").rlike("[13579]$"), F.col("record_id"))
+    )
+    people.select("record_id", "first_name", "last_name", "zip").write.option("header", True).csv(f"{root}/keep")
+    loaded = read_batch_file(i.spark, f"{root}/keep", 7, 70, run_ts(), glob="*.csv")
+    known = F.length("record_id") < 64
+    return loaded.groupBy("client_id", "batch_id", "load_ts").agg(
+        F.count(F.lit(1)).alias("records"),
+        F.count_if(known).alias("with_own_id"),
+        F.count_distinct(F.when(~known, F.col("record_id"))).alias("made_ids"),
+        F.count_if(F.col("record_id").isNull()).alias("without_id"),
+        F.sum(F.length("last_name")).alias("letters"),
+    )
+
+
+@query
+def name_count_files(i: Inputs) -> DataFrame:
+    """Birth counts written as CSV, found by a pattern of their names and loaded; summed per gender and year."""
+    root = scratch_path(i.spark, "births")
+    counts = i.ssa_raw.select("first_name", "gender", "quantity", "year")
+    counts.write.option("header", True).option("ignoreLeadingWhiteSpace", False).csv(f"{root}/births")
+    counts.limit(1).write.csv(f"{root}/other")
+    # A short list of paths.
+    found = [r["path"] for r in list_files(i.spark, root, r"/births/part-[^/]*\.csv$").select("path").collect()]
+    loaded = read_name_counts(i.spark, found)
+    return loaded.groupBy("gender", "year").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("quantity").cast("bigint").alias("quantity"), F.sum(F.length("first_name")).alias("letters")
+    )

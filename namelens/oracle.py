@@ -527,6 +527,17 @@ ORACLES |= {
     "config_variant": """select app_organization_id, app_batch_id,
  case cast(substr(app_batch_id,3) as bigint) % 6 when 3 then 'GNDRPR' when 5 then 'AGCLPS,AGEXPD' end codes,
  case cast(substr(app_batch_id,3) as bigint) % 6 when 4 then 'FIRST_NAME,RECORD_ID,LAST_NAME,ZIP' when 5 then 'ZIP' end fields from dirty_config""",
+    "export_column_lists": """with d as (select *, batch_id % 3 kind from downloads join batch_keys using (client_id, batch_id))
+ select app_organization_id, app_batch_id, case kind when 0 then record_id || ',' || coalesce(predicted_gender,'')
+  when 1 then coalesce(zip,'') || ',' || last_name || ',' || record_id
+  else coalesce(cast(cast(male_probability as decimal(10,6)) as varchar),'') || ',' || case trim(first_name) when '' then '""' else coalesce(trim(first_name),'') end || ',' || record_id end as line from d
+ union all select distinct app_organization_id, app_batch_id, case kind when 0 then 'RECORD_ID,PREDICTED_GENDER'
+  when 1 then 'ZIP,LAST_NAME,RECORD_ID' else 'MALE_PROBABILITY,FIRST_NAME,RECORD_ID' end from d""",
+    "ad_hoc_batch_load": f"""select cast(7 as bigint) client_id, cast(70 as bigint) batch_id, {RUN_TS} load_ts, count(*) records,
+ count(case when regexp_matches(record_id,'[13579]$') then 1 end) with_own_id, count(case when not regexp_matches(record_id,'[13579]$') then 1 end) made_ids,
+ cast(0 as bigint) without_id, cast(sum(length(last_name)) as bigint) letters from person_input where client_id = 3""",
+    "name_count_files": """select gender, cast(year as bigint) as year, count(*) as rows, cast(sum(quantity) as bigint) quantity,
+ cast(sum(length(first_name)) as bigint) letters from ssa_raw group by all""",
     "filled_record_ids": """select storage_file_name, record_id as row,
  case when cast(record_id as bigint) % 7 = 0 then sha256(storage_file_name || '|' || record_id) else record_id end record_id from landing""",
 }

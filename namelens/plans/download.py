@@ -79,7 +79,7 @@ def ordered_columns(configs: DataFrame, organization: str, batch: str) -> list[s
 
 
 def download_rows(raw: DataFrame, results: DataFrame) -> DataFrame:
-    """Every raw person with the exported result fields, if enriched."""
+    """Every raw person with the exported result fields, if enriched; app-side keys and column lists are kept."""
     scored = results.select(
         *RECORD_KEYS,
         "male_probability",
@@ -87,7 +87,7 @@ def download_rows(raw: DataFrame, results: DataFrame) -> DataFrame:
         F.col("confidence_level").alias("gender_confidence_level"),
         F.col("reportable_gender").alias("predicted_gender"),
     )
-    kept = [c for c in APPROVAL_KEYS if c in raw.columns]
+    kept = [c for c in [*APPROVAL_KEYS, "columns"] if c in raw.columns]
     return raw.join(scored, RECORD_KEYS, "left").select(
         *kept,
         *RECORD_KEYS,

@@ -41,7 +41,7 @@ from namelens.plans import (
 )
 from namelens.plans.baseline import BATCH_KEYS, RECORD_KEYS
 from namelens.plans.refresh import Chain
-from namelens.sources.export import export_batch, export_batches
+from namelens.sources.export import export_batch, export_lists
 from namelens.sources.tables import KEYED, Tables, file_key
 
 # Takes messages, sends them, returns their outcomes.
@@ -431,26 +431,21 @@ class Pipeline:
 
     @one_at_a_time
     def prepare_downloads(self, queued: DataFrame, run: str, out: str) -> None:
-        """Export every pending batch, all batches with the same columns in one job."""
+        """Export every pending batch, each in its own columns, all in one job."""
         t = self.tables
         clients, batches = t.read("client"), t.read("client_batch")
         keys = download.export_lists(
             download.pending_keys(queued, clients, batches), t.read("output_configuration")
         )
         keys = snapshot(keys, "downloads")
-        # One row per ordered set of columns in use, not per batch.
-        lists = [r["columns"] for r in keys.select("columns").distinct().collect()]
-        for number, columns in enumerate(lists):
-            mine = keys.where(F.col("columns") == F.array(*[F.lit(c) for c in columns]))
-            mine = mine.drop("columns")
-            people = keyed_join(t.read_people("person_input", mine), mine, BATCH_KEYS, "inner")
-            rows = download.download_rows(people, t.read_people("gender_results", mine))
-            folder = f"downloads/{run}/{number}"
-            export_batches(rows, f"{out.rstrip('/')}/{folder}", columns)
-            place = download.folder_key(
-                folder, F.col("app_organization_id"), F.col("app_batch_id")
-            )
-            self._announce(download.ready_entries(mine, place), f"{run}-{number}")
+        if keys.isEmpty():
+            return
+        people = keyed_join(t.read_people("person_input", keys), keys, BATCH_KEYS, "inner", stored=True)
+        rows = download.download_rows(people, t.read_people("gender_results", keys))
+        folder = f"downloads/{run}"
+        export_lists(rows, f"{out.rstrip('/')}/{folder}")
+        place = download.folder_key(folder, F.col("app_organization_id"), F.col("app_batch_id"))
+        self._announce(download.ready_entries(keys.drop("columns"), place), run)
 
     def _announce(self, entries: DataFrame, run: str) -> None:
         """Note where results lie and queue the announcements; a repeated one is sent again."""

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from namelens.operators import measured_bytes, snapshot
 from namelens.plans.download import EXPORT_COLUMNS, export_projection
@@ -76,6 +77,57 @@ def export_batches(
     _csv(keyed.hint("rebalance", *APPROVAL_KEYS)).partitionBy(*APPROVAL_KEYS).csv(path)
 
 
+# Rows of a result file; a larger batch gets several, each with a header.
+ROWS_PER_FILE = 1_000_000
+
+
+def _csv_value(value: Column) -> Column:
+    """A value as the CSV writer writes it: quoted where it must be, null as nothing."""
+    text = F.btrim(value.cast("string"), F.lit(" \t\r\n"))
+    quoted = F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"'))
+    special = text.rlike('[",\r\n]') | (text == "")
+    return F.when(value.isNull(), F.lit("")).when(special, quoted).otherwise(text)
+
+
+def export_lists(rows: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> None:
+    """Write all batches, each row in the ``columns`` that its batch has ordered, in one job.
+
+    A row becomes one line of text, so any number of column lists makes one plan
+    and one write: gzipped CSV, one folder per organization and batch. Files of one
+    batch go to different tasks, so every file gets one header and no more.
+    """
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    names = F.create_map(*[x for c in EXPORT_COLUMNS for x in (F.lit(c), _csv_value(F.col(c.lower())))])
+    line = F.array_join(F.transform("columns", lambda c: F.element_at(names, c)), ",")
+    lines = rows.select(*APPROVAL_KEYS, "columns", line.alias("value"), F.xxhash64("record_id").alias("_hash"))
+    # One row a batch.
+    sizes = rows.groupBy(*APPROVAL_KEYS).agg(
+        F.least(F.ceil(F.count(F.lit(1)) / rows_per_file), F.lit(tasks)).cast("int").alias("_files"),
+        F.any_value("columns").alias("columns"),
+    )
+    sizes = snapshot(sizes, "files")
+    body = lines.join(sizes.drop("columns"), APPROVAL_KEYS).select(
+        *APPROVAL_KEYS, F.pmod("_hash", "_files").cast("int").alias("_file"), F.lit(1).alias("_body"), "value"
+    )
+    heads = sizes.select(
+        *APPROVAL_KEYS,
+        F.explode(F.sequence(F.lit(0), F.col("_files") - 1)).alias("_file"),
+        F.lit(0).alias("_body"),
+        F.array_join("columns", ",").alias("value"),
+    )
+    task = F.pmod(F.xxhash64(*APPROVAL_KEYS) + F.col("_file"), F.lit(tasks)).cast("int")
+    (
+        body.unionByName(heads)
+        .repartitionById(tasks, task)
+        .sortWithinPartitions(*APPROVAL_KEYS, "_body")
+        .select(*APPROVAL_KEYS, "value")
+        .write.mode("overwrite")
+        .option("compression", "gzip")
+        .partitionBy(*APPROVAL_KEYS)
+        .text(path)
+    )
+
+
 def read_export(spark, path: str, columns: Sequence[str] = EXPORT_COLUMNS) -> DataFrame:
     """The exported files read back as text columns."""
     fields = ", ".join(f"{c} string" for c in [*columns, *APPROVAL_KEYS])

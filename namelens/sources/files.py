@@ -98,15 +98,15 @@ def read_batch_file(
     load_ts: Column,
     glob: str | None = None,
 ) -> DataFrame:
-    """A client file loaded by hand under a given client and batch."""
-    return read_client_csv(spark, path, glob=glob).select(
+    """A client file loaded by hand under a given client and batch; no row is without an id."""
+    return to_landing(read_client_csv(spark, path, glob=glob), load_ts).select(
         F.lit(client_id).cast("bigint").alias("client_id"),
         F.lit(batch_id).cast("bigint").alias("batch_id"),
         "record_id",
         "first_name",
         "last_name",
         "zip",
-        load_ts.alias("load_ts"),
+        "load_ts",
     )
 
 
@@ -159,8 +159,8 @@ def read_voter_file(spark: SparkSession, path: str, loaded_ts: Column | None = N
     return load_voter_file(spark, path, loaded_ts)[0]
 
 
-def read_name_counts(spark: SparkSession, path: str) -> DataFrame:
-    """Birth counts per name, gender and year."""
+def read_name_counts(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Birth counts per name, gender and year, from one path or several."""
     return (
         spark.read.schema(schemas.struct(schemas.NAME_COUNTS))
         .option("header", True)
