@@ -40,7 +40,7 @@ def fill(df, ddl):
 class World:
     def __init__(self, spark, root):
         self.spark, self.root = spark, root
-        self.tables = Tables(spark, str(root / "tables"))
+        self.tables = Tables(spark, str(root / "tables"), buckets=2)
         self.pipeline = Pipeline(self.tables, now=now)
         counts = [("Ann", "F", 900, 1990), ("Bob", "M", 950, 1950), ("Bob", "F", 50, 1950), ("Kim", "M", 50, 2010), ("Kim", "F", 50, 2010)]
         self.pipeline.load_lookups(spark.createDataFrame(counts, "first_name string, gender string, quantity bigint, year int"))
