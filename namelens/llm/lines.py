@@ -37,12 +37,6 @@ SIMILARITY = 0.8
 # Lines are many and short, so each has fewer sketches than a document.
 SCHEMES = (Scheme(1, 12, 1, 3, 24), Scheme(9, 40, 1, 5, 32), Scheme(32, 1 << 62, 2, 3, 32))
 
-# SimHash and its blocks are not used by the query any more.
-BITS = 3
-# A bucket takes this many bits of the hash fewer than the lines need to be told
-# apart, so random lines share one with about 2**SPARE others.
-SPARE = 1
-
 # Bytes after normalisation: letters, digits, line ends and all of other alphabets stay.
 # Bytes that UTF-8 never has stand for the characters within numbers.
 _NUMBERS = {b".": b"\xff", b",": b"\xfe", b"-": b"\xfd"}
@@ -52,8 +46,6 @@ _LETTERS = bytes(
 )
 _IN_NUMBER = re.compile(rb"(?<=[0-9])[.,](?=[0-9])|(?<![0-9a-z\x80-\xff])-(?=[0-9])")
 _NO_LETTERS = b" 0123456789.,-"
-# Counts of one bit in so many words fit into a byte.
-_PIECE_WORDS = 255
 
 
 def normalised(text: str) -> list[bytes]:
@@ -63,32 +55,6 @@ def normalised(text: str) -> list[bytes]:
     return [line if line.translate(None, _NO_LETTERS) else b"" for line in lines]
 
 
-def simhashes(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """SimHash of the word hashes ``first[i]:first[i + 1]`` of every line, none of them empty.
-
-    Each different word counts once: else the commonest words would settle the
-    bits of long lines, and all long lines of a language would look alike.
-    """
-    if not len(hashes):
-        return np.zeros(0, dtype=np.uint64)
-    lines = len(first) - 1
-    own = np.repeat(np.arange(lines), np.diff(first))
-    order = np.lexsort((hashes, own))
-    hashes, own = hashes[order], own[order]
-    new = np.r_[True, (hashes[1:] != hashes[:-1]) | (own[1:] != own[:-1])]
-    hashes, sizes = hashes[new], np.bincount(own[new], minlength=lines)
-    first = np.concatenate(([0], np.cumsum(sizes)))
-    pieces = -(-sizes // _PIECE_WORDS)
-    own = np.cumsum(pieces) - pieces
-    starts = np.repeat(first[:-1], pieces) + (np.arange(pieces.sum()) - np.repeat(own, pieces)) * _PIECE_WORDS
-    # One byte for each bit of a word, eight of them added at once.
-    bits = np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    counts = np.add.reduceat(bits.view("<u8"), starts, axis=0).view(np.uint8).reshape(-1, 64)
-    ones = np.add.reduceat(counts, own, axis=0, dtype=np.int64) if len(counts) > len(own) else counts.astype(np.int64)
-    majority = 2 * ones > sizes[:, None]
-    return np.packbits(majority.astype(np.uint8), axis=1, bitorder="little").view("<u8").ravel()
-
-
 def lines_of(docs: DataFrame) -> DataFrame:
     """One row for each line with letters: document, place and hash of its words."""
 
@@ -121,20 +87,6 @@ def lines_of(docs: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "_doc bigint, _key bigint, place int, line bigint")
 
 
-def block_layout(lines: int, bits: int = BITS) -> tuple[int, int]:
-    """Number of blocks, and how many a bucket takes, for so many different lines.
-
-    More blocks make longer bucket keys in more tables; the pairs found are the
-    same for every layout.
-    """
-    need = max(1, lines).bit_length() - SPARE
-    for blocks in range(bits + 2, 64):
-        taken = blocks - bits
-        if taken * 64 // blocks >= need:
-            return blocks, taken
-    return 64, 64 - bits
-
-
 def fuzzy_groups(occurrences: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
     """Groups of different lines that are linked, as (node, root)."""
     different = occurrences.groupBy("line").agg(F.min(F.struct("_doc", "_key", "place")).alias("at"))
