@@ -8,7 +8,8 @@ as good as the share of all its occurrences in the corpus that hold good
 instances, and an instance as good as its patterns together. Instances beside a
 pattern with a high score are further spans, of kind ``id``.
 
-Null texts count as empty and have no spans. Positions are code points, the end
+Null texts count as empty and have no spans. Very long texts, with or without
+blanks, are walked through once. Positions are code points, the end
 exclusive. Rows are judged one by one, so repeated rows get equal results; an
 empty table gives an empty result. Other columns are passed on; added ones
 replace columns of the same name.
@@ -16,6 +17,7 @@ replace columns of the same name.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -49,7 +51,10 @@ _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 _NUMBER_WORD = re.compile(r"(?<!\S)[^\s0-9]*+[0-9]\S*")
-_KEYED = re.compile(r"([^\s=:]{2,40})[=:](\S+)")
+LONGEST_KEY = 40
+_KEYED = re.compile(rf"([^\s=:]{{2,{LONGEST_KEY}}})[=:](\S+)")
+# A longer word is told from others by its hash.
+LONG_WORD = 200
 _EDGE = " \t\r\n.,;:!?\"'()[]{}<>|"
 
 
@@ -98,27 +103,61 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-def _word_before(text: str, at: int) -> str:
-    end = at
-    while end > 0 and text[end - 1].isspace():
-        end -= 1
-    start = end
-    while start > 0 and not text[start - 1].isspace():
-        start -= 1
-    return text[start:end].lower()
+def _named(word: str) -> str:
+    """A word as part of a pattern; of a very long one its hash, which tells it as well."""
+    return word if len(word) <= LONG_WORD else "#" + hashlib.blake2b(word.encode(), digest_size=16).hexdigest()
 
 
-def _word_after(text: str, at: int) -> str:
-    n, start = len(text), at
-    # What hangs on to the instance is not a word of its own.
-    while start < n and not text[start].isspace():
-        start += 1
-    while start < n and text[start].isspace():
-        start += 1
-    end = start
-    while end < n and not text[end].isspace():
-        end += 1
-    return text[start:end].lower()
+class _Neighbours:
+    """The words around places of a text, asked for from left to right.
+
+    What is known of the last word that was looked at is kept, so a text without
+    blanks is walked through once, however many places it has.
+    """
+
+    def __init__(self, text: str):
+        self.text = text
+        self.first = self.seen = -1
+        self.before = self.after = ""
+        self.low = self.high = -1
+
+    def begin(self, at: int) -> int:
+        """Where the word begins that ``at`` is in; ``before`` is the word before it."""
+        text, start = self.text, at
+        stop = max(self.seen, 0)
+        while start > stop and not text[start - 1].isspace():
+            start -= 1
+        if start == stop == self.seen and start > self.first >= 0 and not text[start - 1].isspace():
+            self.seen = max(at, self.seen)
+            return self.first
+        self.seen = at
+        if start != self.first:
+            self.first = start
+            end = start
+            while end > 0 and text[end - 1].isspace():
+                end -= 1
+            begin = end
+            while begin > 0 and not text[begin - 1].isspace():
+                begin -= 1
+            self.before = _named(text[begin:end].lower())
+        return start
+
+    def following(self, at: int) -> str:
+        """The word after that which ``at`` is in: what hangs on to an instance is no word of its own."""
+        text, n = self.text, len(self.text)
+        if self.low <= at <= self.high:
+            return self.after
+        start = at
+        while start < n and not text[start].isspace():
+            start += 1
+        self.low, self.high = at, start
+        while start < n and text[start].isspace():
+            start += 1
+        end = start
+        while end < n and not text[end].isspace():
+            end += 1
+        self.after = _named(text[start:end].lower())
+        return self.after
 
 
 def slots(text: str, base: list[tuple[int, int, int]]) -> list[dict]:
@@ -141,26 +180,24 @@ def slots(text: str, base: list[tuple[int, int, int]]) -> list[dict]:
         if LENGTHS[0] <= len(core) <= LENGTHS[1] and any(c in "0123456789" for c in core):
             start = text.index(core, start)
             found.append((start, start + len(core), False, key))
-    out = []
-    for start, end, seed, key in found:
-        first = start
-        while first > 0 and not text[first - 1].isspace():
-            first -= 1
-        if seed:
-            inside = _KEYED.match(text[first:end])
-            if inside and first + inside.start(2) == start:
+    out: list = [None] * len(found)
+    near = _Neighbours(text)
+    for k in sorted(range(len(found)), key=lambda k: found[k][:2]):
+        start, end, seed, key = found[k]
+        first = near.begin(start)
+        # A seed is a value if all that is before it in its word is a key.
+        if seed and start - first <= LONGEST_KEY + 1:
+            inside = _KEYED.match(text, first, end)
+            if inside and inside.start(2) == start:
                 key = inside.group(1).lower()
-        before, after = _word_before(text, first), _word_after(text, end)
-        patterns = [("L", before), ("R", after)] + ([("K", key)] if key else [])
-        out.append(
-            {
-                "start": start,
-                "end": end,
-                "seed": seed,
-                "instance": text[start:end].lower(),
-                "patterns": [{"side": s, "word": w} for s, w in patterns if w],
-            }
-        )
+        patterns = [("L", near.before), ("R", near.following(end))] + ([("K", key)] if key else [])
+        out[k] = {
+            "start": start,
+            "end": end,
+            "seed": seed,
+            "instance": text[start:end].lower(),
+            "patterns": [{"side": s, "word": w} for s, w in patterns if w],
+        }
     return out
 
 
@@ -202,7 +239,7 @@ def pattern_totals(docs: DataFrame) -> DataFrame:
             inside = _KEYED.match(word)
             if inside:
                 keys[inside.group(1)] += n
-        words = [*counts, *keys]
+        words = [*map(_named, counts), *keys]
         sides = ["W"] * len(counts) + ["K"] * len(keys)
         numbers = [*counts.values(), *keys.values()]
         counts.clear()

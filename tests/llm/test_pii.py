@@ -1,9 +1,11 @@
+import random
 import re
+import time
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from namelens.llm.pii import KINDS, base_spans, find_personal_data, passes_luhn
+from namelens.llm.pii import KINDS, base_spans, find_personal_data, passes_luhn, slots
 
 PATTERNS = [
     r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
@@ -70,3 +72,26 @@ def test_awkward_rows(awkward, nothing, docs):
     twice = docs([(1, "é 🙂 a@b.cd 10.0.0.1"), (1, "é 🙂 a@b.cd 10.0.0.1"), (None, "a@b.cd")])
     found = [[(s.start, s.kind, s.end) for s in r.spans] for r in find_personal_data(twice).collect()]
     assert sorted(found) == [[(0, 0, 6)], [(4, 0, 10), (11, 1, 19)], [(4, 0, 10), (11, 1, 19)]]
+
+
+def test_words_around_long_runs_take_linear_time():
+    """Texts of a megabyte without blanks, and words as long beside each other."""
+    start = time.time()
+    for text in ("a@b.cc," * 150_000, ("a@b.cc," * 75_000 + " ") * 2, "k=1234567,x " * 80_000):
+        found = slots(text, base_spans(text))
+        assert len(found) in (150_000, 80_000)
+    assert time.time() - start < 30
+    assert {p["word"] for p in found[1]["patterns"]} == {"k=1234567,x"}
+
+
+def test_neighbours_like_plain_splitting():
+    rng = random.Random(2)
+    parts = ["a@b.cc", "key=12345", "x", " ", "  ", "\n", "4111 1111 1111 1111", "+49 30 1234567", "1.2.3.4", "id:AB-99x", ",", "é", "99999"]
+    for _ in range(3000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randrange(0, 14)))
+        for slot in slots(text, base_spans(text)):
+            first = max(text.rfind(c, 0, slot["start"]) for c in " \n") + 1
+            last = re.compile(r"\S*").match(text, slot["end"]).end()
+            before, after = text[:first].lower().split(), text[last:].lower().split()
+            found = {p["side"]: p["word"] for p in slot["patterns"]}
+            assert (found.get("L"), found.get("R")) == (before[-1] if before else None, after[0] if after else None)
