@@ -31,6 +31,7 @@ def test_golden_payload(rows):
     """Names, order, labels and number format as in the published payload of the older metrics."""
     summary = metrics.batch_metrics(golden(rows), "v0.01", matched_only=False)
     text = metrics.metrics_payload(summary, "v0.01").first().enrichment_metrics_payload
+    # Fixed value: the published payload.
     expected = {
         "analysis_type": "gender_metrics",
         "metrics": [
