@@ -71,4 +71,21 @@ def test_stages_of_nothing(spark, tmp_path):
 
 def test_every_operator_has_one_query():
     numbers = sorted(int(n[2:].split("_")[0]) for n in QUERIES)
-    assert numbers == list(range(1, 11)) and set(ORACLES) <= set(QUERIES)
+    assert numbers == list(range(1, 14)) and set(ORACLES) <= set(QUERIES)
+
+
+def test_columns_of_the_caller_pass_all_stages(spark, tmp_path):
+    ddl = "doc_id bigint, text string, lang string, source string, n_chars bigint, toxic_score double, kept_text string, n_removed string, shard int, `a.b` string, n_tokens string, _row int"
+    rows = [(i, f"document {i} says {' '.join(f'w{i}x{k}' for k in range(12))}", "en", "s", None, 0.5, "kept", "r", 7, f"dot {i}", "t", i) for i in range(6)]
+    docs = spark.createDataFrame(rows, ddl)
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(3)], "doc_id bigint, quality int, toxic int")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    columns = docs.columns
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        docs = stage(spark, docs, str(tmp_path))
+        docs.write.parquet(f"{tmp_path}/{k}")
+        docs = spark.read.parquet(f"{tmp_path}/{k}")
+        assert docs.columns[: len(columns)] == columns or name == "bpe", name
+    found = docs.collect()
+    assert len(found) >= 6 and docs.columns == [c for c in columns if c != "n_tokens"] + ["n_tokens", "ids", "round_trip"]
+    assert all((r["toxic_score"], r["kept_text"], r["n_removed"], r["shard"], r["a.b"], r["_row"]) == (0.5, "kept", "r", 7, f"dot {r['doc_id']}", r["doc_id"]) for r in found)
