@@ -2,9 +2,13 @@
 
 Two models of the characters of words, one learned from toxic and one from
 ordinary documents, predict each character from those before it in its word.
-Class counts are discounted; what is taken off goes to one lower-order model
-that both classes share, whose continuation counts come from all documents. So
-an expression that is rare in the labels counts about alike for both classes.
+Class counts are discounted, and what is really taken off goes to the lower
+orders, which both classes share: interpolated Kneser-Ney models of
+continuation counts from all documents, down to equal shares of all characters.
+So the probabilities of each history sum to one, and an expression that is rare
+in the labels counts about alike for both classes. The counts of the larger
+class are scaled to the total of the smaller one, or an expression of neither
+would speak for the class with fewer documents.
 
 The log-likelihood ratio of a word is the sum over its characters. A document is
 described by length-normalised ratios: the mean over its words, whole and
@@ -13,11 +17,14 @@ logistic regression on labelled documents that were not counted turns these
 into a score.
 
 Labels are learned from at most ``FIT_ROWS`` documents of each class, chosen by
-a hash; everything else covers all documents. Null and empty texts have no
-words and get the score of a ratio of zero. Rows are scored one by one, so
-repeated rows get equal scores. Labels other than 0 and 1, and documents with
-both, are not learned from. Without documents of both classes all scores are
-the share of toxic labels, or 0. Added columns replace columns of the same name.
+a hash, and half as many as long as these have over ``MODEL_ENTRIES`` n-grams;
+everything else covers all documents, and no n-gram of a chosen document is
+left out. Null and empty texts have no words and get the score of a ratio of
+zero; a long text is scored whole, in memory that grows with it alone. Rows are
+scored one by one, so repeated rows get equal scores. No documents give no
+rows. Labels other than 0 and 1, and documents with both, are not learned from.
+Without documents of both classes all scores are the share of toxic labels, or
+0. Added columns replace columns of the same name.
 """
 
 from __future__ import annotations
@@ -38,10 +45,11 @@ from namelens.operators.snapshot import snapshot
 # Characters of a history and the predicted one.
 ORDER = 5
 DISCOUNT = 2.0
+# Taken off continuation counts.
+SHARED_DISCOUNT = 0.75
 # Labelled documents learned from, for each class.
 FIT_ROWS = 20_000
-# Entries of the broadcast model. Should the labelled documents have more, those
-# with the fewest counts count as unseen.
+# N-grams that the chosen documents may have, so that the model can be broadcast.
 MODEL_ENTRIES = 4_000_000
 # Words that a Python worker holds at once.
 MEMORY_WORDS = 200_000
@@ -127,13 +135,16 @@ def count_grams(docs: DataFrame, order: int = ORDER) -> DataFrame:
 class Model:
     """Log-likelihood ratios of the n-grams seen with a label, by hash.
 
-    For an n-gram of neither class both models fall back on the shared one, so
-    it counts as equally likely: a foreign alphabet is no sign of a class.
+    For an n-gram of neither class both models fall back on the shared one,
+    whose probability cancels out: the ratio is that of the masses which the
+    classes give to it after the history, and 0 after a history of neither.
     """
 
     order: int
     gram_keys: np.ndarray
     gram_ratios: np.ndarray
+    history_keys: np.ndarray
+    history_ratios: np.ndarray
 
     def word_ratios(self, words: list[str]) -> np.ndarray:
         text = "".join([BEGIN + w + END for w in words])
@@ -143,7 +154,9 @@ class Model:
         place = np.arange(len(values))
         predicted = place > first
         place, start = place[predicted], np.maximum(first[predicted], place[predicted] - self.order + 1)
-        own = _looked_up(self.gram_keys, self.gram_ratios, range_hashes(values, start, place + 1))
+        own, found = _looked_up(self.gram_keys, self.gram_ratios, range_hashes(values, start, place + 1))
+        rare = np.flatnonzero(~found)
+        own[rare], _ = _looked_up(self.history_keys, self.history_ratios, range_hashes(values, start[rare], place[rare]))
         owner = np.repeat(np.arange(len(words)), lengths - 1)
         return np.bincount(owner, weights=own, minlength=len(words))
 
@@ -153,11 +166,13 @@ def code_points(text: str) -> np.ndarray:
     return mixed(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32) + np.uint64(1))
 
 
-def _looked_up(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+def _looked_up(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Values of the wanted keys, 0 for others, and which were found."""
     if not len(keys):
-        return np.zeros(len(wanted))
+        return np.zeros(len(wanted)), np.zeros(len(wanted), dtype=bool)
     at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-    return np.where(keys[at] == wanted, values[at], 0.0)
+    found = keys[at] == wanted
+    return np.where(found, values[at], 0.0), found
 
 
 def _hashed(texts: list[str], ratios: list[float]) -> tuple[np.ndarray, np.ndarray]:
@@ -168,47 +183,93 @@ def _hashed(texts: list[str], ratios: list[float]) -> tuple[np.ndarray, np.ndarr
     return keys[order], np.array(ratios, dtype=np.float64)[order].astype(np.float32)
 
 
-def fit_model(counts: DataFrame, order: int = ORDER, discount: float = DISCOUNT, entries: int = MODEL_ENTRIES) -> Model:
-    """The ratios of both classes for every n-gram seen with a label.
+def shared_model(counts: DataFrame, order: int = ORDER, discount: float = SHARED_DISCOUNT) -> DataFrame:
+    """P of the last character after the others, for each n-gram below ``order``: (gram, p).
 
-    P(c | h) = max(n(hc) - D, 0) / n(h) + D N(h.) / n(h) * P(c | shorter h), where the
-    shorter history's P is the shared one: N(. hc) / N(. h.) over all documents.
+    An n-gram counts the different characters before it in all documents. With c
+    its count, P = (c - min(c, D)) / c(h) + sum of min(c, D) over h / c(h) * P of
+    the n-gram without its first character; below single characters all are equal.
     """
-    counts = snapshot(counts, "grams")
-    lower = F.substring("gram", 2, 1_000_000)
-    shared = counts.groupBy(lower.alias("_lower")).agg(F.count(F.lit(1)).alias("_n_lower"))
-    shared = shared.withColumn("_short", F.expr("substring(_lower, 1, length(_lower) - 1)"))
-    whole = shared.groupBy("_short").agg(F.sum("_n_lower").alias("_n_short"))
-    labelled = counts.where("n_toxic + n_ordinary > 0").withColumns(
-        {"_history": F.expr("substring(gram, 1, length(gram) - 1)"), "_lower": lower}
+    tails = F.expr("transform(sequence(1, length(gram)), i -> substring(gram, i))")
+    tails = counts.where("n_all > 0").select(F.explode(tails).alias("tail")).distinct()
+    parts = tails.where("length(tail) > 1").groupBy(F.expr("substring(tail, 2)").alias("gram"))
+    parts = parts.agg(F.count(F.lit(1)).alias("n")).withColumn("history", F.expr("substring(gram, 1, length(gram) - 1)"))
+    off = F.least(F.col("n"), F.lit(discount))
+    sums = parts.groupBy("history").agg(F.sum("n").alias("of"), F.sum(off).alias("held"))
+    parts = parts.join(sums, "history").select(
+        "gram", ((F.col("n") - off) / F.col("of")).alias("own"), (F.col("held") / F.col("of")).alias("held")
     )
-    sums = []
-    for name in ("toxic", "ordinary"):
-        n = F.col(f"n_{name}")
-        sums += [F.sum(n).alias(f"h_{name}"), F.count(F.when(n > 0, 1)).alias(f"k_{name}")]
-    contexts = labelled.groupBy("_history").agg(*sums)
-    held = {
-        n: F.when(F.col(f"h_{n}") > 0, F.least(F.lit(1.0), discount * F.col(f"k_{n}") / F.col(f"h_{n}"))).otherwise(1.0)
-        for n in ("toxic", "ordinary")
-    }
-    base = F.col("_n_lower") / F.col("_n_short")
+    parts = snapshot(parts, "continuations")
+    singles = parts.where("length(gram) = 1")
+    level = singles.select("gram", (F.col("own") + F.col("held") / F.lit(max(1, singles.count()))).alias("p"))
+    levels = level
+    for size in range(2, order):
+        below = level.select(F.col("gram").alias("lower"), F.col("p").alias("below"))
+        level = parts.where(F.length("gram") == size).withColumn("lower", F.expr("substring(gram, 2)")).join(below, "lower")
+        level = snapshot(level.select("gram", (F.col("own") + F.col("held") * F.col("below")).alias("p")), "shared-order")
+        levels = levels.union(level)
+    return levels
+
+
+def class_models(
+    counts: DataFrame, order: int = ORDER, discount: float = DISCOUNT
+) -> tuple[DataFrame, DataFrame]:
+    """Both classes: (gram, p_toxic, p_ordinary) of n-grams seen with a label, (history, held_toxic, held_ordinary).
+
+    P(c | h) = (n(hc) - min(n(hc), D)) / n(h) + held(h) * P of the shared model,
+    held(h) = sum of min(n(hc), D) / n(h), or 1 for a history that the class lacks.
+    """
+    labelled = counts.where("n_toxic + n_ordinary > 0").select(
+        "gram", "n_toxic", "n_ordinary", F.expr("substring(gram, 1, length(gram) - 1)").alias("history")
+    )
+    totals = labelled.agg(F.sum("n_toxic"), F.sum("n_ordinary")).first()
+    least = min([t for t in totals if t], default=1)
+    own, sums = {}, []
+    for name, total in zip(("toxic", "ordinary"), totals):
+        n = F.col(f"n_{name}") * F.lit(least / total if total else 1.0)
+        own[name] = n - F.least(n, F.lit(discount))
+        sums += [F.sum(n).alias(f"of_{name}"), F.sum(F.least(n, F.lit(discount))).alias(f"off_{name}")]
+    histories = labelled.groupBy("history").agg(*sums)
+    for name in own:
+        share = F.when(F.col(f"of_{name}") > 0, F.col(f"off_{name}") / F.col(f"of_{name}")).otherwise(1.0)
+        histories = histories.withColumn(f"held_{name}", share)
+    histories = snapshot(histories, "histories")
+    base = shared_model(counts, order).select(F.col("gram").alias("_lower"), F.col("p").alias("_base"))
+    grams = labelled.join(histories, "history").withColumn("_lower", F.expr("substring(gram, 2)")).join(base, "_lower")
     p = {
-        n: F.when(F.col(f"h_{n}") > 0, F.greatest(F.col(f"n_{n}") - discount, F.lit(0.0)) / F.col(f"h_{n}")).otherwise(0.0)
-        + held[n] * base
-        for n in ("toxic", "ordinary")
+        name: F.when(F.col(f"of_{name}") > 0, value / F.col(f"of_{name}")).otherwise(0.0)
+        + F.col(f"held_{name}") * F.col("_base")
+        for name, value in own.items()
     }
-    rows = (
-        labelled.join(contexts, "_history")
-        .join(shared, "_lower")
-        .join(whole, "_short")
-        .select("gram", F.log(p["toxic"] / p["ordinary"]).alias("ratio"), (F.col("n_toxic") + F.col("n_ordinary")).alias("n"))
+    grams = grams.select("gram", *[value.alias(f"p_{name}") for name, value in p.items()])
+    return grams, histories.select("history", "held_toxic", "held_ordinary")
+
+
+def fit_model(counts: DataFrame, order: int = ORDER, discount: float = DISCOUNT) -> Model:
+    """The log-likelihood ratios of both classes; ``counts`` are read several times."""
+    grams, histories = class_models(counts, order, discount)
+    grams = grams.select("gram", F.log(F.col("p_toxic") / F.col("p_ordinary")).alias("ratio")).toArrow()
+    histories = histories.select("history", F.log(F.col("held_toxic") / F.col("held_ordinary")).alias("ratio")).toArrow()
+    return Model(
+        order,
+        *_hashed(grams["gram"].to_pylist(), grams["ratio"].to_pylist()),
+        *_hashed(histories["history"].to_pylist(), histories["ratio"].to_pylist()),
     )
-    rows = snapshot(rows, "ratios")
-    least = 1
-    while rows.where(F.col("n") >= least).count() > entries:
-        least *= 2
-    grams = rows.where(F.col("n") >= least).toArrow()
-    return Model(order, *_hashed(grams["gram"].to_pylist(), grams["ratio"].to_pylist()))
+
+
+def counted_sample(
+    docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, entries: int = MODEL_ENTRIES
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The sample, the documents with their place in it, and the n-gram counts of all documents."""
+    while True:
+        sample = fit_sample(labels, rows)
+        # At most 2 x rows ids: a bounded broadcast.
+        sampled = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id", "left")
+        counting = F.when(fold(F.col("doc_id")) != 4, F.col("toxic"))
+        counts = snapshot(count_grams(sampled.withColumn("_class", counting)), "grams")
+        if rows == 1 or counts.where("n_toxic + n_ordinary > 0").count() <= entries:
+            return sample, sampled, counts
+        rows //= 2
 
 
 def features(ratios: np.ndarray) -> list[float]:
@@ -265,11 +326,8 @@ def logistic_fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float
 def score(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
     """Add ``toxic_score`` (0 to 1) to documents with ``doc_id`` and ``text``."""
     spark = docs.sparkSession
-    sample = fit_sample(labels, fit_rows)
-    # At most 2 x fit_rows ids: a bounded broadcast.
-    sampled = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id", "left")
-    counting = F.when(fold(F.col("doc_id")) != 4, F.col("toxic"))
-    model = spark.sparkContext.broadcast(fit_model(count_grams(sampled.withColumn("_class", counting))))
+    sample, sampled, counts = counted_sample(docs, labels, fit_rows)
+    model = spark.sparkContext.broadcast(fit_model(counts))
 
     schema = T.StructType([T.StructField("x", T.ArrayType(T.DoubleType()))])
     held_back = sampled.where((fold(F.col("doc_id")) == 4) & F.col("toxic").isNotNull())

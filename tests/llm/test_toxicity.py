@@ -7,7 +7,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from namelens.llm.toxicity import (
+    DISCOUNT,
+    ORDER,
+    SHARED_DISCOUNT,
+    class_models,
     count_grams,
+    counted_sample,
     features,
     fit_model,
     fit_sample,
@@ -15,6 +20,7 @@ from namelens.llm.toxicity import (
     grams_of,
     logistic_fit,
     score,
+    shared_model,
 )
 
 LABELS = "doc_id bigint, quality int, toxic int"
@@ -37,35 +43,91 @@ def corpus(n, seed=1):
     return rows, labels
 
 
-def test_model_is_kneser_ney(docs):
-    texts = [("abba cab", 1), ("abc abc bca", 0), ("cabba", None), ("bab", 1)]
-    own = docs([(i, t) for i, (t, _) in enumerate(texts)]).select("doc_id", "text")
+TEXTS = [("abba cab abba abba", 1), ("abc abc bca abc abd", 0), ("cabba dabc", None), ("bab abba", 1)]
+
+
+def counted(docs, order):
+    own = docs([(i, t) for i, (t, _) in enumerate(TEXTS)]).select("doc_id", "text")
     label = F.when(F.col("doc_id").isin(0, 3), 1).when(F.col("doc_id") == 1, 0)
-    counts = count_grams(own.withColumn("_class", label.cast("int")), 3)
-    model = fit_model(counts, 3, 0.5)
-    every, by = set(), {0: Counter(), 1: Counter()}
-    for text, kind in texts:
-        for w in text.split():
-            every |= set(grams_of(w, 3))
-            if kind is not None:
-                by[kind].update(grams_of(w, 3))
-    lower, short = Counter(g[1:] for g in every), Counter(g[1:-1] for g in every)
-
-    def p(kind, gram):
-        n = by[kind]
-        history = {g: c for g, c in n.items() if g[:-1] == gram[:-1]}
-        base = lower[gram[1:]] / short[gram[1:-1]]
-        if not history:
-            return base
-        total = sum(history.values())
-        return max(n[gram] - 0.5, 0) / total + min(1, 0.5 * len(history) / total) * base
-
-    for word in ("abba", "abc", "bab", "cab"):
-        want = 0.0
-        for g in grams_of(word, 3):
-            if any(by[k][g] for k in by):
-                want += math.log(p(1, g) / p(0, g))
+    return count_grams(own.withColumn("_class", label.cast("int")), order)
+
+
+class Plain:
+    """Both models from their definition."""
+
+    def __init__(self, order):
+        self.by, every = {0: Counter(), 1: Counter()}, set()
+        for text, kind in TEXTS:
+            for w in text.split():
+                grams = grams_of(w, order)
+                every |= {g[i:] for g in grams for i in range(len(g))}
+                if kind is not None:
+                    self.by[kind].update(grams)
+        self.before = Counter(t[1:] for t in every if len(t) > 1)
+        self.letters = {g for g in self.before if len(g) == 1}
+        least = min(sum(n.values()) for n in self.by.values())
+        self.scale = {k: least / sum(n.values()) for k, n in self.by.items()}
+
+    def shared(self, history, letter):
+        if history is None:
+            return 1 / len(self.letters)
+        counts = {g: n for g, n in self.before.items() if g[:-1] == history}
+        below = self.shared(history[1:] if history else None, letter)
+        if not counts:
+            return below
+        n, off = counts.get(history + letter, 0), SHARED_DISCOUNT
+        return (n - min(n, off) + sum(min(c, off) for c in counts.values()) * below) / sum(counts.values())
+
+    def p(self, kind, history, letter):
+        counts = {g: n * self.scale[kind] for g, n in self.by[kind].items() if g[:-1] == history}
+        below = self.shared(history[1:], letter)
+        if not counts:
+            return below
+        n, off = counts.get(history + letter, 0), DISCOUNT
+        return (n - min(n, off) + sum(min(c, off) for c in counts.values()) * below) / sum(counts.values())
+
+
+@pytest.mark.parametrize("order", [3, ORDER])
+def test_model_is_kneser_ney(docs, order):
+    plain = Plain(order)
+    model = fit_model(counted(docs, order), order)
+    # Also words with n-grams, histories and letters of one class or none.
+    for word in ("abba", "abc", "bab", "cab", "dabc", "abcabd", "dd", "ccc", "a", "bd"):
+        want = sum(math.log(plain.p(1, g[:-1], g[-1]) / plain.p(0, g[:-1], g[-1])) for g in grams_of(word, order))
         assert model.word_ratios([word])[0] == pytest.approx(want, abs=1e-5)
+    assert any(abs(model.word_ratios([w])[0]) > 0.01 for w in ("dd", "ccc"))
+    # The letters of another alphabet come after histories of neither class, but for the first.
+    assert model.word_ratios(["жук"])[0] == pytest.approx(float(model.word_ratios(["ж"])[0]), abs=0.5)
+
+
+def test_probabilities_of_each_history_sum_to_one(docs):
+    plain = Plain(ORDER)
+    counts = counted(docs, ORDER)
+    shared = {r.gram: r.p for r in shared_model(counts).collect()}
+    assert set(shared) == set(plain.before)
+    for gram, p in shared.items():
+        assert p == pytest.approx(plain.shared(gram[:-1], gram[-1]))
+    grams, histories = class_models(counts)
+    seen = {r.gram: (r.p_ordinary, r.p_toxic) for r in grams.collect()}
+    for r in histories.collect():
+        for kind, held in enumerate((r.held_ordinary, r.held_toxic)):
+            assert 0 < held <= 1
+            total = sum(
+                seen[r.history + c][kind] if r.history + c in seen else held * plain.shared(r.history[1:], c)
+                for c in plain.letters
+            )
+            assert total == pytest.approx(1)
+
+
+def test_sample_is_halved_until_its_grams_fit(docs, rows):
+    texts, labels = corpus(200)
+    frame, marks = docs(texts), rows(labels, LABELS)
+    whole, _, counts = counted_sample(frame, marks, 64)
+    n = counts.where("n_toxic + n_ordinary > 0").count()
+    part, _, fewer = counted_sample(frame, marks, 64, n - 1)
+    assert part.count() < whole.count() and fewer.where("n_toxic + n_ordinary > 0").count() < n
+    # What all documents hold is counted in any case.
+    assert counts.agg(F.sum("n_all")).first() == fewer.agg(F.sum("n_all")).first()
 
 
 def test_held_out_accuracy(docs, rows):
