@@ -53,6 +53,8 @@ FIT_ROWS = 20_000
 MODEL_ENTRIES = 4_000_000
 # Words that a Python worker holds at once.
 MEMORY_WORDS = 200_000
+# Characters of words whose n-grams are counted at once.
+GRAM_BYTES = 2 << 20
 # A word with a ratio beyond this is much likelier toxic.
 STRONG = 2.5
 # Numbers that describe a document.
@@ -68,9 +70,22 @@ def fold(doc_id: Column) -> Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(5))
 
 
-def grams_of(word: str, order: int) -> list[str]:
-    marked = BEGIN + word + END
-    return [marked[max(0, k - order + 1) : k + 1] for k in range(1, len(marked))]
+class Grams:
+    """The n-grams of words, one ending at each character: ``text[start:end]`` of the word ``owner``."""
+
+    def __init__(self, words: list[str], order: int):
+        self.text = "".join([BEGIN + w + END for w in words])
+        self.values = code_points(self.text)
+        lengths = np.array([len(w) + 2 for w in words], dtype=np.int64)
+        first = np.repeat(np.cumsum(lengths) - lengths, lengths)
+        place = np.arange(len(self.values))
+        predicted = place > first
+        self.end = place[predicted] + 1
+        self.start = np.maximum(first[predicted], self.end - order)
+        self.owner = np.repeat(np.arange(len(words)), lengths - 1)
+
+    def hashes(self) -> np.ndarray:
+        return range_hashes(self.values, self.start, self.end)
 
 
 def fit_sample(labels: DataFrame, rows: int = FIT_ROWS, seed: int = 5) -> DataFrame:
@@ -98,17 +113,18 @@ def fit_sample(labels: DataFrame, rows: int = FIT_ROWS, seed: int = 5) -> DataFr
 def count_grams(docs: DataFrame, order: int = ORDER) -> DataFrame:
     """Counts of every character n-gram: in all texts, and in those of each ``_class``."""
 
-    def flushed(words: list[Counter]) -> pa.RecordBatch:
-        found = [Counter(), Counter(), Counter()]
-        for counts, grams in zip(words, found):
-            for word, n in counts.items():
-                for gram in grams_of(word, order):
-                    grams[gram] += n
+    def flushed(words: list[Counter]) -> Iterator[pa.RecordBatch]:
+        for part in batches(list(words[0]), len, GRAM_BYTES):
+            grams = Grams(part, order)
+            _, at, which = np.unique(grams.hashes(), return_index=True, return_inverse=True)
+            columns = [pa.array([grams.text[a:b] for a, b in zip(grams.start[at].tolist(), grams.end[at].tolist())], pa.string())]
+            for counts in words:
+                own = np.array([counts[w] for w in part], dtype=np.float64)
+                # Whole numbers below 2**53 are exact.
+                columns.append(pa.array(np.bincount(which, own[grams.owner], len(at)).astype(np.int64)))
+            yield pa.RecordBatch.from_arrays(columns, ["gram", "n_all", "n_toxic", "n_ordinary"])
+        for counts in words:
             counts.clear()
-        keys = list(found[0])
-        columns = [pa.array(keys, pa.string())]
-        columns += [pa.array([grams[k] for k in keys], pa.int64()) for grams in found]
-        return pa.RecordBatch.from_arrays(columns, ["gram", "n_all", "n_toxic", "n_ordinary"])
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = [Counter(), Counter(), Counter()]
@@ -120,8 +136,8 @@ def count_grams(docs: DataFrame, order: int = ORDER) -> DataFrame:
                 if label is not None:
                     words[2 - label].update(own)
                 if len(words[0]) > MEMORY_WORDS:
-                    yield flushed(words)
-        yield flushed(words)
+                    yield from flushed(words)
+        yield from flushed(words)
 
     return (
         docs.select("text", "_class")
@@ -147,18 +163,12 @@ class Model:
     history_ratios: np.ndarray
 
     def word_ratios(self, words: list[str]) -> np.ndarray:
-        text = "".join([BEGIN + w + END for w in words])
-        values = code_points(text)
-        lengths = np.array([len(w) + 2 for w in words])
-        first = np.repeat(np.cumsum(lengths) - lengths, lengths)
-        place = np.arange(len(values))
-        predicted = place > first
-        place, start = place[predicted], np.maximum(first[predicted], place[predicted] - self.order + 1)
-        own, found = _looked_up(self.gram_keys, self.gram_ratios, range_hashes(values, start, place + 1))
+        grams = Grams(words, self.order)
+        own, found = _looked_up(self.gram_keys, self.gram_ratios, grams.hashes())
         rare = np.flatnonzero(~found)
-        own[rare], _ = _looked_up(self.history_keys, self.history_ratios, range_hashes(values, start[rare], place[rare]))
-        owner = np.repeat(np.arange(len(words)), lengths - 1)
-        return np.bincount(owner, weights=own, minlength=len(words))
+        histories = range_hashes(grams.values, grams.start[rare], grams.end[rare] - 1)
+        own[rare], _ = _looked_up(self.history_keys, self.history_ratios, histories)
+        return np.bincount(grams.owner, weights=own, minlength=len(words))
 
 
 def code_points(text: str) -> np.ndarray:

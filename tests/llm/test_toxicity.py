@@ -7,7 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from namelens.llm.toxicity import (
+    BEGIN,
     DISCOUNT,
+    END,
     ORDER,
     SHARED_DISCOUNT,
     class_models,
@@ -17,7 +19,6 @@ from namelens.llm.toxicity import (
     fit_model,
     fit_sample,
     fold,
-    grams_of,
     logistic_fit,
     score,
     shared_model,
@@ -26,6 +27,11 @@ from namelens.llm.toxicity import (
 LABELS = "doc_id bigint, quality int, toxic int"
 
 
+def grams_of(word, order):
+    marked = BEGIN + word + END
+    return [marked[max(0, k - order + 1) : k + 1] for k in range(1, len(marked))]
+
+
 def corpus(n, seed=1):
     """Ordinary words; toxic documents also have some of two stems with random endings."""
     rng = random.Random(seed)
@@ -181,3 +187,16 @@ def test_logistic_fit_and_features():
     fitted = logistic_fit(x, y.astype(float), np.ones(4000))
     assert np.allclose(fitted, [2, -1, -0.5], atol=0.25)
     assert features(np.zeros(0)) == features(np.zeros(1))
+
+
+def test_grams_are_counted_like_a_plain_loop(docs, monkeypatch):
+    monkeypatch.setattr("namelens.llm.toxicity.GRAM_BYTES", 40)
+    texts = [row for row in corpus(30)[0]] + [(98, "é🙂é"), (99, None)]
+    rows = docs(texts).withColumn("_class", F.when(F.col("doc_id") < 20, F.col("doc_id").cast("int") % 2))
+    want = defaultdict(lambda: [0, 0, 0])
+    for i, text in texts:
+        for gram in [g for w in (text or "").split() for g in grams_of(w, ORDER)]:
+            want[gram][0] += 1
+            if i < 20:
+                want[gram][2 - i % 2] += 1
+    assert {r.gram: [r.n_all, r.n_toxic, r.n_ordinary] for r in count_grams(rows).collect()} == want
