@@ -6,7 +6,9 @@ are patterns. A graph joins patterns with the instances seen in them: seeds and
 other words that look like identifiers. Its scores are iterated: a pattern is
 as good as the share of all its occurrences in the corpus that hold good
 instances, and an instance as good as its patterns together. Instances beside a
-pattern with a high score are further spans, of kind ``id``.
+pattern with a high score are further spans, of kind ``id``. Words with a digit,
+and the values of keys with or without one, look like identifiers, from
+``LEAST_LENGTH`` characters on; keys and instances may have any length.
 
 Null texts count as empty and have no spans. Very long texts, with or without
 blanks, are walked through once. Positions are code points, the end
@@ -38,8 +40,8 @@ LEAST_INSTANCES = 3
 # Share of a pattern's occurrences that must hold good instances.
 PATTERN_SCORE = 0.5
 INSTANCE_SCORE = 0.5
-# Length of an identifier that is not found by its form.
-LENGTHS = (5, 64)
+# Least length of an identifier that is not found by its form; the longest are as good as any.
+LEAST_LENGTH = 5
 MEMORY_WORDS = 200_000
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -51,9 +53,9 @@ _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 _NUMBER_WORD = re.compile(r"(?<!\S)[^\s0-9]*+[0-9]\S*")
-LONGEST_KEY = 40
-_KEYED = re.compile(rf"([^\s=:]{{2,{LONGEST_KEY}}})[=:](\S+)")
-# A longer word is told from others by its hash.
+_KEY = re.compile(r"([^\s=:]{2,}+)[=:]")
+_KEYED_WORD = re.compile(r"(?<!\S)[^\s=:]{2,}+[=:]\S+")
+# A longer word, key or instance is told from others by its hash.
 LONG_WORD = 200
 _EDGE = " \t\r\n.,;:!?\"'()[]{}<>|"
 
@@ -162,40 +164,42 @@ class _Neighbours:
 
 def slots(text: str, base: list[tuple[int, int, int]]) -> list[dict]:
     """Seeds and other words that look like identifiers, with their patterns."""
-    if not base and not _DIGIT.search(text):
-        return []
-    found = [(a, b, True, None) for a, _, b in base]
+    words = {m.start(): m.end() for m in _NUMBER_WORD.finditer(text)} if _DIGIT.search(text) else {}
+    if "=" in text or ":" in text:
+        words.update((m.start(), m.end()) for m in _KEYED_WORD.finditer(text))
+    found = [(a, b, True) for a, _, b in base]
     covered = sorted((a, b) for a, _, b in base)
     k = 0
-    for m in _NUMBER_WORD.finditer(text):
-        start, end = m.span()
+    for start, end in sorted(words.items()):
         while k < len(covered) and covered[k][1] <= start:
             k += 1
         if any(a < end and b > start for a, b in covered[k : k + 4]):
             continue
-        key, keyed_word = None, _KEYED.match(m.group())
-        if keyed_word:
-            key, start = keyed_word.group(1).lower(), start + keyed_word.start(2)
+        key = _KEY.match(text, start, end)
+        start = key.end() if key else start
         core = text[start:end].strip(_EDGE)
-        if LENGTHS[0] <= len(core) <= LENGTHS[1] and any(c in "0123456789" for c in core):
+        if len(core) >= LEAST_LENGTH and (key or _DIGIT.search(core)):
             start = text.index(core, start)
-            found.append((start, start + len(core), False, key))
+            found.append((start, start + len(core), False))
     out: list = [None] * len(found)
-    near = _Neighbours(text)
+    near, word, key = _Neighbours(text), -1, None
     for k in sorted(range(len(found)), key=lambda k: found[k][:2]):
-        start, end, seed, key = found[k]
+        start, end, seed = found[k]
         first = near.begin(start)
-        # A seed is a value if all that is before it in its word is a key.
-        if seed and start - first <= LONGEST_KEY + 1:
-            inside = _KEYED.match(text, first, end)
-            if inside and inside.start(2) == start:
-                key = inside.group(1).lower()
-        patterns = [("L", near.before), ("R", near.following(end))] + ([("K", key)] if key else [])
+        # Each word is searched for its key once, however many seeds it has.
+        if first != word:
+            word, key = first, _KEY.match(text, first)
+        # A seed is a value if all that is before it in its word is a key; other values
+        # may be quoted.
+        held = key and (start == key.end() if seed else start >= key.end())
+        patterns = [("L", near.before), ("R", near.following(end))]
+        if held:
+            patterns.append(("K", _named(key.group(1).lower())))
         out[k] = {
             "start": start,
             "end": end,
             "seed": seed,
-            "instance": text[start:end].lower(),
+            "instance": _named(text[start:end].lower()),
             "patterns": [{"side": s, "word": w} for s, w in patterns if w],
         }
     return out
@@ -236,9 +240,9 @@ def pattern_totals(docs: DataFrame) -> DataFrame:
     def flushed(counts: Counter) -> pa.RecordBatch:
         keys = Counter()
         for word, n in counts.items():
-            inside = _KEYED.match(word)
-            if inside:
-                keys[inside.group(1)] += n
+            inside = _KEY.match(word)
+            if inside and inside.end() < len(word):
+                keys[_named(inside.group(1))] += n
         words = [*map(_named, counts), *keys]
         sides = ["W"] * len(counts) + ["K"] * len(keys)
         numbers = [*counts.values(), *keys.values()]

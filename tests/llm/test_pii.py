@@ -5,7 +5,7 @@ import time
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from namelens.llm.pii import KINDS, base_spans, find_personal_data, passes_luhn, slots
+from namelens.llm.pii import KINDS, base_spans, find_personal_data, passes_luhn, score_graph, slots
 
 PATTERNS = [
     r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
@@ -95,3 +95,61 @@ def test_neighbours_like_plain_splitting():
             before, after = text[:first].lower().split(), text[last:].lower().split()
             found = {p["side"]: p["word"] for p in slot["patterns"]}
             assert (found.get("L"), found.get("R")) == (before[-1] if before else None, after[0] if after else None)
+
+
+def test_identifiers_and_keys_of_any_length_with_or_without_digits(docs):
+    long_key, token = "k" * 300, "x9" * 400
+    rows = [(i, f"login=anna{i}@site{i}.example.org and {long_key}=bob{i}@site{i}.example.org") for i in range(6)]
+    rows += [(10, f"login={token} then"), (11, "login=janedoe then"), (12, 'login="jane.doe", then'), (13, "login=ann")]
+    rows += [(14, f"{long_key}=swordfish"), (15, "note:swordfisher with plain words"), (16, "login= 12 login:")]
+    found = spans(find_personal_data(docs(rows)))
+    assert found[10] == [(6, "id", 6 + len(token))]
+    assert found[11] == [(6, "id", 13)] and found[12] == [(7, "id", 15)]
+    assert found[14] == [(301, "id", 310)]
+    assert found[13] == found[15] == found[16] == []
+
+
+def plain_scores(edges, totals, rounds):
+    """Scores of patterns and instances from their definition."""
+    of = {(("K" if s == "K" else "W"), w) for s, w, *_ in edges}
+    assert of <= set(totals)
+    instances = {}
+    for _, _, i, _, seed in edges:
+        instances[i] = max(instances.get(i, 0.0), float(seed))
+    seeds, scores = {i for i, v in instances.items() if v}, {}
+    for _ in range(rounds):
+        for side, word in {e[:2] for e in edges}:
+            own = [(instances[i], n) for s, w, i, n, _ in edges if (s, w) == (side, word)]
+            enough = sum(v >= 0.5 for v, _ in own) >= 3
+            total = totals["K" if side == "K" else "W", word]
+            scores[side, word] = min(1.0, sum(v * n for v, n in own) / total) if enough else 0.0
+        for i in instances:
+            miss = 1.0
+            for s, w, j, _, _ in edges:
+                if j == i:
+                    miss *= 1 - min(scores[s, w], 0.999)
+            instances[i] = 1.0 if i in seeds else 1 - miss
+    return scores, instances
+
+
+def test_graph_scores_like_brute_force(spark):
+    rng = random.Random(8)
+    seeds = {f"i{k}" for k in range(12)}
+    pairs = {(rng.choice("LRK"), f"w{rng.randrange(5)}", f"i{rng.randrange(40)}") for _ in range(220)}
+    edges = [(*p, rng.randrange(1, 4), p[2] in seeds) for p in sorted(pairs)]
+    held = {}
+    for side, word, _, n, _ in edges:
+        held["K" if side == "K" else "W", word] = held.get(("K" if side == "K" else "W", word), 0) + n
+    totals = {k: n + rng.randrange(6) for k, n in held.items()}
+    patterns, instances = score_graph(
+        spark.createDataFrame(edges, "side string, word string, instance string, n bigint, seed boolean"),
+        spark.createDataFrame([(*k, n) for k, n in totals.items()], "kind string, word string, total bigint"),
+    )
+    want_patterns, want_instances = plain_scores(edges, totals, 3)
+    found = {(r.side, r.word): r.pattern_score for r in patterns.collect()}
+    assert found.keys() == want_patterns.keys()
+    assert all(abs(found[k] - v) < 1e-9 for k, v in want_patterns.items())
+    found = {r.instance: r.score for r in instances.collect()}
+    assert found.keys() == want_instances.keys()
+    assert all(abs(found[k] - v) < 1e-9 for k, v in want_instances.items())
+    assert any(0 < v < 1 for v in want_instances.values())
