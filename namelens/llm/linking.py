@@ -11,6 +11,7 @@ in a bucket is thus verified, or its members are in one group already.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +21,8 @@ from namelens.operators.snapshot import measured_bytes
 
 # Tables up to this size are sent to all tasks; larger ones are joined by a shuffle.
 BROADCAST_BYTES = 32 * 1024 * 1024
+# Members are shuffled by bucket in so many rounds, each with its share of the buckets.
+ROUNDS = 8
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -63,11 +66,17 @@ def linked_groups(
     for every true link. ``verified`` keeps the true links of distinct (a, b) rows.
     Ids without a link are not among the nodes.
     """
-    # Most buckets hold one member and go before anything else is shuffled.
-    heads = members.groupBy("bucket").agg(F.min("id").alias("head"), F.max("id").alias("_last"))
-    heads = stored(heads.where("head < _last").select("bucket", "head"), "heads")
-    small = measured_bytes(heads) <= BROADCAST_BYTES
-    shared = stored(members.join(F.broadcast(heads) if small else heads, "bucket"), "shared-buckets")
+    # Most buckets hold one member and go before anything else is shuffled. The
+    # buckets are taken in rounds, so that one round's shuffle files are gone
+    # before the next one writes its own.
+    parts = []
+    for round_ in range(ROUNDS):
+        own = members.where(F.pmod(F.col("bucket"), F.lit(ROUNDS)) == round_)
+        heads = own.groupBy("bucket").agg(F.min("id").alias("head"), F.max("id").alias("_last"))
+        heads = stored(heads.where("head < _last").select("bucket", "head"), "heads")
+        small = measured_bytes(heads) <= BROADCAST_BYTES
+        parts.append(stored(own.join(F.broadcast(heads) if small else heads, "bucket"), "shared-buckets"))
+    shared = reduce(DataFrame.union, parts)
     head_traits = shared.where("id = head").select("bucket", F.col("trait").alias("head_trait"))
     pairs = (
         shared.where("id > head")

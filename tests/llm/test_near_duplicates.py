@@ -153,3 +153,22 @@ def test_no_link_is_lost_where_the_head_is_unlike(rows):
     for r in found.collect():
         groups.setdefault(r.root, set()).add(r.node)
     assert sorted(map(sorted, groups.values())) == [[2, 3], [4, 5], [6, 7], [8, 9]]
+
+
+def test_buckets_are_shuffled_in_rounds_and_all_are_linked(rows, monkeypatch):
+    from namelens.llm import linking
+
+    labels = []
+    store = linking.stored
+    monkeypatch.setattr(linking, "stored", lambda df, label: labels.append(label) or store(df, label))
+    # Pairs in buckets of every round, and one member in buckets of two rounds.
+    members = [(b, id_, id_) for b in range(linking.ROUNDS) for id_ in (10 * b, 10 * b + 1)]
+    members += [(3, 99, 31), (12, 99, 31)]
+    near = lambda x, y: F.abs(x - y) < 5
+    found = linked_groups(rows(members, "bucket bigint, id bigint, trait bigint"), near, lambda pairs: pairs)
+    groups = {}
+    for r in found.collect():
+        groups.setdefault(r.root, set()).add(r.node)
+    expected = [[10 * b, 10 * b + 1] for b in range(linking.ROUNDS) if b != 3] + [[30, 31, 99]]
+    assert sorted(map(sorted, groups.values())) == sorted(expected)
+    assert labels.count("heads") == linking.ROUNDS
