@@ -1,6 +1,13 @@
+import os
 import random
+from contextlib import contextmanager
 
-from namelens.llm.lines import dedup_lines, normalised
+import numpy as np
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from namelens.llm import lines as module
+from namelens.llm.lines import dedup_lines, lines_of, normalised, parities
 
 
 def distance(a, b):
@@ -116,3 +123,43 @@ def test_several_edits_like_brute_force(docs):
     gone = brute_force(rows)
     found = {r.doc_id: r.n_removed for r in dedup_lines(docs(rows)).collect()}
     assert found == {doc: len(gone.get(doc, ())) for doc, _ in rows} and sum(found.values()) > 40
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(0, 300), min_size=1, max_size=40), st.lists(st.integers(0, 300), min_size=1, max_size=40))
+def test_marks_differ_in_few_bits_where_few_words_do(a, b):
+    words = np.array([*a, *b], dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    differ = sum(int(np.bitwise_count(m[0] ^ m[1])) for m in parities(words, np.array([0, len(a)])))
+    assert differ <= 2 * distance(a, b) - abs(len(a) - len(b))
+
+
+def test_a_task_sketches_a_repeated_line_once(docs, monkeypatch):
+    rows = [(k, f"the same line again and again\nonly {chr(97 + k) * 5} here") for k in range(20)]
+    found = lines_of(docs(rows).coalesce(1)).collect()
+    assert len(found) == 40 and sum(r.new for r in found) == 21
+    # Lines of several small batches, and a task that forgets, give the same result.
+    want = sorted(map(tuple, dedup_lines(docs(rows)).select("doc_id", "n_removed", "kept_text").collect()))
+    monkeypatch.setattr(module, "HELD_WORDS", 10)
+    monkeypatch.setattr(module, "SEEN_LINES", 3)
+    monkeypatch.setattr(module, "PIECE_ROWS", 2)
+    assert sorted(map(tuple, dedup_lines(docs(rows)).select("doc_id", "n_removed", "kept_text").collect())) == want
+    assert sum(n for _, n, _ in want) == 19
+
+
+def test_sketches_are_removed_when_their_buckets_are_found(docs, monkeypatch):
+    tables = []
+    within = module.stored_within
+    monkeypatch.setattr(module, "lines_of", lambda d: tables.append(lines_of(d)) or tables[-1])
+    paths = []
+
+    @contextmanager
+    def watched(df, label):
+        with within(df, label) as rows:
+            paths.extend(f.removeprefix("file://") for f in rows.inputFiles())
+            assert paths and all(map(os.path.exists, paths))
+            yield rows
+
+    monkeypatch.setattr(module, "stored_within", watched)
+    found = dedup_lines(docs([(1, "one line of words"), (2, "one line of words")]))
+    assert len(tables) == 1 and not any(map(os.path.exists, paths))
+    assert sorted((r.doc_id, r.n_removed) for r in found.collect()) == [(1, 0), (2, 1)]

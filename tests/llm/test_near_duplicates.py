@@ -6,14 +6,17 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from namelens.llm.linking import components, linked_groups
+from namelens.llm.linking import BUCKETS, bucket_columns, components, linked_groups, shared_buckets, shared_groups
 from namelens.llm.near_duplicates import (
+    SCHEMES,
     _banded,
+    all_sketches,
     anchored_edits,
     drop_near_duplicates,
     edit_distance,
     near_enough,
     near_groups,
+    one_gap_edits,
     sketches,
     text_sketches,
     words_in_common,
@@ -172,3 +175,86 @@ def test_buckets_are_shuffled_in_rounds_and_all_are_linked(rows, monkeypatch):
     expected = [[10 * b, 10 * b + 1] for b in range(linking.ROUNDS) if b != 3] + [[30, 31, 99]]
     assert sorted(map(sorted, groups.values())) == sorted(expected)
     assert labels.count("heads") == linking.ROUNDS
+
+
+def test_texts_sketched_together_have_the_sketches_of_each_alone():
+    rng = np.random.default_rng(8)
+    schemes = (*SCHEMES, (lambda s: s._replace(kmers=5, count=7))(SCHEMES[1]))
+    sizes = np.array([0, 1, 2, 3, 4, 9, 9, 12, 12, 12, 35, 40, 41, 60, 60, 0, 9000, 30_000])
+    # Many words repeat, so occurrence numbers matter.
+    words = rng.integers(0, 40, int(sizes.sum())).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    first = np.cumsum(sizes) - sizes
+    found, ends = all_sketches(words, first, sizes, schemes)
+    assert len(found) == ends[-1]
+    for a, n, x, y in zip(first, sizes, ends, ends[1:]):
+        alone = text_sketches(words[a : a + n], schemes) if n else np.zeros(0, dtype=np.uint64)
+        assert np.array_equal(found[x:y], alone)
+
+
+@settings(max_examples=200, deadline=None)
+@given(SEQUENCE, SEQUENCE)
+def test_an_alignment_with_one_gap_has_no_fewer_edits(a, b):
+    x, y = np.array(a, dtype=np.uint64), np.array(b, dtype=np.uint64)
+    n, gap = min(len(a), len(b)), abs(len(a) - len(b))
+    short, long = sorted((a, b), key=len)
+    want = gap + min(sum(p != q for p, q in zip(short, long[:i] + long[i + gap :])) for i in range(n + 1))
+    assert distance(a, b) <= one_gap_edits(x, y) == one_gap_edits(y, x) == want
+
+
+def packs(spark, members):
+    """Members (id, buckets) as the rows that ``shared_buckets`` takes."""
+    buckets = np.array([b for _, own in members for b in own], dtype=np.uint64)
+    ends = np.cumsum([0, *[len(own) for _, own in members]])
+    columns = [c.to_pylist() for c in bucket_columns(buckets, ends)]
+    schema = "id bigint, " + ", ".join(f"{b} binary" for b in BUCKETS)
+    return spark.createDataFrame([(i, *x) for (i, _), x in zip(members, zip(*columns))], schema).repartition(3)
+
+
+def test_shared_buckets_like_brute_force(spark, monkeypatch):
+    from namelens.llm import linking
+
+    monkeypatch.setattr(linking, "PART_ENTRIES", 60)
+    rng = random.Random(9)
+    values = [rng.randrange(1 << 64) for _ in range(150)]
+    members = [(rng.randrange(-50, 50) << 40, [*set(rng.choices(values, k=rng.randrange(12)))]) for _ in range(120)]
+    # Ids in several rows, and a bucket that most have.
+    members += members[:20]
+    members += [(i, [values[0]]) for i in range(300)]
+    held = {}
+    for i, own in members:
+        for b in own:
+            held.setdefault(b, set()).add(i)
+    want = [((b ^ (1 << 63)) - (1 << 63), i, min(ids), len(ids)) for b, ids in held.items() for i in ids if len(ids) > 1]
+    assert sorted(map(tuple, shared_buckets(packs(spark, members)).collect())) == sorted(want)
+    assert shared_buckets(packs(spark, members).limit(0)).collect() == []
+
+
+def test_groups_of_packed_buckets_are_those_of_rows(rows, spark):
+    rng = random.Random(10)
+    values = [rng.randrange(1 << 64) for _ in range(40)]
+    traits = [(i, rng.randrange(300)) for i in range(120)]
+    members = [(i, rng.sample(values, 3)) for i, _ in traits]
+    near = lambda x, y: F.abs(x - y) < 6
+    verified = lambda pairs: pairs.where("(a + b) % 3 > 0")
+    found = shared_groups(shared_buckets(packs(spark, members)), rows(traits, "id bigint, trait bigint"), near, verified)
+    trait = dict(traits)
+    signed = [((b ^ (1 << 63)) - (1 << 63), i, trait[i]) for i, own in members for b in own]
+    want = linked_groups(rows(signed, "bucket bigint, id bigint, trait bigint"), near, verified)
+    # The least id of a group is its root; every pair in a bucket is linked or apart.
+    parent = {i: i for i in trait}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    own = {i: set(b) for i, b in members}
+    linked = set()
+    for a in trait:
+        for b in range(a):
+            if own[a] & own[b] and abs(trait[a] - trait[b]) < 6 and (a + b) % 3:
+                linked |= {a, b}
+                parent[max(root(a), root(b))] = min(root(a), root(b))
+    expected = sorted((i, root(i)) for i in linked)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, want.collect())) == expected
+    assert len(expected) > 30
